@@ -1,0 +1,34 @@
+"""Helpers that look at the session: the shared folder and checked broadcasts."""
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder for tables that cut lineage, as named by ``spark.checkpoint.dir``.
+
+    Only a local session without that setting gets a folder of its own; on a cluster a
+    machine-local folder would be lost with its machine, so the setting is required there.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+            folder = tempfile.mkdtemp(prefix="shelfpanel-")
+        context.setCheckpointDir(folder)
+    return folder or context.getCheckpointDir()
+
+
+def broadcast_within(small: DataFrame, max_rows: int) -> DataFrame:
+    """``small`` with a broadcast hint if a count shows that it has at most ``max_rows`` rows.
+
+    Meant for sides that should be tiny (dates per country) but derive from large tables, where
+    the planner cannot know the size beforehand. The count stops after ``max_rows + 1`` rows.
+    Beyond the bound the frame comes back without a hint and the planner picks a shuffled join.
+    """
+    within = small.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(small) if within else small
