@@ -85,7 +85,7 @@ def tiles(pages: DataFrame, start: str, keep: list[str], html: str = "html") ->
 
 def before_suffix(text: Column, suffix: Column) -> Column:
     """Text before the coupon wording, null where the wording is absent."""
-    return F.when(text.contains(suffix), strip(F.substring_index(text, suffix, 1)))
+    return F.when(text.contains(suffix), strip(F.left(text, F.instr(text, suffix) - 1)))
 
 
 def deal_badge(tile: Column, rules: dict[str, Rule], suffix: Column) -> Column:

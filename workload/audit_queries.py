@@ -109,7 +109,7 @@ def range_rules(spark, d):
     PANEL + """SELECT count(*) AS rows, round(avg(strlen("Country") + strlen("ASIN") + 10 + strlen(CAST(seq AS VARCHAR))
       + strlen("Price") + strlen("List Price") + strlen("PED") + strlen("Number of ratings") + strlen("Rating Stars")
       + coalesce(strlen("Name") + 10, 0) + strlen("Brand") + strlen(replace("Size Name", '\\', '\\\\'))
-      + strlen("Link") + strlen("Product Category") + 175), 3) AS avg_bytes, false AS alert FROM panel""",
+      + strlen("Link") + strlen("Product Category") + 176), 3) AS avg_bytes, false AS alert FROM panel""",
 )
 def row_size(spark, d):
     return checks.row_size(A.price_panel(spark, d)).withColumn("avg_bytes", F.round("avg_bytes", 3))
@@ -124,7 +124,7 @@ OUTLIERS_SQL = (
     + """), fences AS (SELECT "Country", "column", q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper
     FROM (SELECT "Country", "column", quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM vals
       WHERE v IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 20) q),
-    outside AS (SELECT v."Country", v."column", round(lower, 4) AS lower, round(upper, 4) AS upper,
+    outside AS (SELECT v."Country", v."column", round(lower, 6) AS lower, round(upper, 6) AS upper,
       count(*) AS outliers, min(v.v) AS min_outlier, max(v.v) AS max_outlier
       FROM vals v JOIN fences f ON v."Country" = f."Country" AND v."column" = f."column"
       WHERE v.v < f.lower OR v.v > f.upper GROUP BY 1, 2, 3, 4)"""
@@ -134,7 +134,7 @@ OUTLIERS_SQL = (
 @query("iqr_outliers", PANEL + ", " + OUTLIERS_SQL + " SELECT * FROM outside")
 def iqr_outliers(spark, d):
     found = outliers_of(A.price_panel(spark, d))
-    return found.withColumns({c: F.round(c, 4) for c in ("lower", "upper")})
+    return found.withColumns({c: F.round(c, 6) for c in ("lower", "upper")})
 
 
 COMPARED_SQL = f"""nums AS (SELECT "Country", "ASIN", "Date", {A.number_sql('"Price"')} AS price,
