@@ -29,7 +29,11 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     long = df.select("Country", F.inline(numeric))
     v = F.col("value")
     rising = F.floor(F.signum(v) * F.log1p(F.abs(v)) * BINS_PER_E)
-    return long.groupBy(*GROUP, rising.alias("bin"), "value").agg(F.count("*").alias("n"))
+    # The joins below would add these conditions to some uses of the counts only, and uses that
+    # differ cannot share the one shuffle.
+    usable = F.col("Country").isNotNull() & v.isNotNull() & F.col("bin").isNotNull()
+    binned = long.withColumn("bin", rising).where(usable)
+    return binned.groupBy(*BIN, "value").agg(F.count("*").alias("n"))
 
 
 def bin_ranges(counts: DataFrame) -> DataFrame:
@@ -99,11 +103,13 @@ def iqr_outliers(
     spread = F.col("q3") - F.col("q1")
     fences = quartiles(counts, bins, min_values).select(
         *GROUP,
+        "total",
         (F.col("q1") - F.lit(fence) * spread).alias("lower"),
         (F.col("q3") + F.lit(fence) * spread).alias("upper"),
     )
     crossing = (F.col("low") < F.col("lower")) | (F.col("high") > F.col("upper"))
-    open_bins = bins.join(fences, GROUP).where(crossing).select(*BIN, "lower", "upper")
+    # Joining on the total as well keeps the counts in this use, so that it shares their shuffle.
+    open_bins = bins.join(fences, [*GROUP, "total"]).where(crossing).select(*BIN, "lower", "upper")
     outside = counts.join(open_bins, BIN).where(
         (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
     )

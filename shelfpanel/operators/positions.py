@@ -10,6 +10,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def group_text(keys: list[str]) -> Column:
+    """Key parts as one text that is never null; the lengths keep different keys apart."""
+
+    def part(k: str) -> Column:
+        value = F.col(f"`{k}`").cast("string")
+        return F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-"))
+
+    return F.concat_ws("|", *[part(k) for k in keys])
+
+
 def number_within(
     df: DataFrame,
     keys: list[str],
@@ -20,11 +30,10 @@ def number_within(
 ) -> DataFrame:
     """Add the 1-based position of each row in its group, ordered by slice and then ``order``.
 
-    ``slice_by`` must not fall as the wanted order rises. ``size_name`` also adds the group size.
+    ``slice_by`` must not be null and must not fall as the wanted order rises. ``size_name`` also
+    adds the group size.
     """
-    tagged = df.withColumn("_group", F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys]))).withColumn(
-        "_slice", slice_by
-    )
+    tagged = df.withColumns({"_group": group_text(keys), "_slice": slice_by})
     in_slice = Window.partitionBy("_group", "_slice").orderBy(*order)
     numbered = tagged.withColumn("_local", F.row_number().over(in_slice))
 
@@ -45,7 +54,7 @@ def number_within(
 
 def hash_slice(key: Column) -> Column:
     """Slice for a free order: 4,096 even parts of the key space, the same on every run."""
-    return F.substring(F.md5(key), 1, 3)
+    return F.coalesce(F.substring(F.md5(key), 1, 3), F.lit(""))
 
 
 def work_batches(df: DataFrame, batches: int, by: str = "Country", key: str = "ASIN") -> DataFrame:

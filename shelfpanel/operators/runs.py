@@ -42,8 +42,11 @@ def with_error_counts(runs: DataFrame, errors: DataFrame) -> DataFrame:
     )
 
 
-def execution_summary(runs: DataFrame, errors: DataFrame) -> DataFrame:
-    """One summary row per run: counts, success rate, minutes and seconds per row."""
+def execution_summary(runs: DataFrame, errors: DataFrame, detailed: bool = False) -> DataFrame:
+    """One summary row per run: counts, success rate, minutes and seconds per row.
+
+    ``detailed`` adds what a message about the run shows: tier, status and duration text.
+    """
     r = with_error_counts(runs, errors)
     seconds = F.col("elapsed_seconds")
     per_row = F.coalesce(
@@ -56,16 +59,34 @@ def execution_summary(runs: DataFrame, errors: DataFrame) -> DataFrame:
         "Country",
         F.col("processed").alias("Processed ASINs"),
         F.col("requested").alias("Total Requested"),
-        F.round(percent(F.col("processed"), F.col("requested")), 1).alias("Success Rate (%)"),
+        F.round(_rate(), 1).alias("Success Rate (%)"),
         F.round(seconds / 60, 1).alias("Processing Time (min)"),
         F.round(per_row, 2).alias("Avg Time per ASIN (s)"),
         F.col("n_price_ped").alias("Price/PED Errors"),
         F.col("n_failed").alias("Scraping Errors"),
         F.col("redirects").alias("Redirected ASINs"),
         (F.col("n_failed") + F.col("n_price_ped")).alias("Total Errors"),
+        *(_message_fields() if detailed else []),
     )
 
 
+def _rate() -> Column:
+    return percent(F.col("processed"), F.col("requested"))
+
+
+def _all_errors() -> Column:
+    """Errors, redirects and removed rows: what makes a run one with errors."""
+    return F.col("n_failed") + F.col("n_price_ped") + F.col("redirects") + F.col("removed")
+
+
+def _message_fields() -> list[Column]:
+    return [
+        success_tier(_rate()).alias("tier"),
+        run_status(_all_errors()).alias("status"),
+        duration_text(F.col("elapsed_seconds")).alias("duration"),
+    ]
+
+
 def error_samples(errors: DataFrame, n: int = SAMPLE_SIZE) -> DataFrame:
     """First ``n`` errors of each kind per run."""
     kind = F.col("kind")
@@ -106,8 +127,7 @@ def run_report(runs: DataFrame, errors: DataFrame, title: str = "Panel") -> Data
         ]
     )
     r = with_error_counts(runs, errors).join(names, RUN, "left")
-    total = F.col("n_failed") + F.col("n_price_ped") + F.col("redirects") + F.col("removed")
-    rate = percent(F.col("processed"), F.col("requested"))
+    total, rate = _all_errors(), _rate()
     any_error = total > 0
 
     def text(*parts) -> Column:

@@ -6,37 +6,57 @@ from pyspark.sql import functions as F
 from shelfpanel.functions.dates import event_text
 from shelfpanel.operators import changes as ops
 from shelfpanel.operators.dedup import keep_last
-from shelfpanel.operators.keys import only_keys
 from shelfpanel.schemas import EVENT_COLUMNS, KEY_COLUMNS
-from shelfpanel.session import broadcast_within
-from shelfpanel.sources.tables import active_listings, own_skus
+from shelfpanel.session import broadcast_within, has_at_most
+from shelfpanel.sources.tables import own_asins, own_skus
 
+LISTING = ["Country", "ASIN"]
+# About 100 MB of keys; more than that is joined by a shuffle.
+MAX_OWN_KEYS = 1_000_000
 MAX_LATEST = 20_000
 
 
-def _own_rows(panel: DataFrame, listings: DataFrame, countries: list[str] | None) -> DataFrame:
-    """Panel rows of own active listings with a usable date."""
-    dated = panel.where(F.col("Date").isNotNull())
-    if countries:
-        dated = dated.where(F.col("Country").isin(countries))
-    return only_keys(dated, active_listings(listings), ["Country", "ASIN"])
+class _OwnRows:
+    """Panel rows of own active listings, filtered the way that suits the size of the list.
 
+    A list within the bound is broadcast, so rows of other listings go away before any shuffle. A
+    longer one is joined after the rows were reduced to one per key and date: the join is an
+    inner one on distinct keys, which Spark leaves above the reduction, so a listing with very
+    many copies never meets the join as a hot key.
+    """
 
-def _events(
-    own: DataFrame,
-    calendar: DataFrame,
-    listings: DataFrame,
-    fields: list[str] | None,
-    order: list[str],
-    unique: bool,
-) -> DataFrame:
-    # States are made first: they are short, so the shuffles after this carry little.
-    states = ops.monitored_states(own, fields, order)
-    if not unique:
-        states = keep_last(states, KEY_COLUMNS, order)
-    changed = ops.consecutive_only(ops.field_changes(states, fields), calendar)
-    named = ops.with_sku(changed, own_skus(listings))
-    return named.withColumn("Date", event_text(F.col("Date"))).select(*EVENT_COLUMNS)
+    def __init__(self, panel: DataFrame, listings: DataFrame, max_keys: int = MAX_OWN_KEYS):
+        self.dated = panel.where(F.col("Date").isNotNull())
+        self.keys = own_asins(listings)
+        self.early = has_at_most(self.keys, max_keys)
+
+    def days(self) -> DataFrame:
+        """Distinct dates of own rows per country."""
+        if self.early:
+            own = self.dated.join(F.broadcast(self.keys), LISTING, "left_semi")
+        else:
+            own = self.dated.select(*KEY_COLUMNS).distinct().join(self.keys, LISTING)
+        return own.select("Country", "Date").distinct()
+
+    def states(
+        self, fields: list[str] | None, order: list[str], unique: bool, dates: DataFrame | None = None
+    ) -> DataFrame:
+        """One row of comparable values per key and date, optionally of given dates only."""
+        rows = self.dated
+        if dates is not None:
+            rows = rows.join(dates, ["Country", "Date"], "left_semi")
+        if self.early:
+            rows = rows.join(F.broadcast(self.keys), LISTING, "left_semi")
+        # Values are brought to their short form first, so the shuffles after this carry little.
+        states = ops.monitored_states(rows, fields, order)
+        if not unique:
+            states = keep_last(states, KEY_COLUMNS, order)
+        return states if self.early else states.join(self.keys, LISTING)
+
+
+def _named(changed: DataFrame, listings: DataFrame) -> DataFrame:
+    events = ops.with_sku(changed, own_skus(listings))
+    return events.withColumn("Date", event_text(F.col("Date"))).select(*EVENT_COLUMNS)
 
 
 def backfill_changes(
@@ -47,6 +67,7 @@ def backfill_changes(
     fields: list[str] | None = None,
     order: list[str] | None = None,
     unique: bool = False,
+    max_keys: int = MAX_OWN_KEYS,
 ) -> DataFrame:
     """All change events from ``start`` on.
 
@@ -54,10 +75,15 @@ def backfill_changes(
     key. Pass ``unique=True`` for a stored panel, which already has one row per key: that saves a
     shuffle.
     """
-    own = _own_rows(panel, listings, countries)
+    rows = panel
+    if countries:
+        rows = rows.where(F.col("Country").isin(countries))
     if start is not None:
-        own = own.where(F.col("Date") >= F.lit(start).cast("date"))
-    return _events(own, ops.collection_calendar(own), listings, fields, order or [], unique)
+        rows = rows.where(F.col("Date") >= F.lit(start).cast("date"))
+    own = _OwnRows(rows, listings, max_keys)
+    calendar = ops.collection_calendar(own.days())
+    states = own.states(fields, order or [], unique)
+    return _named(ops.consecutive_only(ops.field_changes(states, fields), calendar), listings)
 
 
 def latest_changes(
@@ -67,15 +93,17 @@ def latest_changes(
     fields: list[str] | None = None,
     order: list[str] | None = None,
     unique: bool = False,
+    max_keys: int = MAX_OWN_KEYS,
 ) -> DataFrame:
     """Change events between the last two collection dates of each country.
 
     Two rows per country say which dates those are; joined to the panel as a checked broadcast
     they also keep Spark from reading other dates of a panel stored by country and date.
     """
-    own = _own_rows(panel, listings, countries)
-    calendar = ops.collection_calendar(own)
+    rows = panel.where(F.col("Country").isin(countries)) if countries else panel
+    own = _OwnRows(rows, listings, max_keys)
+    calendar = ops.collection_calendar(own.days())
     last_two = calendar.where("from_last <= 2").select("Country", "Date")
-    recent = own.join(broadcast_within(last_two, MAX_LATEST), ["Country", "Date"], "left_semi")
+    states = own.states(fields, order or [], unique, broadcast_within(last_two, MAX_LATEST))
     newest = calendar.where("from_last = 1")
-    return _events(recent, newest, listings, fields, order or [], unique)
+    return _named(ops.consecutive_only(ops.field_changes(states, fields), newest), listings)

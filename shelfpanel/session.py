@@ -23,12 +23,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder or context.getCheckpointDir()
 
 
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has no more than ``max_rows`` rows; counting stops one row beyond."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_within(small: DataFrame, max_rows: int) -> DataFrame:
     """``small`` with a broadcast hint if a count shows that it has at most ``max_rows`` rows.
 
     Meant for sides that should be tiny (dates per country) but derive from large tables, where
-    the planner cannot know the size beforehand. The count stops after ``max_rows + 1`` rows.
-    Beyond the bound the frame comes back without a hint and the planner picks a shuffled join.
+    the planner cannot know the size beforehand. Beyond the bound the frame comes back without a
+    hint and the planner picks a shuffled join.
     """
-    within = small.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(small) if within else small
+    return F.broadcast(small) if has_at_most(small, max_rows) else small

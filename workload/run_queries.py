@@ -13,8 +13,6 @@ from shelfpanel.operators.verification import (
     currency_verdict,
     region_is_valid,
 )
-from shelfpanel.functions.states import run_status, success_tier
-from shelfpanel.functions.numbers import duration_text
 from shelfpanel.sources.tables import active_listings, own_asins
 from workload import adapters as A
 
@@ -51,18 +49,7 @@ FROM runs"""
 
 @query("run_summary", A.joined_sql(A.RUNS_SQL) + SUMMARY_SQL)
 def run_summary(spark, d):
-    runs, errors = A.runs_and_errors(spark, d)
-    summary = ops.execution_summary(runs, errors)
-    seconds = runs.select(
-        "Country", F.date_format("ended_at", "yyyy-MM-dd").alias("Date"), "elapsed_seconds"
-    )
-    rate = F.col("`Processed ASINs`") * 100.0 / F.col("`Total Requested`")
-    return summary.join(seconds, ["Country", "Date"]).select(
-        *[F.col(f"`{c}`") for c in summary.columns],
-        success_tier(rate).alias("tier"),
-        run_status(F.col("`Total Errors`") + F.col("`Redirected ASINs`")).alias("status"),
-        duration_text(F.col("elapsed_seconds")).alias("duration"),
-    )
+    return ops.execution_summary(*A.runs_and_errors(spark, d), detailed=True)
 
 
 @query(
