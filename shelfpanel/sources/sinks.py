@@ -27,12 +27,12 @@ def write_panel_csv(panel: DataFrame, path: str) -> None:
 def write_panel_table(panel: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Panel as Parquet, one folder per country and date, sorted by key inside a file.
 
-    Writing tasks are spread by key as well as by folder, so that a country with a third of
-    all rows on one date is still written by many tasks.
+    The rebalance hint gathers a folder's rows and lets AQE split the large ones, so that a
+    country with a third of all rows is still written by many tasks.
     """
-    spread = panel.repartition("Country", "Date", F.pmod(F.xxhash64("ASIN"), F.lit(32)))
+    balanced = panel.hint("rebalance", F.col("Country"), F.col("Date"))
     (
-        spread.sortWithinPartitions("Country", "Date", "ASIN")
+        balanced.sortWithinPartitions("Country", "Date", "ASIN")
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("Country", "Date")
