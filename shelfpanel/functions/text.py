@@ -6,19 +6,38 @@ from pyspark.sql import functions as F
 from shelfpanel.schemas import NOT_FOUND
 
 # The code points that count as blank space, and the invisible ones that pages carry.
-BLANKS = (
-    r"[\t\n\x0B\f\r \x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+BLANK_CHARS = (
+    "\t\n\x0b\x0c\r \x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+INVISIBLE_CHARS = "\ufffd\ufeff\u200b\u200c\u200d\u200e\u200f\u00ad"
+LOCATION_INVISIBLE_CHARS = (
+    "\u200b\u200c\u200d\u200e\u200f\u202a\u202b\u202c\u202d\u202e\ufeff"
 )
-INVISIBLES = r"[\x{FFFD}\x{FEFF}\x{200B}-\x{200F}\x{AD}]"
-LOCATION_INVISIBLES = r"[\x{200B}-\x{200F}\x{202A}-\x{202E}\x{FEFF}]"
 CATEGORY_SEPARATOR = "›"
 FEATURE_SEPARATOR = " | "
 
 
 def strip(c: Column) -> Column:
     """Trim every kind of blank (``trim`` alone takes plain spaces only)."""
-    return F.regexp_replace(c, f"^{BLANKS}+|{BLANKS}+$", "")
+    return F.trim(c, F.lit(BLANK_CHARS))
+
+
+def single_spaced(c: Column) -> Column:
+    """Every run of blanks as one space, none at the ends.
+
+    Mapping the blanks first leaves a search for plain double spaces, which is several times
+    faster on long texts than a search for the class of all blanks.
+    """
+    plain = F.translate(c, BLANK_CHARS, " " * len(BLANK_CHARS))
+    return F.trim(F.regexp_replace(plain, " {2,}", " "))
+
+
+def one_line(c: Column, drop: str = "") -> Column:
+    """Single-spaced text with single quotes; carriage returns and ``drop`` are removed."""
+    blanks = BLANK_CHARS.replace("\r", "")
+    plain = F.translate(c, blanks + '"\r' + drop, " " * len(blanks) + "'")
+    return F.trim(F.regexp_replace(plain, " {2,}", " "))
 
 
 def is_missing(c: Column) -> Column:
@@ -32,10 +51,7 @@ def null_if_missing(c: Column) -> Column:
 
 def clean_text(c: Column) -> Column:
     """One line of visible text: no invisible marks, single spaces, single quotes."""
-    visible = F.regexp_replace(c, INVISIBLES, "")
-    one_line = F.translate(visible, "\n\t\r", "  ")
-    spaced = F.regexp_replace(one_line, f"{BLANKS}+", " ")
-    return F.trim(F.replace(spaced, F.lit('"'), F.lit("'")))
+    return one_line(c, INVISIBLE_CHARS)
 
 
 def collapse_backslashes(c: Column) -> Column:
@@ -45,7 +61,8 @@ def collapse_backslashes(c: Column) -> Column:
 
 def final_clean(c: Column) -> Column:
     """Last pass over every text column before a row is stored."""
-    return strip(F.translate(collapse_backslashes(c), "\r\n", "  "))
+    single = collapse_backslashes(c)
+    return strip(F.replace(F.replace(single, F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" ")))
 
 
 def or_not_found(c: Column) -> Column:
@@ -105,14 +122,7 @@ def category_code(c: Column) -> Column:
 
 def feature_list(features: Column) -> Column:
     """Array of feature texts to one joined text, en dash written as a hyphen."""
-    cleaned = F.transform(
-        features,
-        lambda x: F.replace(
-            F.trim(F.regexp_replace(F.translate(x, "\n\t\r", "  "), f"{BLANKS}+", " ")),
-            F.lit('"'),
-            F.lit("'"),
-        ),
-    )
+    cleaned = F.transform(features, lambda x: one_line(x))
     kept = F.filter(cleaned, lambda x: x.isNotNull() & (x != ""))
     joined = F.replace(F.array_join(kept, FEATURE_SEPARATOR), F.lit("–"), F.lit("-"))
     return or_not_found(F.nullif(joined, F.lit("")))
@@ -120,6 +130,4 @@ def feature_list(features: Column) -> Column:
 
 def location_text(c: Column) -> Column:
     """Delivery-location text with single spaces and without direction marks."""
-    return F.regexp_replace(
-        F.regexp_replace(strip(c), f"{BLANKS}+", " "), LOCATION_INVISIBLES, ""
-    )
+    return F.translate(single_spaced(c), LOCATION_INVISIBLE_CHARS, "")

@@ -15,7 +15,7 @@ MAX_ROW_KB = 500
 CORRUPT_ESCAPE = r"\\{4,}"
 
 
-def _date(df: DataFrame) -> Column:
+def date_of(df: DataFrame) -> Column:
     return panel_date(F.col("Date")) if dict(df.dtypes)["Date"] == "string" else F.col("Date")
 
 
@@ -25,7 +25,7 @@ def is_sentinel(c: Column) -> Column:
 
 def date_profile(df: DataFrame) -> DataFrame:
     """First and last date, days between, distinct dates and rows without a usable date."""
-    day = _date(df)
+    day = date_of(df)
     return df.select(day.alias("d")).agg(
         F.min("d").alias("first_date"),
         F.max("d").alias("last_date"),
@@ -80,24 +80,25 @@ def escape_scan(
     return counts.join(shown, "column")
 
 
-def _missing(c: Column) -> Column:
-    return c.isNull() | (strip(c.cast("string")) == "")
-
-
-def _counters(columns: list[str]) -> list[Column]:
-    counters = []
+def counters(df: DataFrame, columns: list[str]) -> list[Column]:
+    """Counts of missing and of not-found cells; only texts can be blank or hold the sentinel."""
+    texts = set(text_columns(df))
+    counts = []
     for i, c in enumerate(columns):
-        counters.append(F.count_if(_missing(field(c))).alias(f"missing_{i}"))
-        counters.append(
-            F.count_if(is_sentinel(strip(field(c).cast("string")))).alias(f"not_found_{i}")
-        )
-    return counters
+        value = field(c)
+        missing, absent = value.isNull(), F.lit(False)
+        if c in texts:
+            bare = strip(value)
+            missing, absent = missing | (bare == ""), is_sentinel(bare)
+        counts.append(F.count_if(missing).alias(f"missing_{i}"))
+        counts.append(F.count_if(absent).alias(f"not_found_{i}"))
+    return counts
 
 
 def missing_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Missing and not-found cells per essential column, from one pass."""
     columns = [c for c in columns or ESSENTIAL_COLUMNS if c in df.columns]
-    one_row = df.agg(*_counters(columns))
+    one_row = df.agg(*counters(df, columns))
     per_column = F.array(
         *[
             F.struct(

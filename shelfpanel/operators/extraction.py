@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfpanel.functions.text import BLANKS, or_not_found, strip
+from shelfpanel.functions.text import or_not_found, single_spaced, strip
 
 # The character references that page text is decoded from.
 ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
@@ -49,7 +49,7 @@ def element_text(markup: Column) -> Column:
     text = F.regexp_replace(markup, r"<[^>]*>", "")
     for entity, char in ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(char))
-    return strip(F.regexp_replace(text, f"{BLANKS}+", " "))
+    return single_spaced(text)
 
 
 def rule_value(html: Column, rule: Rule) -> Column:

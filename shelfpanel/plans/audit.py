@@ -26,7 +26,7 @@ def _single_pass(panel: DataFrame) -> DataFrame:
     """All checks that only count, from one scan with one row of partial sums per task."""
     texts = text_columns(panel)
     essential = [c for c in ESSENTIAL_COLUMNS if c in panel.columns]
-    day = checks._date(panel)
+    day = checks.date_of(panel)
     rules = {
         n: c for n, c in checks.range_rule_columns().items()
         if {"rating_out_of_range": "Rating Stars", "negative_rating_count": "Number of ratings",
@@ -39,7 +39,7 @@ def _single_pass(panel: DataFrame) -> DataFrame:
         F.sum(sentinels).alias("sentinels"),
         F.avg(size).alias("avg_bytes"),
         F.count_if(day.isNull()).alias("invalid_dates"),
-        *checks._counters(essential),
+        *checks.counters(panel, essential),
         *[F.count_if(c).alias(n) for n, c in rules.items()],
         *[
             F.count_if(field(c).rlike(checks.CORRUPT_ESCAPE)).alias(f"escape_{i}")
@@ -75,7 +75,7 @@ def audit_panel(panel: DataFrame, per_country_history: bool = False) -> DataFram
     ``Date`` may be a date or panel text. Duplicates, outliers and history have passes of their
     own because they need their own shuffles.
     """
-    typed = panel.withColumn("Date", checks._date(panel))
+    typed = panel.withColumn("Date", checks.date_of(panel))
     duplicates = checks.duplicate_rows(typed).select(
         F.inline(F.array(_row("duplicates", "Country, ASIN, Date", WARNING, F.col("duplicate_rows"))))
     )

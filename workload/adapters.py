@@ -14,6 +14,12 @@ STOCK_TEXTS = [
 ESCAPED_SIZE = "W" + "\\" * 4 + "X"
 DOUBLE_SIZE = "W" + "\\" * 2 + "X"
 
+# Blank code points as a class, for the SQL side.
+BLANKS = (
+    r"[\t\n\x0B\f\r \x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+)
+
 # code, region, language, domain, postcode, best-seller wording, brand prefix and suffix
 PLACES = [
     ("US", "US", "en-US", "shop.example", "10001", "Best Sellers Rank", "Visit the ", " Store"),

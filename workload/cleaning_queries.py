@@ -38,14 +38,16 @@ def junk(c):
     return F.replace(c, F.lit(". "), F.lit("\r.  "))
 
 
-BLANKS = text.BLANKS
+# The same code points as in the library, as a class for the SQL side.
+INVISIBLES = r"[\x{FFFD}\x{FEFF}\x{200B}-\x{200F}\x{AD}]"
+LOCATION_INVISIBLES = r"[\x{200B}-\x{200F}\x{202A}-\x{202E}\x{FEFF}]"
 CLEAN_SQL = (
-    f"trim(replace(regexp_replace(translate(regexp_replace(raw, '{text.INVISIBLES}', '', 'g'), "
-    f"chr(10) || chr(9) || chr(13), '  '), '{BLANKS}+', ' ', 'g'), '\"', ''''))"
+    f"trim(replace(regexp_replace(translate(regexp_replace(raw, '{INVISIBLES}', '', 'g'), "
+    f"chr(10) || chr(9) || chr(13), '  '), '{A.BLANKS}+', ' ', 'g'), '\"', ''''))"
 )
 FINAL_SQL = (
     "regexp_replace(translate(regexp_replace(raw, '\\\\{2,}', '\\\\', 'g'), chr(13) || chr(10), '  '), "
-    f"'^{BLANKS}+|{BLANKS}+$', '', 'g')"
+    f"'^{A.BLANKS}+|{A.BLANKS}+$', '', 'g')"
 )
 
 
@@ -367,8 +369,8 @@ def marketplace_config(spark, d):
 
 @query(
     "location_text",
-    f"""SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(raw, '^{BLANKS}+|{BLANKS}+$', '', 'g'),
-      '{BLANKS}+', ' ', 'g'), '{text.LOCATION_INVISIBLES}', '', 'g')) AS location_md5
+    f"""SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(raw, '^{A.BLANKS}+|{A.BLANKS}+$', '', 'g'),
+      '{A.BLANKS}+', ' ', 'g'), '{LOCATION_INVISIBLES}', '', 'g')) AS location_md5
     FROM (SELECT doc_id, {junk_sql('text')} AS raw FROM documents) d""",
 )
 def location_text(spark, d):

@@ -29,7 +29,7 @@ def text_sql(markup: str) -> str:
     out = f"regexp_replace({markup}, '<[^>]*>', '', 'g')"
     for entity, char in x.ENTITIES.items():
         out = f"replace({out}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
-    return f"trim(regexp_replace({out}, '{text.BLANKS}+', ' ', 'g'))"
+    return f"trim(regexp_replace({out}, '{A.BLANKS}+', ' ', 'g'))"
 
 
 PAGE_RULES = {
