@@ -3,11 +3,11 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfpanel.functions.text import or_not_found, strip
+from shelfpanel.functions.text import or_not_found
 
 NUMBER = r"\p{Nd}+\.?\p{Nd}*"
 DIGITS = r"\p{Nd}+"
-NUMBER_CHARS = "0123456789+-.eE"
+FLOAT_TEXT = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
 # Wording of member prices.
 PRIME_JOIN = "Join Prime to buy this item at"
 PRIME_PHRASES = ["This price is exclusively for Amazon Prime members.", "Exclusive Prime price"]
@@ -38,11 +38,9 @@ def price_text(whole: Column, fraction: Column) -> Column:
 def to_number(c: Column) -> Column:
     """Text to double; anything that is not a plain number becomes null.
 
-    Letting through number characters only keeps out what a cast would also take: 'nan', 'inf',
-    '12d' and hexadecimal forms.
+    The pattern keeps out what a cast would also take: 'nan', 'inf', '12d' and hexadecimal forms.
     """
-    bare = strip(c)
-    return F.when(F.translate(bare, NUMBER_CHARS, "") == "", bare.try_cast("double"))
+    return F.when(c.rlike(FLOAT_TEXT), c.try_cast("double"))
 
 
 def reconcile_prime(

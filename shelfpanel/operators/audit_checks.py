@@ -1,5 +1,8 @@
 """Checks of a stored panel. Counting checks share one pass where they can."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +15,7 @@ from shelfpanel.schemas import ESSENTIAL_COLUMNS, KEY_COLUMNS, NOT_FOUND, field,
 # Alert limits.
 MAX_SENTINEL_RATIO = 0.3
 MAX_ROW_KB = 500
-CORRUPT_ESCAPE = r"\\{4,}"
+CORRUPT_ESCAPE = "\\" * 4
 
 
 def date_of(df: DataFrame) -> Column:
@@ -23,6 +26,11 @@ def is_sentinel(c: Column) -> Column:
     return F.coalesce(c == NOT_FOUND, F.lit(False))
 
 
+def has_corrupt_escape(c: Column) -> Column:
+    """Four backslashes in a row, which four or more always hold."""
+    return F.coalesce(c.contains(CORRUPT_ESCAPE), F.lit(False))
+
+
 def date_profile(df: DataFrame) -> DataFrame:
     """First and last date, days between, distinct dates and rows without a usable date."""
     day = date_of(df)
@@ -63,12 +71,11 @@ def escape_scan(
     """Text columns with runs of four or more backslashes: row count and first examples by key."""
     columns = columns or text_columns(df)
     key = key or KEY_COLUMNS
-    hits = F.filter(
-        F.array(*[F.struct(F.lit(c).alias("column"), field(c).alias("value")) for c in columns]),
-        lambda x: F.coalesce(x["value"].rlike(CORRUPT_ESCAPE), F.lit(False)),
-    )
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), field(c).alias("value")) for c in columns])
     key_names = [f"_key{i}" for i in range(len(key))]
-    long = df.select(*[field(k).alias(n) for k, n in zip(key, key_names)], F.inline(hits))
+    any_hit = reduce(or_, [has_corrupt_escape(field(c)) for c in columns])
+    rows = df.where(any_hit).select(*[field(k).alias(n) for k, n in zip(key, key_names)], F.inline(cells))
+    long = rows.where(has_corrupt_escape(F.col("value")))
     counts = long.groupBy("column").agg(F.count("*").alias("rows"))
     firsts = first_per_group(long, ["column"], [*key_names, "value"], examples)
     shown = firsts.groupBy("column").agg(

@@ -65,11 +65,11 @@ def field_changes(states: DataFrame, fields: list[str] | None = None) -> DataFra
             for f in fields
         ]
     )
-    differing = F.filter(per_field, lambda x: x["Value_before"] != x["Value_after"])
     rows = pairs.where(F.col("previous_seen").isNotNull()).select(
-        "Country", "ASIN", "Date", "previous_seen", F.inline(differing)
+        "Country", "ASIN", "Date", "previous_seen", F.inline(per_field)
     )
-    return rows.withColumn("Change_type", change_type(F.col("Value_before"), F.col("Value_after")))
+    before, after = F.col("Value_before"), F.col("Value_after")
+    return rows.where(before != after).withColumn("Change_type", change_type(before, after))
 
 
 def consecutive_only(changes: DataFrame, calendar: DataFrame) -> DataFrame:

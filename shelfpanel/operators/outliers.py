@@ -25,15 +25,14 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     values = F.array(
         *[F.struct(F.lit(c).alias("column"), to_number(field(c)).alias("value")) for c in columns]
     )
-    numeric = F.filter(values, lambda x: x["value"].isNotNull())
-    long = df.select("Country", F.inline(numeric))
+    long = df.select("Country", F.inline(values))
+    # The joins below would add such conditions to some uses of the counts only, and uses that
+    # differ cannot share the one shuffle.
+    usable = long.where(F.col("Country").isNotNull() & F.col("value").isNotNull())
+    counts = usable.groupBy(*GROUP, "value").agg(F.count("*").alias("n"))
     v = F.col("value")
     rising = F.floor(F.signum(v) * F.log1p(F.abs(v)) * BINS_PER_E)
-    # The joins below would add these conditions to some uses of the counts only, and uses that
-    # differ cannot share the one shuffle.
-    usable = F.col("Country").isNotNull() & v.isNotNull() & F.col("bin").isNotNull()
-    binned = long.withColumn("bin", rising).where(usable)
-    return binned.groupBy(*BIN, "value").agg(F.count("*").alias("n"))
+    return counts.withColumn("bin", F.coalesce(rising, F.lit(0)))
 
 
 def bin_ranges(counts: DataFrame) -> DataFrame:

@@ -42,7 +42,7 @@ def _single_pass(panel: DataFrame) -> DataFrame:
         *checks.counters(panel, essential),
         *[F.count_if(c).alias(n) for n, c in rules.items()],
         *[
-            F.count_if(field(c).rlike(checks.CORRUPT_ESCAPE)).alias(f"escape_{i}")
+            F.count_if(checks.has_corrupt_escape(field(c))).alias(f"escape_{i}")
             for i, c in enumerate(texts)
         ],
     )
