@@ -76,7 +76,8 @@ def consecutive_only(changes: DataFrame, calendar: DataFrame) -> DataFrame:
     """Changes whose two dates follow each other in the country's calendar.
 
     A key that skipped a collection date has no event there. The join runs on the changes, which
-    are few, instead of on the panel.
+    are few, instead of on the panel; ``calendar`` should come with a broadcast hint, since many
+    changes share a country and date.
     """
     steps = calendar.select("Country", "Date", F.col("previous_date").alias("previous_seen"))
     return changes.join(steps, ["Country", "Date", "previous_seen"], "left_semi")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfpanel.functions.addresses import is_valid_asin
 from shelfpanel.functions.text import is_missing, strip
+from shelfpanel.sources.marketplaces import dimension
 
 FLAGS = ["page_invalid", "redirected"]
 
@@ -45,12 +46,12 @@ def invalid_page_keys(corrected: DataFrame) -> DataFrame:
 
 
 def known_countries(df: DataFrame, marketplaces: DataFrame) -> DataFrame:
-    return df.join(marketplaces.select("Country"), "Country", "left_semi")
+    return df.join(dimension(marketplaces), "Country", "left_semi")
 
 
 def unknown_countries(df: DataFrame, marketplaces: DataFrame) -> DataFrame:
     """Rows whose country is not a marketplace (also those without a country)."""
-    return df.join(marketplaces.select("Country"), "Country", "left_anti")
+    return df.join(dimension(marketplaces), "Country", "left_anti")
 
 
 def only_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:

@@ -27,17 +27,25 @@ def number_within(
     order: list[Column | str],
     name: str,
     size_name: str | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Add the 1-based position of each row in its group, ordered by slice and then ``order``.
 
+    With ``weight``, a column saying for how many equal rows a row stands, the position is that
+    of the last of them; ``order`` must then tell all rows of a slice apart.
     ``slice_by`` must not be null and must not fall as the wanted order rises. ``size_name`` also
     adds the group size.
     """
     tagged = df.withColumns({"_group": group_text(keys), "_slice": slice_by})
     in_slice = Window.partitionBy("_group", "_slice").orderBy(*order)
-    numbered = tagged.withColumn("_local", F.row_number().over(in_slice))
-
-    sizes = tagged.groupBy("_group", "_slice").agg(F.count("*").alias("_rows"))
+    if weight:
+        so_far = in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        local, rows = F.sum(weight).over(so_far), F.sum(weight)
+    else:
+        local, rows = F.row_number().over(in_slice), F.count("*")
+    numbered = tagged.withColumn("_local", local)
+
+    sizes = tagged.groupBy("_group", "_slice").agg(rows.alias("_rows"))
     group = Window.partitionBy("_group")
     before = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

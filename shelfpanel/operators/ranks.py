@@ -9,24 +9,41 @@ from shelfpanel.schemas import field
 RANK_SLICE = 1024
 
 
-def renumber_ranks(tiles: DataFrame, ties: list[str] | None = None) -> DataFrame:
-    """Rank counted anew inside (Date, Country, Keyword, Sponsored), in the old rank's order."""
-    keys = ["Date", "Country", "Keyword", "Sponsored"]
+RANK_GROUP = ["Date", "Country", "Keyword", "Sponsored"]
+
+
+def _numbered(tiles: DataFrame, weight: str | None = None) -> DataFrame:
+    """Tiles with their rank counted anew; equal ranks follow in the order of all other columns."""
+    columns = [c for c in tiles.columns if c != weight]
+    ties = ["ASIN"] + [c for c in columns if c not in (*RANK_GROUP, "Rank", "ASIN")]
     numbered = number_within(
         tiles,
-        keys,
+        RANK_GROUP,
         F.coalesce(F.floor(F.col("Rank") / RANK_SLICE), F.lit(2**53)),
-        [F.col("Rank").asc_nulls_last(), *(ties or ["ASIN"])],
+        [F.col("Rank").asc_nulls_last(), *[field(c) for c in ties]],
         "_new_rank",
+        weight=weight,
     )
     return numbered.select(
-        *[
-            F.col("_new_rank").cast("int").alias("Rank") if c == "Rank" else field(c)
-            for c in tiles.columns
-        ]
+        *[F.col("_new_rank").cast("int").alias("Rank") if c == "Rank" else field(c) for c in columns]
     )
 
 
+def renumber_ranks(tiles: DataFrame) -> DataFrame:
+    """Rank counted anew inside (Date, Country, Keyword, Sponsored), in the old rank's order."""
+    return _numbered(tiles)
+
+
+def last_ranks(tiles: DataFrame) -> DataFrame:
+    """Distinct tiles with the new rank of the last of their copies.
+
+    What ``renumber_ranks`` gives, without its rows that the keep-last steps drop: copies are
+    counted before the shuffle, so a tile stored very many times stays one row.
+    """
+    counted = tiles.groupBy(*[field(c) for c in tiles.columns]).agg(F.count("*").alias("_copies"))
+    return _numbered(counted, "_copies")
+
+
 def _pivot_keys(tiles: DataFrame) -> list[str]:
     return [c for c in tiles.columns if c not in ("Rank", "Sponsored")]
 

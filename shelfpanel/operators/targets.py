@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfpanel.functions.addresses import product_url, search_url
+from shelfpanel.sources.marketplaces import dimension
 
 URL_SUFFIX = "?th=1"
 
@@ -15,7 +16,7 @@ def union_targets(own: DataFrame, competitors: DataFrame) -> DataFrame:
 
 
 def with_product_urls(targets: DataFrame, marketplaces: DataFrame) -> DataFrame:
-    places = marketplaces.select("Country", "base_url")
+    places = dimension(marketplaces, "base_url")
     joined = targets.join(places, "Country")
     return joined.select(
         *targets.columns, product_url(F.col("base_url"), F.col("ASIN"), URL_SUFFIX).alias("Url")
@@ -24,7 +25,7 @@ def with_product_urls(targets: DataFrame, marketplaces: DataFrame) -> DataFrame:
 
 def with_search_urls(keywords: DataFrame, marketplaces: DataFrame) -> DataFrame:
     """Search address for every keyword of a region in each of its countries."""
-    places = marketplaces.select("Country", "region", "domain")
+    places = dimension(marketplaces, "region", "domain")
     listed = keywords.select(F.col("Sales Region").alias("region"), F.col("Keywords").alias("Keyword"))
     return listed.join(places, "region").select(
         "Country", "region", "Keyword", search_url(F.col("domain"), F.col("Keyword")).alias("Url")

@@ -7,13 +7,14 @@ from shelfpanel.functions.dates import event_text
 from shelfpanel.operators import changes as ops
 from shelfpanel.operators.dedup import keep_last
 from shelfpanel.schemas import EVENT_COLUMNS, KEY_COLUMNS
-from shelfpanel.session import broadcast_within, has_at_most
+from shelfpanel.session import has_at_most, stored_small
 from shelfpanel.sources.tables import own_asins, own_skus
 
 LISTING = ["Country", "ASIN"]
 # About 100 MB of keys; more than that is joined by a shuffle.
 MAX_OWN_KEYS = 1_000_000
-MAX_LATEST = 20_000
+# A thousand countries over some thirty years, about 60 MB.
+MAX_CALENDAR = 1_000_000
 
 
 class _OwnRows:
@@ -81,7 +82,7 @@ def backfill_changes(
     if start is not None:
         rows = rows.where(F.col("Date") >= F.lit(start).cast("date"))
     own = _OwnRows(rows, listings, max_keys)
-    calendar = ops.collection_calendar(own.days())
+    calendar = stored_small(ops.collection_calendar(own.days()), MAX_CALENDAR)
     states = own.states(fields, order or [], unique)
     return _named(ops.consecutive_only(ops.field_changes(states, fields), calendar), listings)
 
@@ -97,13 +98,13 @@ def latest_changes(
 ) -> DataFrame:
     """Change events between the last two collection dates of each country.
 
-    Two rows per country say which dates those are; joined to the panel as a checked broadcast
-    they also keep Spark from reading other dates of a panel stored by country and date.
+    Two rows of the calendar per country say which dates those are; broadcast to the panel they
+    also keep Spark from reading other dates of a panel stored by country and date.
     """
     rows = panel.where(F.col("Country").isin(countries)) if countries else panel
     own = _OwnRows(rows, listings, max_keys)
-    calendar = ops.collection_calendar(own.days())
+    calendar = stored_small(ops.collection_calendar(own.days()), MAX_CALENDAR)
     last_two = calendar.where("from_last <= 2").select("Country", "Date")
-    states = own.states(fields, order or [], unique, broadcast_within(last_two, MAX_LATEST))
+    states = own.states(fields, order or [], unique, last_two)
     newest = calendar.where("from_last = 1")
     return _named(ops.consecutive_only(ops.field_changes(states, fields), newest), listings)

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from shelfpanel.functions import numbers, text
 from shelfpanel.functions.addresses import product_url
 from shelfpanel.functions.dates import date_created
-from shelfpanel.operators.keys import FLAGS, correct_redirects, known_countries
+from shelfpanel.operators.keys import FLAGS, correct_redirects
 from shelfpanel.schemas import ensure_columns, field, text_columns
+from shelfpanel.sources.marketplaces import dimension
 
 PAGE_TEXTS = [
     "Features", "Name", "Brand", "Product Category", "Stock", "Badge", "Merchant", "Coupon",
@@ -28,8 +29,8 @@ def clean_observations(
     ``list_price='as_price'`` starts the list price from the price. ``keep_flags`` keeps the
     columns ``Requested ASIN``, ``redirected`` and ``page_invalid`` for run quality.
     """
-    rows = ensure_columns(known_countries(observations, marketplaces), ["ASIN Product Page"])
-    fixed = correct_redirects(rows)
+    # The inner join to the marketplaces below also drops rows of unknown countries.
+    fixed = correct_redirects(ensure_columns(observations, ["ASIN Product Page"]))
     cleaned = fixed.withColumns({c: text.clean_text(field(c)) for c in PAGE_TEXTS if c in fixed.columns})
 
     have = set(cleaned.columns)
@@ -63,7 +64,7 @@ def clean_observations(
         rules["Size Name"] = text.size_name(field("Size Name"))
     ruled = cleaned.withColumns(rules)
 
-    places = marketplaces.select("Country", "base_url")
+    places = dimension(marketplaces, "base_url")
     linked = ruled.drop("Link", "Is Match ASIN").join(places, "Country")
     linked = linked.withColumn("Link", product_url(F.col("base_url"), F.col("ASIN"))).drop("base_url")
 

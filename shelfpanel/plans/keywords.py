@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfpanel.operators.dedup import keep_last
-from shelfpanel.operators.ranks import pivot_ranks, renumber_ranks
+from shelfpanel.operators.ranks import last_ranks, pivot_ranks
 from shelfpanel.schemas import KEYWORD_KEY
 
 RANKS = ["Organic Rank", "Sponsored Rank"]
@@ -19,8 +19,6 @@ def merge_keyword_panel(existing: DataFrame | None, pivoted: DataFrame) -> DataF
     return keep_last(rows, KEYWORD_KEY, ["_age", *RANKS]).drop("_age")
 
 
-def keyword_panel(
-    tiles: DataFrame, existing: DataFrame | None = None, ties: list[str] | None = None
-) -> DataFrame:
+def keyword_panel(tiles: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Tiles of search pages to the rank panel, merged with what is stored."""
-    return merge_keyword_panel(existing, pivot_ranks(renumber_ranks(tiles, ties)))
+    return merge_keyword_panel(existing, pivot_ranks(last_ranks(tiles)))

@@ -9,7 +9,7 @@ from shelfpanel.functions.dates import event_text, panel_text
 from shelfpanel.operators import extraction as x
 from shelfpanel.operators.extraction import Rule
 from shelfpanel.schemas import NOT_FOUND, OBSERVATION_COLUMNS, TILE_COLUMNS
-from shelfpanel.sources.marketplaces import lookup
+from shelfpanel.sources.marketplaces import dimension, lookup
 
 # Where the fields of a product page are found.
 PRODUCT_RULES = {
@@ -149,7 +149,7 @@ def extract_products(
     the page, so this is one scan with no shuffle; marketplaces is a small dimension.
     """
     fields = fields or PRODUCT_RULES
-    places = marketplaces.select("Country", "bsr_search_text", "brand_prefix", "brand_suffix")
+    places = dimension(marketplaces, "bsr_search_text", "brand_prefix", "brand_suffix")
     p = pages.join(places, "Country")
     html = F.col("html")
     page_key = x.first_found(html, PAGE_KEY_RULES)
@@ -197,8 +197,9 @@ def extract_search(
     """
     fields = fields or TILE_RULES
     deals = TILE_DEALS if deals is None else deals
-    places = marketplaces.select("Country", "sponsored_text", "bought_text", "coupon_suffix_text")
-    keep = ["Country", "Keyword", "sponsored_text", "bought_text", "coupon_suffix_text"]
+    texts = ["sponsored_text", "bought_text", "coupon_suffix_text"]
+    places = dimension(marketplaces, *texts)
+    keep = ["Country", "Keyword", *texts]
     t = x.tiles(pages.join(places, "Country"), tile_start, keep)
     tile = F.col("tile")
     spans = F.transform(F.regexp_extract_all(tile, F.lit(r"<span\b[^>]*>([^<]*)</span>"), F.lit(1)), text.strip)

@@ -36,3 +36,12 @@ def broadcast_within(small: DataFrame, max_rows: int) -> DataFrame:
     hint and the planner picks a shuffled join.
     """
     return F.broadcast(small) if has_at_most(small, max_rows) else small
+
+
+def stored_small(small: DataFrame, max_rows: int) -> DataFrame:
+    """``small`` computed once into the shared checkpoint folder, with a checked broadcast hint.
+
+    For a small side that several parts of a plan use and that takes a pass over a large table.
+    """
+    ensure_checkpoint_dir(small.sparkSession)
+    return broadcast_within(small.checkpoint(), max_rows)

@@ -5,6 +5,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfpanel.session import broadcast_within
+
+MAX_MARKETPLACES = 10_000
 # Currency symbol expected per country, and other ways a symbol is written.
 CURRENCY_SYMBOLS = {
     "US": "$", "GB": "£", "DE": "€", "FR": "€", "IT": "€", "ES": "€", "CA": "$", "MX": "$",
@@ -110,6 +113,15 @@ def read_marketplaces(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def dimension(marketplaces: DataFrame, *columns: str) -> DataFrame:
+    """Columns of the marketplaces for a join, broadcast after a look at how many there are.
+
+    A frame made from local rows has no known size, and a join on the country that is not a
+    broadcast would bring a whole country to one task.
+    """
+    return broadcast_within(marketplaces.select("Country", *columns), MAX_MARKETPLACES)
+
+
 def lookup(values: dict[str, str | float], key):
     """Fixed small table as an expression: the value for ``key``, null where there is none."""
     entries = [F.lit(x) for pair in values.items() for x in pair]

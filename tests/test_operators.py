@@ -344,3 +344,14 @@ def test_targets(spark):
     assert rows(targets.first_targets(union, 2, [("US", "Z")])) == [("DE", "B"), ("US", "A"), ("US", "Z")]
     words = spark.createDataFrame([("EU", "bin lid"), ("US", "box")], "`Sales Region` string, Keywords string")
     assert targets.with_search_urls(words, A.marketplaces(spark)).count() == 5
+
+
+def test_copies_of_tiles_count_in_the_ranks(spark):
+    tiles = spark.createDataFrame(
+        [tile(1, "A", "No")] * 3 + [tile(2, "B", "No"), tile(3, "A", "No"), tile(3, "A", "Yes"), tile(3, "C", "No")], TILE_SCHEMA
+    )
+    by_row, by_copy = (ranks.pivot_ranks(f(tiles)) for f in (ranks.renumber_ranks, ranks.last_ranks))
+    want = [("A", 5, 1), ("B", 4, None), ("C", 6, None)]
+    assert rows(by_row, "ASIN", "Organic Rank", "Sponsored Rank") == want
+    assert rows(by_copy, "ASIN", "Organic Rank", "Sponsored Rank") == want
+    assert ranks.last_ranks(tiles).count() == 5

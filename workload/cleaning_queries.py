@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from shelfpanel.functions import addresses, dates, numbers, text
 from shelfpanel.operators.keys import correct_redirects, unknown_countries
-from shelfpanel.sources.marketplaces import merge_maps
+from shelfpanel.sources.marketplaces import dimension, merge_maps
 from workload import adapters as A
 
 QUERIES, ORACLES = {}, {}
@@ -301,7 +301,7 @@ def bsr_split(spark, d):
 )
 def brand_strip(spark, d):
     s = A.table(spark, d, "supplier").withColumn("Country", A.code_of(F.col("s_nationkey")))
-    joined = s.join(A.marketplaces(spark), "Country")
+    joined = s.join(dimension(A.marketplaces(spark), "brand_prefix", "brand_suffix"), "Country")
     shown = F.concat("brand_prefix", "s_name", "brand_suffix")
     gl = F.concat(F.lit("gl_"), F.col("s_nationkey").cast("string"), F.lit("_tools"))
     return joined.select(
@@ -338,7 +338,7 @@ def search_url(spark, d):
         "Country", F.when(F.col("p_size") % 2 == 0, "US").otherwise("DE")
     )
     keyword = F.concat("p_name", F.lit(" & ~*é "), "p_brand")
-    return p.join(A.marketplaces(spark), "Country").select(
+    return p.join(dimension(A.marketplaces(spark), "domain"), "Country").select(
         "p_partkey", addresses.search_url(F.col("domain"), keyword).alias("url")
     )
 

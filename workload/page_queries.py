@@ -9,6 +9,7 @@ from shelfpanel.plans.clean import clean_observations
 from shelfpanel.plans.pages import extract_products, extract_search, observed_page_facts
 from shelfpanel.plans.pages import selector_coverage as coverage_of
 from shelfpanel.plans.verification import verify_pages
+from shelfpanel.sources.marketplaces import dimension
 from workload import adapters as A
 
 QUERIES, ORACLES = {}, {}
@@ -226,7 +227,9 @@ def product_pages(spark, d):
         F.lit('</div><script>{"immutableParams":{"ptd":"BOX","pgid":"home_box_display_on_website"}}</script></body>'),
     )
     pages = A.table(spark, d, "pages").withColumn("Country", country)
-    return pages.join(A.marketplaces(spark), "Country").select(
+    return pages.join(
+        dimension(A.marketplaces(spark), "brand_prefix", "brand_suffix", "bsr_search_text", "zip_code"), "Country"
+    ).select(
         "Country",
         A.asin_of(n).alias("ASIN"),
         F.concat(F.lit("https://shop.example/dp/"), A.asin_of(F.when(n % 10 == 0, n + 1).otherwise(n))).alias("url"),

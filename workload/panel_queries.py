@@ -6,7 +6,7 @@ from shelfpanel.functions.dates import event_text
 from shelfpanel.functions.states import STOCK_PATTERNS, stock_class
 from shelfpanel.operators import changes as ch
 from shelfpanel.operators.keys import only_keys
-from shelfpanel.operators.ranks import pivot_ranks, renumber_ranks
+from shelfpanel.operators.ranks import last_ranks, pivot_ranks, renumber_ranks
 from shelfpanel.plans import changes as plans
 from shelfpanel.plans.keywords import keyword_panel
 from shelfpanel.plans.panel import deduplicate_panel, upsert_panel
@@ -217,7 +217,7 @@ def rank_renumber(spark, d):
     AND o."Bought Past Month" = s."Bought Past Month" AND o."Deal" = s."Deal" GROUP BY ALL""",
 )
 def rank_pivot(spark, d):
-    return pivot_ranks(renumber_ranks(A.keyword_tiles(spark, d)))
+    return pivot_ranks(last_ranks(A.keyword_tiles(spark, d)))
 
 
 @query(

@@ -13,6 +13,7 @@ from shelfpanel.operators.verification import (
     currency_verdict,
     region_is_valid,
 )
+from shelfpanel.sources.marketplaces import dimension
 from shelfpanel.sources.tables import active_listings, own_asins
 from workload import adapters as A
 
@@ -273,7 +274,7 @@ def region_check(spark, d):
         A.code_of(F.col("c_custkey")).alias("Country"),
         F.get(F.array(*[F.lit(p) for p in PLACE_TEXTS]), (F.col("c_nationkey") % 10).cast("int")).alias("loc"),
     )
-    judged = c.join(A.marketplaces(spark), "Country").select(
+    judged = c.join(dimension(A.marketplaces(spark), "zip_code"), "Country").select(
         "Country",
         F.lower(F.coalesce(F.trim("loc"), F.lit(""))).alias("location"),
         region_is_valid(F.col("loc"), F.col("zip_code")).alias("valid"),
