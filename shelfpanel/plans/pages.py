@@ -53,6 +53,34 @@ PRODUCT_RULES = {
         Rule("mvt", r'(?s)<span\b(?=[^>]*class="[^"]*mvt)(?=[^>]*class="[^"]*badge)[^>]*>(.*?)</span>')
     ],
 }
+# A field that is only read on request.
+EXTRA_RULES = {
+    "Freq Badge": [Rule("returned", r'(?s)id="NEW_1_nostos_badge".*?<p[^>]*>\s*<span[^>]*>(.*?)</span>')]
+}
+# Places where deal and coupon texts have been seen, in order of preference.
+CANDIDATE_RULES = {
+    "Limited Time Deal": [
+        Rule("id dealBadgeSupportingText", x.element_with("id", "dealBadgeSupportingText")),
+        Rule("id deal-badge-msg", x.element_with("id", "deal-badge-msg")),
+        Rule("price in feature", r'(?s)id="dealBadgeDisplayFeature_feature_div".*?<span[^>]*a-color-price[^>]*>(.*?)</span>'),
+        Rule("bold in feature", r'(?s)id="dealBadgeDisplayFeature_feature_div".*?<span[^>]*a-text-bold[^>]*>(.*?)</span>'),
+        Rule("feature", r'(?s)<div\b[^>]*\bid="dealBadgeDisplayFeature_feature_div"[^>]*>(.*?)</div>'),
+        Rule("class part deal-badge", r'(?s)<span\b[^>]*\bclass="[^"]*deal-badge[^"]*"[^>]*>(.*?)</span>'),
+        Rule("class dealBadge", x.element_with_class("dealBadge")),
+        Rule("feature name dealBadge", x.element_with("data-feature-name", "dealBadge")),
+        Rule("label feature", x.element_with("id", "limitedTimeDealLabel_feature_div", "div")),
+        Rule("id deal-badge-label", x.element_with("id", "deal-badge-label", "span")),
+    ],
+    "Coupon": [
+        Rule("class promoPriceBlockMessage", x.element_with_class("promoPriceBlockMessage")),
+        Rule("id couponBadgeRegular", x.element_with("id", "couponBadgeRegular")),
+        Rule("class coupon-badge", x.element_with_class("coupon-badge")),
+        Rule("feature", x.element_with("id", "couponBadgeDisplayFeature_feature_div", "div")),
+        Rule("class part coupon", r'(?s)<span\b[^>]*\bclass="[^"]*coupon[^"]*"[^>]*>(.*?)</span>'),
+        Rule("feature name couponBadge", x.element_with("data-feature-name", "couponBadge")),
+        Rule("promo feature", x.element_with("id", "promoPriceBlockMessage_feature_div", "div")),
+    ],
+}
 # Wording of a member-price note per country.
 MEMBER_NOTES = {
     "US": "exclusively for Amazon Prime members",
@@ -232,6 +260,8 @@ def observed_page_facts(pages: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-def selector_coverage(pages: DataFrame, candidates: dict[str, list[Rule]]) -> DataFrame:
+def selector_coverage(
+    pages: DataFrame, candidates: dict[str, list[Rule]] | None = None
+) -> DataFrame:
     """How the candidate rules of each field do over the stored pages."""
-    return x.rule_coverage(pages, candidates)
+    return x.rule_coverage(pages, candidates or CANDIDATE_RULES)

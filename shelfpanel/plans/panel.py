@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfpanel.functions.dates import panel_date, panel_text
+from shelfpanel.functions.dates import iso_date, panel_date, panel_text
 from shelfpanel.operators.dedup import keep_last
 from shelfpanel.schemas import KEY_COLUMNS
 from shelfpanel.session import broadcast_within
@@ -41,17 +41,38 @@ def panel_as_text(panel: DataFrame) -> DataFrame:
     return panel.withColumn("Date", panel_text(F.col("Date")))
 
 
+def stored_rows_like(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of the stored panel in the country and date folders that ``new`` has rows for.
+
+    An equality join with a broadcast list of folders lets Spark skip all other folders when it
+    reads. Rows without a country or date cannot match by equality; their few folders are picked
+    by a fixed filter and compared null-safe.
+    """
+    touched = new.select("Country", "Date").distinct()
+    folders = broadcast_within(touched, MAX_TOUCHED)
+    # Spark prunes folders only for a list that it expects to be selective, hence the comparison.
+    dated = folders.where(F.col("Date") >= F.lit("0001-01-01").cast("date"))
+    usual = stored.join(dated, ["Country", "Date"], "left_semi")
+    odd = stored.where(F.col("Country").isNull() | F.col("Date").isNull())
+    bare = folders.where(F.col("Country").isNull() | F.col("Date").isNull())
+    same = odd["Country"].eqNullSafe(bare["Country"]) & odd["Date"].eqNullSafe(bare["Date"])
+    return usual.unionByName(odd.join(bare, same, "left_semi"))
+
+
 def upsert_panel_table(spark: SparkSession, path: str, new: DataFrame) -> None:
     """Upsert into the stored panel, touching only the countries and dates of ``new``.
 
-    The list of touched folders is joined to the stored panel, so Spark reads only those, and
-    only those are replaced. A day's batch costs what that day costs, not what the panel costs.
+    Only the touched folders are read and replaced, so a day's batch costs what that day costs
+    and not what the panel costs.
     """
     typed = _typed(new)
-    touched = typed.select("Country", "Date").distinct()
-    # Compared null-safe: rows without a date live in a folder of their own.
-    stored = _typed(read_panel(spark, path))
-    t = broadcast_within(touched, MAX_TOUCHED)
-    same = stored["Country"].eqNullSafe(t["Country"]) & stored["Date"].eqNullSafe(t["Date"])
-    affected = stored.join(t, same, "left_semi")
+    affected = stored_rows_like(_stored_panel(spark, path), typed)
     write_panel_table(upsert_panel(affected, typed), path)
+
+
+def _stored_panel(spark: SparkSession, path: str) -> DataFrame:
+    """Stored panel with a date column, also where folder names are read as text."""
+    stored = read_panel(spark, path)
+    if dict(stored.dtypes)["Date"] == "string":
+        return stored.withColumn("Date", iso_date(F.col("Date")))
+    return stored

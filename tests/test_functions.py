@@ -126,6 +126,7 @@ def test_dates(values):
     assert values(day, ["05/16/2026", "5/6/2026", "2026-05-16", "13/40/2026", "", None]) == [
         "2026-05-16", "2026-05-06", None, None, None, None
     ]
+    assert values(dates.event_text(dates.iso_date(C)), ["2026-05-16", "05/16/2026", None]) == ["2026-05-16", None, None]
     created = ["March 5, 2021", "5 March 2021", "Mar 5, 2021", "2021-03-05", "3/5/2021", "5. März 2021", NF, None]
     assert values(dates.date_created(C), created) == ["03/05/2021"] * 5 + [NF] * 3
 

@@ -11,7 +11,7 @@ from shelfpanel.plans.audit import audit_panel, audit_verdict
 from shelfpanel.plans.changes import backfill_changes, latest_changes
 from shelfpanel.plans.clean import clean_observations
 from shelfpanel.plans.keywords import keyword_panel
-from shelfpanel.plans.pages import extract_products, extract_search
+from shelfpanel.plans.pages import EXTRA_RULES, PRODUCT_RULES, extract_products, extract_search, selector_coverage
 from shelfpanel.plans.panel import deduplicate_panel, upsert_panel
 from shelfpanel.plans.run_quality import price_ped_rows, run_quality, store_run_quality
 from shelfpanel.plans.targets import collection_targets
@@ -241,3 +241,22 @@ def test_verification_rates(spark):
     assert checked.where("currency_valid").count() == 250 and checked.where("region_valid").count() == 500
     rate = sampled_check_rates(checked).collect()[0]
     assert 0 < rate["failed"] < rate["checks"] < 200
+
+
+def test_default_candidates(spark):
+    html = [
+        '<div class="a dealBadge">Deal</div><span class="x-coupon-y">Save</span>',
+        '<span id="dealBadgeSupportingText"></span><b id="deal-badge-msg">Msg</b>',
+    ]
+    pages = spark.createDataFrame([(h,) for h in html], "html string")
+    got = {(r["field"], r["rule"]): (r["found"], r["found_empty"], r["best"]) for r in selector_coverage(pages).collect()}
+    assert got["Limited Time Deal", "class dealBadge"] == (1, 0, 1)
+    assert got["Limited Time Deal", "id dealBadgeSupportingText"] == (0, 1, 0)
+    assert got["Limited Time Deal", "id deal-badge-msg"] == (1, 0, 1)
+    assert got["Coupon", "class part coupon"] == (1, 0, 1)
+    extra = extract_products(
+        spark.createDataFrame([("US", "B", "u", '<div id="NEW_1_nostos_badge"><h5><p><span>Often</span></p></h5></div>')],
+                              "Country string, ASIN string, url string, html string"),
+        A.marketplaces(spark), F.lit("2026-05-16").cast("date"), {**PRODUCT_RULES, **EXTRA_RULES},
+    )
+    assert rows(extra, "Freq Badge") == [("Often",)]

@@ -7,7 +7,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from shelfpanel import schemas as S
-from shelfpanel.plans.panel import panel_as_text, upsert_panel_table
+from shelfpanel.plans.changes import latest_changes
+from shelfpanel.plans.panel import panel_as_text, stored_rows_like, upsert_panel_table
 from shelfpanel.sources import marketplaces, sinks, tables
 
 NF = "Not Found"
@@ -157,3 +158,35 @@ def test_stored_pages(spark, tmp_path):
     df = spark.range(2).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.lit("<p>").alias("html"))
     df.write.parquet(str(tmp_path / "pages"))
     assert tables.read_pages(spark, str(tmp_path / "pages")).count() == 2
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_touched_folders_are_read(spark, tmp_path):
+    path = str(tmp_path / "panel")
+    days = [date(2026, 5, d) for d in range(1, 9)]
+    sinks.write_panel_table(panel_frame(spark, [("US", f"A{i}", d, "n") for d in days for i in range(5)]), path)
+    stored = tables.read_panel(spark, path)
+    new = panel_frame(spark, [("US", "A0", days[3], "x")])
+    picked = stored_rows_like(stored, new)
+    assert "dynamicpruning" in plan_of(picked)
+    assert picked.count() == 5
+    # The odd rows come from folders chosen when the plan is made.
+    assert "isnull(Date" in plan_of(picked).replace("#", "")
+
+    listings = spark.createDataFrame([(f"A{i}", "s", "US", "Active") for i in range(5)], S.LISTING_SCHEMA)
+    later = panel_frame(spark, [("US", "A0", days[7], "x")]).withColumn("Badge", F.lit("b"))
+    upsert_panel_table(spark, path, later)
+    changed = latest_changes(tables.read_panel_fields(spark, path), listings, unique=True)
+    assert "dynamicpruning" in plan_of(changed)
+
+
+def test_rows_without_country_or_date_are_kept(spark, tmp_path):
+    path = str(tmp_path / "panel")
+    d1 = date(2026, 5, 1)
+    upsert_panel_table(spark, path, panel_frame(spark, [(None, "A", d1, "a"), ("US", "B", None, "b"), (None, "C", None, "c")]))
+    upsert_panel_table(spark, path, panel_frame(spark, [(None, "X", d1, "x"), ("US", "Y", None, "y"), (None, "C", None, "new")]))
+    got = rows(tables.read_panel(spark, path), "Country", "ASIN", "Date", "Name")
+    assert sorted(r[1] + r[3] for r in got) == ["Aa", "Bb", "Cnew", "Xx", "Yy"]
