@@ -25,7 +25,7 @@ def _numbered(tiles: DataFrame, weight: str | None = None) -> DataFrame:
         weight=weight,
     )
     return numbered.select(
-        *[F.col("_new_rank").cast("int").alias("Rank") if c == "Rank" else field(c) for c in columns]
+        *[F.col("_new_rank").alias("Rank") if c == "Rank" else field(c) for c in columns]
     )
 
 

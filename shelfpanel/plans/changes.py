@@ -55,6 +55,11 @@ class _OwnRows:
         return states if self.early else states.join(self.keys, LISTING)
 
 
+def _limited(panel: DataFrame, start: str | None, countries: list[str] | None) -> DataFrame:
+    rows = panel.where(F.col("Country").isin(countries)) if countries else panel
+    return rows if start is None else rows.where(F.col("Date") >= F.lit(start).cast("date"))
+
+
 def _named(changed: DataFrame, listings: DataFrame) -> DataFrame:
     events = ops.with_sku(changed, own_skus(listings))
     return events.withColumn("Date", event_text(F.col("Date"))).select(*EVENT_COLUMNS)
@@ -76,12 +81,7 @@ def backfill_changes(
     key. Pass ``unique=True`` for a stored panel, which already has one row per key: that saves a
     shuffle.
     """
-    rows = panel
-    if countries:
-        rows = rows.where(F.col("Country").isin(countries))
-    if start is not None:
-        rows = rows.where(F.col("Date") >= F.lit(start).cast("date"))
-    own = _OwnRows(rows, listings, max_keys)
+    own = _OwnRows(_limited(panel, start, countries), listings, max_keys)
     calendar = stored_small(ops.collection_calendar(own.days()), MAX_CALENDAR)
     states = own.states(fields, order or [], unique)
     return _named(ops.consecutive_only(ops.field_changes(states, fields), calendar), listings)
@@ -90,6 +90,7 @@ def backfill_changes(
 def latest_changes(
     panel: DataFrame,
     listings: DataFrame,
+    start: str | None = None,
     countries: list[str] | None = None,
     fields: list[str] | None = None,
     order: list[str] | None = None,
@@ -99,10 +100,10 @@ def latest_changes(
     """Change events between the last two collection dates of each country.
 
     Two rows of the calendar per country say which dates those are; broadcast to the panel they
-    also keep Spark from reading other dates of a panel stored by country and date.
+    also keep Spark from reading other dates of a panel stored by country and date. ``start``
+    limits how far back the dates are looked for.
     """
-    rows = panel.where(F.col("Country").isin(countries)) if countries else panel
-    own = _OwnRows(rows, listings, max_keys)
+    own = _OwnRows(_limited(panel, start, countries), listings, max_keys)
     calendar = stored_small(ops.collection_calendar(own.days()), MAX_CALENDAR)
     last_two = calendar.where("from_last <= 2").select("Country", "Date")
     states = own.states(fields, order or [], unique, last_two)

@@ -47,8 +47,8 @@ EVENT_SCHEMA = text_schema(EVENT_COLUMNS)
 KEYWORD_PANEL_SCHEMA = T.StructType(
     text_schema([c for c in TILE_COLUMNS if c not in ("Rank", "Sponsored")]).fields
     + [
-        T.StructField("Organic Rank", T.IntegerType()),
-        T.StructField("Sponsored Rank", T.IntegerType()),
+        T.StructField("Organic Rank", T.LongType()),
+        T.StructField("Sponsored Rank", T.LongType()),
     ]
 )
 SUMMARY_SCHEMA = T.StructType(

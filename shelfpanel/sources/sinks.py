@@ -40,26 +40,25 @@ def write_panel_table(panel: DataFrame, path: str, mode: str = "overwrite") -> N
     )
 
 
-def append_events(events: DataFrame, path: str) -> None:
-    """Add change events; a second run for the same dates and countries replaces the first."""
+def _write_events(events: DataFrame, path: str, overwrite: str) -> None:
+    # One task per folder or several for a large one, instead of a small file from every task.
+    rows = events.select(*EVENT_COLUMNS).hint("rebalance", F.col("Date"), F.col("Country"))
     (
-        events.select(*EVENT_COLUMNS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", overwrite)
         .partitionBy("Date", "Country")
         .parquet(path)
     )
 
 
+def append_events(events: DataFrame, path: str) -> None:
+    """Add change events; a second run for the same dates and countries replaces the first."""
+    _write_events(events, path, "dynamic")
+
+
 def rebuild_events(events: DataFrame, path: str) -> None:
     """Replace the whole event table."""
-    (
-        events.select(*EVENT_COLUMNS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("Date", "Country")
-        .parquet(path)
-    )
+    _write_events(events, path, "static")
 
 
 def append_table(rows: DataFrame, path: str) -> None:

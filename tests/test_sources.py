@@ -150,7 +150,7 @@ def test_keyword_panel_round_trip(spark, tmp_path):
     )
     sinks.write_keyword_csv(df, str(tmp_path / "k"))
     back = tables.read_keyword_panel(spark, str(tmp_path / "k"), "csv")
-    assert back.schema["Organic Rank"].dataType.simpleString() == "int"
+    assert back.schema["Organic Rank"].dataType.simpleString() == "bigint"
     assert rows(back, "Date", "ASIN", "Organic Rank", "Sponsored Rank") == [("2026-05-01", "A", 1, None)]
 
 

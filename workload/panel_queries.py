@@ -183,8 +183,8 @@ def panel_upsert(spark, d):
     return _shown(upsert_panel(panel.where(~is_new), panel.where(is_new), ["seq"]))
 
 
-RENUMBERED_SQL = """renumbered AS (SELECT * EXCLUDE ("Rank"), CAST(row_number() OVER (
-    PARTITION BY "Date", "Country", "Keyword", "Sponsored" ORDER BY "Rank", "ASIN") AS INT) AS "Rank" FROM tiles)"""
+RENUMBERED_SQL = """renumbered AS (SELECT * EXCLUDE ("Rank"), row_number() OVER (
+    PARTITION BY "Date", "Country", "Keyword", "Sponsored" ORDER BY "Rank", "ASIN") AS "Rank" FROM tiles)"""
 KEY_LIST = '"Date", "Country", "Keyword", "ASIN", "Title", "Price", "Num Reviews", "Bought Past Month", "Deal"'
 PIVOT_SQL = f"""pivoted AS (SELECT {KEY_LIST},
     max("Rank") FILTER ("Sponsored" = 'No') AS "Organic Rank",
