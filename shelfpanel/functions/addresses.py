@@ -3,12 +3,12 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfpanel.functions.text import CATEGORY_SEPARATOR, or_not_found, strip
+from shelfpanel.functions.text import BLANK_CHARS, CATEGORY_SEPARATOR, or_not_found
 
 
 def is_valid_asin(c: Column) -> Column:
     """Exactly ten capitals or digits, blanks around them ignored."""
-    return F.coalesce(strip(c).rlike("^[A-Z0-9]{10}$"), F.lit(False))
+    return F.coalesce(c.rlike(f"^[{BLANK_CHARS}]*[A-Z0-9]{{10}}[{BLANK_CHARS}]*$"), F.lit(False))
 
 
 def asin_from_url(url: Column, page_value: Column | None = None) -> Column:

@@ -19,13 +19,20 @@ FEATURE_SEPARATOR = " | "
 
 
 def strip(c: Column) -> Column:
-    """Trim every kind of blank (``trim`` alone takes plain spaces only).
+    """Trim every kind of blank (``trim`` alone takes plain spaces only)."""
+    return F.trim(c, F.lit(BLANK_CHARS))
 
-    Most texts begin and end with a printable ASCII character; those are passed on as they are,
-    which costs a fraction of a trim by character set.
+
+def is_only(c: Column, *texts: str) -> Column:
+    """Whether a text is blank or one of ``texts`` with blanks around it; null if it is null.
+
+    One pattern that names ``c`` once: it gives up at the first other character, and stays
+    small when the optimizer puts a long expression in the place of ``c``.
     """
-    bare = F.ascii(c).between(33, 126) & F.ascii(F.substring(c, -1, 1)).between(33, 126)
-    return F.when(bare, c).otherwise(F.trim(c, F.lit(BLANK_CHARS)))
+    words = "|".join(texts)
+    return c.rlike(f"^[{BLANK_CHARS}]*(?:{words})?[{BLANK_CHARS}]*$") if texts else c.rlike(
+        f"^[{BLANK_CHARS}]*$"
+    )
 
 
 def single_spaced(c: Column) -> Column:
@@ -45,9 +52,14 @@ def one_line(c: Column, drop: str = "") -> Column:
     return F.trim(F.regexp_replace(plain, " {2,}", " "))
 
 
+def is_text(c: Column, text: str) -> Column:
+    """Whether a text is ``text`` with nothing but blanks around it; null if it is null."""
+    return c.rlike(f"^[{BLANK_CHARS}]*{text}[{BLANK_CHARS}]*$")
+
+
 def is_missing(c: Column) -> Column:
     """Null, blank, the sentinel, or the text 'nan' that an untyped export leaves behind."""
-    return c.isNull() | strip(c).isin("", NOT_FOUND, "nan")
+    return F.coalesce(is_only(c, NOT_FOUND, "nan"), F.lit(True))
 
 
 def null_if_missing(c: Column) -> Column:
