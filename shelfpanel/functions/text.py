@@ -30,9 +30,7 @@ def is_only(c: Column, *texts: str) -> Column:
     small when the optimizer puts a long expression in the place of ``c``.
     """
     words = "|".join(texts)
-    return c.rlike(f"^[{BLANK_CHARS}]*(?:{words})?[{BLANK_CHARS}]*$") if texts else c.rlike(
-        f"^[{BLANK_CHARS}]*$"
-    )
+    return c.rlike(f"^[{BLANK_CHARS}]*(?:{words})?[{BLANK_CHARS}]*$")
 
 
 def single_spaced(c: Column) -> Column:
