@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from shelfpanel.llm import bpe, decontaminate, exact_dedup, url_filter
+from shelfpanel.llm import bpe, decontaminate, exact_dedup, near_dedup, toxicity, url_filter
+from shelfpanel.llm.common import held_out
 
 FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -33,6 +34,10 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op5_near_dedup(spark, sf_dir):
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), width=5, percent=85)
+
+
 def digests(encoded):
     return encoded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
@@ -43,6 +48,12 @@ def op7_bpe(spark, sf_dir):
     return digests(bpe.encode_decode(table(spark, sf_dir, "documents"), vocab_path()))
 
 
+def op8_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 OP2_SQL = f"""
 WITH d AS (SELECT doc_id, regexp_extract_all({FOLDED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all({FOLDED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
@@ -71,10 +82,28 @@ g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM n JOIN g USING (t)
 """
 
+OP5_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({FOLDED}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, list_slice(w, i, i + k - 1) AS g
+  FROM (SELECT doc_id, w, least(len(w), 5) AS k, unnest(generate_series(1, len(w) - least(len(w), 5) + 1)) AS i
+        FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT e.b, reach.r FROM reach JOIN e ON e.a = reach.doc_id),
+c AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+"""
+
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_url_filter": op3_url_filter,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_near_dedup": op5_near_dedup,
     "op7_bpe": op7_bpe,
+    "op8_toxicity": op8_toxicity,
 }
-ORACLES = {"op2_decontaminate": OP2_SQL, "op4_exact_dedup": OP4_SQL}
+ORACLES = {"op2_decontaminate": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op5_near_dedup": OP5_SQL}
