@@ -54,6 +54,33 @@ def is_held_out(doc_id: int) -> bool:
     return zlib.crc32(str(doc_id).encode()) % 5 == 0
 
 
+# A bounded filter before a shuffle: one bit for each slot of hashed keys.
+
+SLOTS = 1 << 24
+SLOTS_EACH = 1 << 15  # in one of Spark's bitmaps
+
+
+def slot(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(SLOTS))
+
+
+def taken_slots(keys: DataFrame) -> np.ndarray:
+    """2 MB of bits, whatever the number of rows: which slots hold a key (first column of ``keys``)."""
+    number = slot(F.col(keys.columns[0])) + 1  # Spark's bitmaps count from 1
+    maps = keys.groupBy(F.bitmap_bucket_number(number).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")
+    )
+    out = np.zeros(SLOTS // 8, np.uint8)
+    for part, bits in maps.collect():
+        at = (part - 1) * SLOTS_EACH // 8
+        out[at : at + SLOTS_EACH // 8] = np.frombuffer(bytes(bits), np.uint8)
+    return out
+
+
+def slot_is_taken(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
+
+
 # Words and their hashes, for whole batches of texts at once.
 
 CHUNK = 1 << 20

@@ -34,7 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfpanel.llm.common import BASE, NOT_BLANK, batches_of, mixed, stored, text_bytes, word_hashes
+from shelfpanel.llm.common import (
+    BASE, NOT_BLANK, batches_of, mixed, slot, slot_is_taken, stored, taken_slots, text_bytes, word_hashes,
+)
 
 SKETCH = 64
 INDEX = 24
@@ -268,6 +270,19 @@ def components(links: DataFrame) -> DataFrame:
         edges = stored(small)
 
 
+def texts_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` (id, text) of the given ids. Most others are left out before the shuffle by a bit table of fixed size."""
+    bits = rows.sparkSession.sparkContext.broadcast(taken_slots(ids))
+
+    def run(batches):
+        for batch in batches:
+            keep = slot_is_taken(bits.value, batch.column("slot").to_numpy())
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["id", "text"])
+
+    near = rows.withColumn("slot", slot(F.col("id"))).mapInArrow(run, rows.schema)
+    return near.join(ids, "id", "left_semi").dropDuplicates(["id"])
+
+
 def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id`` (smallest id it reaches) and ``kept``.
 
@@ -288,7 +303,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     ).otherwise(F.least(F.col("n"), F.lit(INDEX)) - F.col("hot") < ENOUGH)
     popular = stored(hot.where(few).select("id"))
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(popular).distinct()
-    texts = stored(rows.join(needed, "id", "left_semi").dropDuplicates(["id"]))
+    texts = stored(texts_of(rows, needed))
     links = confirmed(pairs, texts, width, percent).unionByName(
         popular_links(texts.join(popular, "id", "left_semi"), classes, width, percent)
     )

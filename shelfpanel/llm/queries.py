@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelfpanel.llm import bpe, decontaminate, exact_dedup, near_dedup, toxicity, url_filter
+from shelfpanel.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup, toxicity, url_filter
 from shelfpanel.llm.common import held_out
 
 FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -38,6 +38,12 @@ def op5_near_dedup(spark, sf_dir):
     return near_dedup.near_groups(table(spark, sf_dir, "documents"), width=5, percent=85)
 
 
+def op6_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.train(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def digests(encoded):
     return encoded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
@@ -103,6 +109,7 @@ QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_near_dedup": op5_near_dedup,
+    "op6_language_id": op6_language_id,
     "op7_bpe": op7_bpe,
     "op8_toxicity": op8_toxicity,
 }
