@@ -64,9 +64,9 @@ def slot(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(SLOTS))
 
 
-def taken_slots(keys: DataFrame) -> np.ndarray:
-    """2 MB of bits, whatever the number of rows: which slots hold a key (first column of ``keys``)."""
-    number = slot(F.col(keys.columns[0])) + 1  # Spark's bitmaps count from 1
+def taken_slots(keys: DataFrame, place: Column | None = None) -> np.ndarray:
+    """2 MB of bits, whatever the number of rows: which slots hold a key (first column of ``keys``, or ``place``)."""
+    number = (slot(F.col(keys.columns[0])) if place is None else place) + 1  # Spark's bitmaps count from 1
     maps = keys.groupBy(F.bitmap_bucket_number(number).alias("part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")
     )

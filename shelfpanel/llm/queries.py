@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from shelfpanel.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup, toxicity, url_filter
+from shelfpanel.llm import (
+    bpe, decontaminate, exact_dedup, language_id, licenses, near_dedup, pii, quality, toxicity, url_filter,
+)
 from shelfpanel.llm.common import held_out
 
 FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -18,6 +20,14 @@ def vocab_path() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op1_pii(spark, sf_dir):
+    found = pii.disclosure(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2("base", 256).alias("base_sha256"),
+        pii.all_spans(F.col("base"), F.col("terms")).alias("spans"),
+    )
+
+
 def op2_decontaminate(spark, sf_dir):
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
     return found.select(
@@ -60,6 +70,18 @@ def op8_toxicity(spark, sf_dir):
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op9_licenses(spark, sf_dir):
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op10_quality(spark, sf_dir):
+    """Grades: 0 for low quality, 1 for good but toxic texts, 2 for good and clean ones."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
+    found = quality.rate(docs, quality.train(docs, labels.select("doc_id", grade.alias("grade"))))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "expected_grade", "tail", "kept")
+
+
 OP2_SQL = f"""
 WITH d AS (SELECT doc_id, regexp_extract_all({FOLDED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all({FOLDED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
@@ -104,7 +126,43 @@ SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_
 FROM c LEFT JOIN n USING (doc_id)
 """
 
+def canonical_sql(lines: str) -> str:
+    """SQL of the canonical form of a list of folded lines."""
+    text = f"array_to_string(list_filter({lines}, lambda x: NOT regexp_matches(x, '{licenses.COPYRIGHT}')), chr(10))"
+    return words_sql(text)
+
+
+def words_sql(text: str) -> str:
+    for found, instead in licenses.SPELLINGS:
+        text = f"replace({text}, '{found}', '{instead}')"
+    return f"trim(regexp_replace({text}, '{licenses.MARKS}', ' ', 'g'))"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_BODIES = [(n, b) for n, bodies in licenses.NOTICES.items() for b in bodies] + list(licenses.TEXTS.items())
+OP9_SQL = f"""
+WITH k AS (SELECT * FROM (VALUES {", ".join(f"({_quoted(n)}, {_quoted(b)})" for n, b in _BODIES)}) v(license, text)),
+known AS (
+  SELECT sha256({canonical_sql(f"string_split({FOLDED}, chr(10))")}) AS digest, min(license) AS found FROM k GROUP BY 1),
+d AS (SELECT doc_id, string_split({FOLDED}, chr(10)) AS lines FROM documents),
+w AS (SELECT doc_id, sha256({canonical_sql("lines")}) AS digest FROM d),
+l AS (SELECT doc_id, unnest(lines) AS line FROM d),
+n AS (
+  SELECT doc_id, found FROM (
+    SELECT doc_id, {words_sql("line")} AS unit FROM l WHERE NOT regexp_matches(line, '{licenses.COPYRIGHT}'))
+  JOIN known ON sha256(unit) = digest WHERE unit <> ''),
+c AS (SELECT doc_id, count(*) AS n FROM n GROUP BY 1),
+s AS (SELECT doc_id, string_agg(found, ',' ORDER BY found) AS names FROM (SELECT DISTINCT doc_id, found FROM n) GROUP BY 1)
+SELECT w.doc_id, known.found AS license, coalesce(c.n, 0) AS n_notices, coalesce(s.names, '') AS notices,
+       w.digest AS canonical_sha256
+FROM w LEFT JOIN known USING (digest) LEFT JOIN c ON c.doc_id = w.doc_id LEFT JOIN s ON s.doc_id = w.doc_id
+"""
+
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_decontaminate": op2_decontaminate,
     "op3_url_filter": op3_url_filter,
     "op4_exact_dedup": op4_exact_dedup,
@@ -112,5 +170,7 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_bpe": op7_bpe,
     "op8_toxicity": op8_toxicity,
+    "op9_licenses": op9_licenses,
+    "op10_quality": op10_quality,
 }
-ORACLES = {"op2_decontaminate": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op5_near_dedup": OP5_SQL}
+ORACLES = {"op2_decontaminate": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op5_near_dedup": OP5_SQL, "op9_licenses": OP9_SQL}
