@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from shelfpanel.llm.common import batches_of
 
 SHORT = 128
-KNOWN = 400_000
+KNOWN = 150_000
 NONE = 1 << 60
 #: White space as Unicode has it. Python's own class also holds four control characters.
 BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -156,7 +156,7 @@ def encode_decode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text
     def run(batches):
         codec = _codec(content)
         for batch in batches:
-            for part in batches_of(batch):
+            for part in batches_of(batch, 2 << 20):
                 ids = [codec.encode(t) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
