@@ -347,13 +347,14 @@ def test_code_switched_words(spark):
 
 
 def test_toxicity(spark):
-    docs = spark.read.parquet(f"{queries_dir()}/documents.parquet")
-    labels = spark.read.parquet(f"{queries_dir()}/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     model = toxicity.train(docs, labels)
-    rows = toxicity.score(docs, model).join(labels, "doc_id").select("score", "toxic", "predicted").collect()
-    positive, negative = [r.score for r in rows if r.toxic], [r.score for r in rows if not r.toxic]
-    assert np.mean([p > n for p in positive for n in negative]) > 0.95
+    held = toxicity.score(docs, model).where(common.held_out(F.col("doc_id"))).join(labels, "doc_id")
+    rows = held.select("score", "toxic", "predicted").collect()
     assert all(r.predicted == int(r.score >= 0.5) for r in rows)
+    toxic, clean = [r.predicted for r in rows if r.toxic], [r.predicted for r in rows if not r.toxic]
+    assert np.mean(toxic) > 0.7 and np.mean(clean) < 0.02
     odd = documents(spark, [None, "", "1 2", "idiot " * 60000])
     scores = [r.score for r in toxicity.score(odd, model).orderBy("doc_id").collect()]
     assert scores[0] == scores[1] == scores[2] and all(0 <= s <= 1 for s in scores)
