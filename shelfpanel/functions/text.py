@@ -33,6 +33,15 @@ def is_only(c: Column, *texts: str) -> Column:
     return c.rlike(f"^[{BLANK_CHARS}]*(?:{words})?[{BLANK_CHARS}]*$")
 
 
+def trimmed(c: Column) -> Column:
+    """``strip`` that leaves a text alone where its first and last characters are plain, as most are."""
+
+    def plain(end: Column) -> Column:
+        return (end >= "!") & (end <= "~")
+
+    return F.when(plain(F.substring(c, 1, 1)) & plain(F.substring(c, -1, 1)), c).otherwise(strip(c))
+
+
 def single_spaced(c: Column) -> Column:
     """Every run of blanks as one space, none at the ends.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfpanel.functions.dates import panel_date
 from shelfpanel.functions.numbers import to_number
-from shelfpanel.functions.text import is_only, is_text
+from shelfpanel.functions.text import trimmed
 from shelfpanel.operators.dedup import first_per_group
 from shelfpanel.schemas import ESSENTIAL_COLUMNS, KEY_COLUMNS, NOT_FOUND, field, text_columns
 
@@ -95,8 +95,9 @@ def counters(df: DataFrame, columns: list[str]) -> list[Column]:
         value = field(c)
         missing, absent = value.isNull(), F.lit(False)
         if c in texts:
-            missing = F.coalesce(is_only(value), F.lit(True))
-            absent = F.coalesce(is_text(value, NOT_FOUND), F.lit(False))
+            bare = trimmed(value)
+            missing = F.coalesce(bare == "", F.lit(True))
+            absent = F.coalesce(bare == NOT_FOUND, F.lit(False))
         counts.append(F.count_if(missing).alias(f"missing_{i}"))
         counts.append(F.count_if(absent).alias(f"not_found_{i}"))
     return counts

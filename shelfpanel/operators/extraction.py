@@ -74,10 +74,30 @@ def extract_fields(
     )
 
 
-def tiles(pages: DataFrame, start: str, keep: list[str], html: str = "html") -> DataFrame:
-    """One row per result tile with its 1-based place; a tile runs to the start of the next."""
+def closed_element(markup: Column, tag: str) -> Column:
+    """Markup that begins with a start tag, up to where the depth of that tag returns to zero.
+
+    An element that never ends keeps all that follows it.
+    """
+    parts = F.split(markup, rf"(?=</?{tag}\b)")
+    start = F.struct(F.lit(0).alias("place"), F.lit(0).alias("depth"), F.lit(0).alias("end"))
+
+    def step(a: Column, part: Column) -> Column:
+        change = F.when(part.startswith(f"</{tag}"), -1).when(part.startswith(f"<{tag}"), 1).otherwise(0)
+        depth = a["depth"] + change
+        ends = (a["end"] == 0) & (change == -1) & (depth == 0)
+        return F.struct(
+            (a["place"] + 1).alias("place"), depth.alias("depth"), F.when(ends, a["place"]).otherwise(a["end"]).alias("end")
+        )
+
+    end = F.aggregate(parts, start, step, lambda a: a["end"])
+    return F.when(end == 0, markup).otherwise(F.array_join(F.slice(parts, F.lit(1), end), ""))
+
+
+def tiles(pages: DataFrame, start: str, keep: list[str], html: str = "html", tag: str = "div") -> DataFrame:
+    """One row per result tile with its 1-based place; a tile ends with its own element ``tag``."""
     pieces = F.split(F.col(html), f"(?={start})")
-    cut = F.filter(pieces, lambda p: p.rlike(f"^{start}"))
+    cut = F.transform(F.filter(pieces, lambda p: p.rlike(f"^{start}")), lambda p: closed_element(p, tag))
     return pages.select(
         *[F.col(f"`{k}`") for k in keep], F.posexplode(cut).alias("_place", "tile")
     ).select(*[F.col(f"`{k}`") for k in keep], (F.col("_place") + 1).alias("Rank"), "tile")

@@ -12,24 +12,31 @@ def failure_ledger(
 ) -> DataFrame:
     """State of every key that failed at least once.
 
-    ``attempts`` has the key columns, ``seq``, ``message`` (null for a success) and ``ok``. A key
-    that succeeds is not tried again in its run, so one success means recovered. ``attempts``
-    counts retries: failures after the first. Only sums and extremes are kept per key, so a key
-    with very many attempts is reduced before the shuffle.
+    ``attempts`` has the key columns, ``seq``, ``message`` (null for a success) and ``ok``. A
+    success closes the entry of its key and a failure after it opens a new one, so a key is
+    recovered only if no failure follows its last success; it then shows all its failures, another
+    key those of its open entry. ``attempts`` counts retries: failures after the first. Both passes
+    reduce a key to sums and extremes before the shuffle.
     """
     by = by or ["ASIN"]
     failed = ~F.col("ok")
-    # Extremes of (seq, reason) pairs carry the first and last reason along; a success sorts out.
-    marked = attempts.select(
+    closed = attempts.where("ok").groupBy(*by).agg(F.max("seq").alias("_closed"))
+    last = attempts.where(failed).groupBy(*by).agg(F.max("seq").alias("_last"))
+    # Only keys with a success have rows to leave out, and one row per key says which.
+    bounds = last.join(closed, by, "left").select(
         *by,
-        "ok",
-        F.when(failed, F.struct("seq", failure_reason(F.col("message")).alias("reason"))).alias("f"),
+        F.coalesce(F.col("_closed") > F.col("_last"), F.lit(False)).alias("recovered"),
+        F.when(F.col("_closed") < F.col("_last"), F.col("_closed")).alias("_after"),
     )
-    state = marked.groupBy(*by).agg(
+    # Extremes of (seq, reason) pairs carry the first and last reason along.
+    marked = attempts.where(failed).select(
+        *by, "seq", F.struct("seq", failure_reason(F.col("message")).alias("reason")).alias("f")
+    )
+    open_rows = marked.join(bounds, by).where(F.col("_after").isNull() | (F.col("seq") > F.col("_after")))
+    state = open_rows.groupBy(*by, "recovered").agg(
         F.count("f").alias("failures"),
         F.min("f")["reason"].alias("reason"),
         F.max("f")["reason"].alias("latest"),
-        F.bool_or("ok").alias("recovered"),
     )
     retries = F.col("failures") - 1
     status = (

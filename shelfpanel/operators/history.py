@@ -5,10 +5,8 @@ from pyspark.sql import functions as F
 
 from shelfpanel.functions.numbers import to_number
 from shelfpanel.schemas import field
-from shelfpanel.session import broadcast_within
 
 COMPARED = {"Price": "price", "Number of ratings": "ratings", "PED": "ped"}
-MAX_COUNTRIES = 10_000
 
 
 def _numbers(panel: DataFrame) -> DataFrame:
@@ -28,7 +26,7 @@ def split_history(panel: DataFrame, per_country: bool = False) -> tuple[DataFram
         latest = panel.agg(F.max("Date")).scalar()
         return panel.where(F.col("Date") == latest), panel.where(F.col("Date") < latest)
     newest = panel.groupBy("Country").agg(F.max("Date").alias("_latest"))
-    dated = panel.join(broadcast_within(newest, MAX_COUNTRIES), "Country")
+    dated = panel.join(F.broadcast(newest), "Country")
     return (
         dated.where("Date = _latest").drop("_latest"),
         dated.where("Date < _latest").drop("_latest"),

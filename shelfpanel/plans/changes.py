@@ -7,52 +7,41 @@ from shelfpanel.functions.dates import event_text
 from shelfpanel.operators import changes as ops
 from shelfpanel.operators.dedup import keep_last
 from shelfpanel.schemas import EVENT_COLUMNS, KEY_COLUMNS
-from shelfpanel.session import has_at_most, stored_small
 from shelfpanel.sources.tables import own_asins, own_skus
 
 LISTING = ["Country", "ASIN"]
-# About 100 MB of keys; more than that is joined by a shuffle.
-MAX_OWN_KEYS = 1_000_000
-# A thousand countries over some thirty years, about 60 MB.
-MAX_CALENDAR = 1_000_000
 
 
 class _OwnRows:
-    """Panel rows of own active listings, filtered the way that suits the size of the list.
+    """Panel rows of own active listings.
 
-    A list within the bound is broadcast, so rows of other listings go away before any shuffle. A
-    longer one is joined after the rows were reduced to one per key and date: the join is an
-    inner one on distinct keys, which Spark leaves above the reduction, so a listing with very
-    many copies never meets the join as a hot key.
+    The semi join comes first and without a hint: Spark broadcasts a short list from its real
+    size and otherwise splits the keys that are hot.
     """
 
-    def __init__(self, panel: DataFrame, listings: DataFrame, max_keys: int = MAX_OWN_KEYS):
-        self.dated = panel.where(F.col("Date").isNotNull())
-        self.keys = own_asins(listings)
-        self.early = has_at_most(self.keys, max_keys)
+    def __init__(self, panel: DataFrame, listings: DataFrame):
+        dated = panel.where(F.col("Date").isNotNull())
+        self.rows = dated.join(own_asins(listings), LISTING, "left_semi")
 
     def days(self) -> DataFrame:
         """Distinct dates of own rows per country."""
-        if self.early:
-            own = self.dated.join(F.broadcast(self.keys), LISTING, "left_semi")
-        else:
-            own = self.dated.select(*KEY_COLUMNS).distinct().join(self.keys, LISTING)
-        return own.select("Country", "Date").distinct()
+        return self.rows.select("Country", "Date").distinct()
 
     def states(
         self, fields: list[str] | None, order: list[str], unique: bool, dates: DataFrame | None = None
     ) -> DataFrame:
         """One row of comparable values per key and date, optionally of given dates only."""
-        rows = self.dated
+        rows = self.rows
         if dates is not None:
-            rows = rows.join(dates, ["Country", "Date"], "left_semi")
-        if self.early:
-            rows = rows.join(F.broadcast(self.keys), LISTING, "left_semi")
+            rows = rows.join(F.broadcast(dates), ["Country", "Date"], "left_semi")
         # Values are brought to their short form first, so the shuffles after this carry little.
         states = ops.monitored_states(rows, fields, order)
-        if not unique:
-            states = keep_last(states, KEY_COLUMNS, order)
-        return states if self.early else states.join(self.keys, LISTING)
+        return states if unique else keep_last(states, KEY_COLUMNS, order)
+
+
+def _calendar(own: _OwnRows) -> DataFrame:
+    """Collection dates with a broadcast hint: one row per country and day, whatever the panel holds."""
+    return F.broadcast(ops.collection_calendar(own.days()))
 
 
 def _limited(panel: DataFrame, start: str | None, countries: list[str] | None) -> DataFrame:
@@ -73,7 +62,6 @@ def backfill_changes(
     fields: list[str] | None = None,
     order: list[str] | None = None,
     unique: bool = False,
-    max_keys: int = MAX_OWN_KEYS,
 ) -> DataFrame:
     """All change events from ``start`` on.
 
@@ -81,8 +69,8 @@ def backfill_changes(
     key. Pass ``unique=True`` for a stored panel, which already has one row per key: that saves a
     shuffle.
     """
-    own = _OwnRows(_limited(panel, start, countries), listings, max_keys)
-    calendar = stored_small(ops.collection_calendar(own.days()), MAX_CALENDAR)
+    own = _OwnRows(_limited(panel, start, countries), listings)
+    calendar = _calendar(own)
     states = own.states(fields, order or [], unique)
     return _named(ops.consecutive_only(ops.field_changes(states, fields), calendar), listings)
 
@@ -95,7 +83,6 @@ def latest_changes(
     fields: list[str] | None = None,
     order: list[str] | None = None,
     unique: bool = False,
-    max_keys: int = MAX_OWN_KEYS,
 ) -> DataFrame:
     """Change events between the last two collection dates of each country.
 
@@ -103,8 +90,8 @@ def latest_changes(
     also keep Spark from reading other dates of a panel stored by country and date. ``start``
     limits how far back the dates are looked for.
     """
-    own = _OwnRows(_limited(panel, start, countries), listings, max_keys)
-    calendar = stored_small(ops.collection_calendar(own.days()), MAX_CALENDAR)
+    own = _OwnRows(_limited(panel, start, countries), listings)
+    calendar = _calendar(own)
     last_two = calendar.where("from_last <= 2").select("Country", "Date")
     states = own.states(fields, order or [], unique, last_two)
     newest = calendar.where("from_last = 1")

@@ -6,12 +6,9 @@ from pyspark.sql import functions as F
 from shelfpanel.functions.dates import iso_date, panel_date, panel_text
 from shelfpanel.operators.dedup import keep_last
 from shelfpanel.schemas import KEY_COLUMNS
-from shelfpanel.session import broadcast_within
 from shelfpanel.sources.sinks import write_panel_table
 from shelfpanel.sources.tables import read_panel
 
-MAX_TOUCHED = 100_000
-
 
 def _typed(rows: DataFrame) -> DataFrame:
     if dict(rows.dtypes)["Date"] == "string":
@@ -49,7 +46,7 @@ def stored_rows_like(stored: DataFrame, new: DataFrame) -> DataFrame:
     by a fixed filter and compared null-safe.
     """
     touched = new.select("Country", "Date").distinct()
-    folders = broadcast_within(touched, MAX_TOUCHED)
+    folders = F.broadcast(touched)  # one row per folder
     # Spark prunes folders only for a list that it expects to be selective, hence the comparison.
     dated = folders.where(F.col("Date") >= F.lit("0001-01-01").cast("date"))
     usual = stored.join(dated, ["Country", "Date"], "left_semi")

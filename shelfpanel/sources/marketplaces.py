@@ -5,9 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfpanel.session import broadcast_within
 
-MAX_MARKETPLACES = 10_000
 # Currency symbol expected per country, and other ways a symbol is written.
 CURRENCY_SYMBOLS = {
     "US": "$", "GB": "£", "DE": "€", "FR": "€", "IT": "€", "ES": "€", "CA": "$", "MX": "$",
@@ -119,7 +117,7 @@ def dimension(marketplaces: DataFrame, *columns: str) -> DataFrame:
     A frame made from local rows has no known size, and a join on the country that is not a
     broadcast would bring a whole country to one task.
     """
-    return broadcast_within(marketplaces.select("Country", *columns), MAX_MARKETPLACES)
+    return F.broadcast(marketplaces.select("Country", *columns))
 
 
 def lookup(values: dict[str, str | float], key):

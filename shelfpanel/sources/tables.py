@@ -14,13 +14,18 @@ def _csv_header(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Quoted CSV with any columns, every column as text (the header names them)."""
+    """Quoted CSV with any columns, every column as text (the header names them).
+
+    A file whose header has other columns, or the same in another order, stops the read: nothing
+    is taken by position.
+    """
     return spark.read.csv(
         path,
         header=True,
         multiLine=True,
         quote='"',
         escape='"',
+        enforceSchema=False,
         schema=S.text_schema(_csv_header(spark, path)),
     )
 

@@ -298,6 +298,22 @@ def test_failure_ledger(spark):
     assert rows(first_permanent(ledger, ["reason"]), "ASIN") == [("D",)]
 
 
+def test_failure_after_a_success_opens_a_new_entry(spark):
+    events = [("A", 1, "bad zip", False), ("A", 2, None, True)] + [("A", i, "timeout", False) for i in range(3, 7)]
+    events += [("B", 1, None, True), ("B", 2, "x", False), ("C", 1, "x", False), ("C", 2, None, True), ("C", 3, "x", False), ("C", 4, None, True)]
+    ledger = failure_ledger(spark.createDataFrame(events, "ASIN string, seq int, message string, ok boolean"))
+    assert rows(ledger, "ASIN", "reason", "attempts", "status") == [
+        ("A", "network_error", 3, "permanent"), ("B", "scraping_error", 0, "pending"), ("C", "scraping_error", 1, "recovered"),
+    ]
+
+
+def test_tiles_end_with_their_element(spark):
+    html = '<i>head</i><div class="t">1<div>in</div>x</div><p>between</p><div class="t">2<div>y</div></div><div>foot</div>'
+    df = spark.createDataFrame([(1, html)], "page_id int, html string")
+    found = rows(tiles(df, '<div class="t"', ["page_id"]), "Rank", "tile")
+    assert found == [(1, '<div class="t">1<div>in</div>x'), (2, '<div class="t">2<div>y</div>')]
+
+
 def run_tables(spark, processed=90, requested=100, seconds=3600, failed=("F1", "F2", "F3", "F4"), ped=("P1",)):
     runs_df = spark.createDataFrame(
         [("US", "2024-05-01 10:00:00", seconds, requested, processed, 2, 0, list(failed), list(ped))],

@@ -13,15 +13,19 @@ def con():
     return connect(SF_DIR)
 
 
+#: Trained models and the tokenizer have no SQL; their tests are in tests/llm.
+WITHOUT_SQL = {"op1_pii", "op3_url_filter", "op6_language_id", "op7_bpe", "op8_toxicity", "op10_quality", "pipeline"}
+
+
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(entry_points.queries()) - WITHOUT_SQL == set(entry_points.oracle_sql())
 
 
 def test_entry(spark):
     assert entry_points.entry(spark).limit(1).count() == 1
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
 def test_query(spark, con, name):
     df = entry_points.queries()[name](spark, SF_DIR)
     assert compare(df, con, entry_points.oracle_sql()[name]) is None

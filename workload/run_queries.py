@@ -122,9 +122,12 @@ ATTEMPTS_SQL = f"""attempts AS (SELECT strftime(ts, '%Y-%m-%d') AS run, {A.ASIN_
     "failure_ledger",
     A.joined_sql(
         ATTEMPTS_SQL,
-        """k AS (SELECT run, "ASIN", count(reason) AS failures, min_by(reason, seq) FILTER (reason IS NOT NULL) AS reason,
-      max_by(reason, seq) FILTER (reason IS NOT NULL) AS latest, count(*) > count(reason) AS recovered
+        """s AS (SELECT run, "ASIN", max(seq) FILTER (reason IS NULL) AS ok_at, max(seq) FILTER (reason IS NOT NULL) AS bad_at
       FROM attempts GROUP BY 1, 2),
+    k AS (SELECT run, "ASIN", count(*) AS failures, min_by(reason, seq) AS reason, max_by(reason, seq) AS latest,
+      coalesce(any_value(ok_at) > any_value(bad_at), false) AS recovered
+      FROM attempts JOIN s USING (run, "ASIN")
+      WHERE reason IS NOT NULL AND (ok_at IS NULL OR ok_at > bad_at OR seq > ok_at) GROUP BY 1, 2),
     l AS (SELECT run, "ASIN", reason, failures - 1 AS attempts, CASE WHEN failures > 1 THEN latest END AS last_error,
       CASE WHEN recovered THEN 'recovered' WHEN failures - 1 >= 3 THEN 'permanent' ELSE 'pending' END AS status
       FROM k WHERE failures > 0)""",
