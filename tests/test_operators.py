@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfpanel.operators import audit_checks, changes, keys, positions, ranks, runs, targets, verification
 from shelfpanel.operators.dedup import first_per_group, keep_last
+from shelfpanel.operators.extraction import tiles
 from shelfpanel.operators.failures import failure_ledger, first_permanent, ledger_counts, retryable
 from shelfpanel.operators.history import history_flags
 from shelfpanel.operators.outliers import iqr_outliers
