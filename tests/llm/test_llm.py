@@ -375,10 +375,10 @@ def test_pooling_in_blocks_is_whole(monkeypatch):
     buckets = np.random.default_rng(3).integers(0, 60, (counts.sum(), 1 + len(toxicity.PREFIXES))).astype(np.int32)
     whole = model.logits(buckets, counts)
     monkeypatch.setattr(toxicity, "BLOCK", 5)
-    assert np.allclose(model.logits(buckets, counts), whole)
+    assert np.allclose(model.logits(buckets, counts), whole, atol=1e-4)  # single precision
     ends = np.cumsum(counts)
     one = [model.logits(buckets[e - c : e], np.array([c]))[0] for e, c in zip(ends, counts)]
-    assert np.allclose(one, whole, atol=1e-5)
+    assert np.allclose(one, whole, atol=1e-4)
 
 
 def test_quality(spark):
