@@ -1,11 +1,13 @@
 """Helpers shared by the operators: the shared folder, ASCII lower-casing, hold-out, word hashes."""
 
+import ctypes
 import string
 import tempfile
 import uuid
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,7 +85,7 @@ def slot_is_taken(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
 
 # Words and their hashes, for whole batches of texts at once.
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 LOWER_BYTES = np.arange(256, dtype=np.uint8)
@@ -196,3 +198,11 @@ def batches_of(batch, max_bytes: int = 8 << 20):
     step = max(1, int(batch.num_rows * max_bytes / max(1, batch.nbytes)))
     for at in range(0, batch.num_rows, step):
         yield batch.slice(at, step)
+
+
+def release_memory() -> None:
+    """Hands memory that Arrow and the C library keep for reuse back to the system, after training on the driver."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
