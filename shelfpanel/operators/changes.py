@@ -84,10 +84,14 @@ def consecutive_only(changes: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def key_pairs(panel: DataFrame) -> DataFrame:
-    """Keys present on a collection date and on the one before it (both dates given)."""
+    """Keys present on a collection date and on the one before it (both dates given).
+
+    The calendar has one row per country and day and is broadcast, so that a country's day with
+    very many keys is not gathered by the join.
+    """
     days = panel.where(F.col("Date").isNotNull()).select("Country", "ASIN", "Date").distinct()
     by_key = Window.partitionBy("Country", "ASIN").orderBy("Date")
-    steps = collection_calendar(panel).select("Country", "Date", "previous_date")
+    steps = F.broadcast(collection_calendar(panel).select("Country", "Date", "previous_date"))
     seen = days.withColumn("previous_date", F.lag("Date").over(by_key)).where(
         F.col("previous_date").isNotNull()
     )

@@ -3,7 +3,8 @@
 The exact percentile aggregate gathers all distinct values of a group in one task. Here values
 are first counted, which spreads a large country over all tasks; each value belongs to a bin
 that rises with it, the small table of bin sizes shows which bins hold the wanted ranks, and
-only those bins are looked into.
+only those bins are looked into. Bins are cut at approximate quantiles of the group's distinct
+values, so that none holds many of them however close together they lie; the ranks are exact.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -15,7 +16,8 @@ from shelfpanel.schemas import field
 NUMERIC_COLUMNS = ["Price", "List Price", "Number of ratings", "PED"]
 MIN_VALUES = 20
 FENCE = 1.5
-BINS_PER_E = 64
+BINS = 128
+ACCURACY = 4096
 BIN = ["Country", "column", "bin"]
 GROUP = ["Country", "column"]
 
@@ -30,9 +32,11 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     # differ cannot share the one shuffle.
     usable = long.where(F.col("Country").isNotNull() & F.col("value").isNotNull())
     counts = usable.groupBy(*GROUP, "value").agg(F.count("*").alias("n"))
-    v = F.col("value")
-    rising = F.floor(F.signum(v) * F.log1p(F.abs(v)) * BINS_PER_E)
-    return counts.withColumn("bin", F.coalesce(rising, F.lit(0)))
+    shares = [i / BINS for i in range(1, BINS)]
+    cuts = counts.groupBy(*GROUP).agg(F.percentile_approx("value", shares, ACCURACY).alias("cuts"))
+    below = F.size(F.filter("cuts", lambda cut: cut < F.col("value")))
+    # One row of cuts per country and column, whatever the panel holds.
+    return counts.join(F.broadcast(cuts), GROUP).select(*GROUP, "value", "n", below.alias("bin"))
 
 
 def bin_ranges(counts: DataFrame) -> DataFrame:

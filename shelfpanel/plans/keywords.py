@@ -5,18 +5,24 @@ from pyspark.sql import functions as F
 
 from shelfpanel.operators.dedup import keep_last
 from shelfpanel.operators.ranks import last_ranks, pivot_ranks
-from shelfpanel.schemas import KEYWORD_KEY
+from shelfpanel.schemas import KEYWORD_KEY, field
 
 RANKS = ["Organic Rank", "Sponsored Rank"]
 
 
 def merge_keyword_panel(existing: DataFrame | None, pivoted: DataFrame) -> DataFrame:
-    """One row per (Date, Country, Keyword, ASIN): new rows beat old, then higher ranks."""
+    """One row per (Date, Country, Keyword, ASIN): new rows beat old, then the last in column order.
+
+    The other columns are compared one after the other, a missing value after all others; ranks
+    decide only between rows that are otherwise equal.
+    """
     new = pivoted.withColumn("_age", F.lit(1))
     rows = new if existing is None else existing.withColumn("_age", F.lit(0)).unionByName(
         new, allowMissingColumns=True
     )
-    return keep_last(rows, KEYWORD_KEY, ["_age", *RANKS]).drop("_age")
+    others = [c for c in pivoted.columns if c not in (*KEYWORD_KEY, *RANKS)]
+    in_order = [part for c in others for part in (field(c).isNull(), field(c))]
+    return keep_last(rows, KEYWORD_KEY, ["_age", *in_order, *RANKS]).drop("_age")
 
 
 def keyword_panel(tiles: DataFrame, existing: DataFrame | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfpanel.functions.dates import panel_date, panel_text
 from shelfpanel.schemas import EVENT_COLUMNS
 
 
@@ -20,8 +21,11 @@ def write_text_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_panel_csv(panel: DataFrame, path: str) -> None:
-    """Panel export in date order, rows without a date last."""
-    write_text_csv(panel.orderBy(F.col("Date").asc_nulls_last(), "Country", "ASIN"), path)
+    """Panel export in date order with dates as ``MM/dd/yyyy``, rows without a date last."""
+    is_text = dict(panel.dtypes)["Date"] == "string"
+    day = panel_date(F.col("Date")) if is_text else F.col("Date")
+    ordered = panel.orderBy(day.asc_nulls_last(), "Country", "ASIN")
+    write_text_csv(ordered if is_text else ordered.withColumn("Date", panel_text(F.col("Date"))), path)
 
 
 def write_panel_table(panel: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from shelfpanel.operators import audit_checks, changes, keys, positions, ranks, runs, targets, verification
+from shelfpanel.operators import audit_checks, changes, keys, outliers, positions, ranks, runs, targets, verification
 from shelfpanel.operators.dedup import first_per_group, keep_last
 from shelfpanel.operators.extraction import tiles
 from shelfpanel.operators.failures import failure_ledger, first_permanent, ledger_counts, retryable
@@ -179,6 +179,20 @@ def test_value_on_a_fence_is_no_outlier(spark):
     assert rows(iqr_outliers(df), "outliers", "lower", "upper") == [(1, -10.0, 30.0)]
 
 
+def test_narrow_values_spread_over_many_bins(spark):
+    import numpy as np
+
+    values = np.random.default_rng(8).permutation(20000) * 4e-7 + 0.002  # all within 0.01
+    values[:5] = 0.0119
+    df = spark.createDataFrame([("US", repr(float(v))) for v in values], "Country string, Price string")
+    sizes = [r["n"] for r in outliers.value_counts(df, ["Price"]).groupBy("bin").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) > outliers.BINS // 2 and max(sizes) < 20000 / outliers.BINS * 4
+    q1, q3 = np.quantile(values, [0.25, 0.75])
+    counts = outliers.value_counts(df, ["Price"])
+    got = outliers.quartiles(counts, outliers.bin_ranges(counts)).collect()[0]
+    assert np.allclose([got["q1"], got["q3"]], [q1, q3], rtol=1e-12)
+
+
 def test_outliers_match_numpy_on_random_values(spark):
     import numpy as np
 

@@ -155,6 +155,19 @@ def test_keyword_panel_prefers_new_rows(spark):
     assert part.where("Title = 'old'").count() == panel.where("Date >= '2024-01-10'").count()
 
 
+def test_keyword_panel_keeps_the_last_in_column_order(spark):
+    columns = "Date string, Country string, Keyword string, Rank long, ASIN string, Sponsored string, Price string, Deal string"
+    tiles = spark.createDataFrame(
+        [
+            ("2026-05-01", "US", "bin", 9, "A", "No", "5", NF), ("2026-05-01", "US", "bin", 1, "A", "Yes", "5", "Save 5%"),
+            ("2026-05-01", "US", "bin", 2, "B", "Yes", None, "a"), ("2026-05-01", "US", "bin", 3, "B", "No", "7", "z"),
+        ],
+        columns,
+    )
+    got = rows(keyword_panel(tiles), "ASIN", "Price", "Deal", "Organic Rank", "Sponsored Rank")
+    assert got == [("A", "5", "Save 5%", None, 1), ("B", None, "a", None, 2)]
+
+
 def test_audit(spark):
     findings = audit_panel(A.price_panel(spark, SMALL))
     by = {(r["category"], r["item"]): r["count"] for r in findings.collect()}

@@ -87,13 +87,14 @@ def test_marketplaces(spark, tmp_path):
 
 
 def test_panel_export_in_date_order(spark, tmp_path):
-    df = panel_frame(spark, [("US", "B", None, "n"), ("US", "A", date(2026, 5, 17), "x"), ("US", "A", date(2026, 5, 2), "y")])
-    sinks.write_panel_csv(df, str(tmp_path / "p"))
-    # One partition each way at this size, so the order of the file is the order of the rows.
-    parts = sorted((tmp_path / "p").glob("*.csv"))
-    lines = [line for p in parts for line in p.read_text().splitlines()[1:]]
-    assert ["2026-05-02" in lines[0], "2026-05-17" in lines[1], '"B"' in lines[2]] == [True] * 3
-    assert rows(panel_as_text(df), "Date") == [("05/02/2026",), ("05/17/2026",), (None,)]
+    df = panel_frame(spark, [("US", "B", None, "n"), ("US", "A", date(2026, 5, 17), "x"), ("US", "A", date(2025, 12, 2), "y")])
+    for name, panel in (("p", df), ("t", panel_as_text(df))):
+        sinks.write_panel_csv(panel, str(tmp_path / name))
+        # One partition each way at this size, so the order of the file is the order of the rows.
+        parts = sorted((tmp_path / name).glob("*.csv"))
+        lines = [line for p in parts for line in p.read_text().splitlines()[1:]]
+        assert ["12/02/2025" in lines[0], "05/17/2026" in lines[1], '"B"' in lines[2]] == [True] * 3
+    assert rows(panel_as_text(df), "Date") == [("05/17/2026",), ("12/02/2025",), (None,)]
 
 
 def test_upsert_touches_only_new_dates(spark, tmp_path):

@@ -214,9 +214,10 @@ def keyword_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Item "), user.cast("string")).alias("Title"),
         F.when(F.col("event_id") % 3 == 0, "Yes").otherwise("No").alias("Sponsored"),
         F.concat(F.lit("$"), (user % 50).cast("string"), F.lit(".99")).alias("Price"),
-        F.when(user % 11 != 0, (user * 7).cast("string")).alias("Num Reviews"),
+        # Reviews and deals differ between the tiles of one listing, so that a key has several rows.
+        F.when((user + F.col("event_id")) % 11 != 0, (user * 7).cast("string")).alias("Num Reviews"),
         F.lit(NOT_FOUND).alias("Bought Past Month"),
-        F.when(user % 5 == 0, "Best Seller").otherwise(NOT_FOUND).alias("Deal"),
+        F.when(F.col("event_id") % 7 == 0, "Save 10%").when(user % 5 == 0, "Best Seller").otherwise(NOT_FOUND).alias("Deal"),
     )
 
 
@@ -226,9 +227,9 @@ TILES_SQL = f"""tiles AS (
     'Item ' || CAST(user_id AS VARCHAR) AS "Title",
     CASE WHEN event_id % 3 = 0 THEN 'Yes' ELSE 'No' END AS "Sponsored",
     '$' || CAST(user_id % 50 AS VARCHAR) || '.99' AS "Price",
-    CASE WHEN user_id % 11 <> 0 THEN CAST(user_id * 7 AS VARCHAR) END AS "Num Reviews",
+    CASE WHEN (user_id + event_id) % 11 <> 0 THEN CAST(user_id * 7 AS VARCHAR) END AS "Num Reviews",
     'Not Found' AS "Bought Past Month",
-    CASE WHEN user_id % 5 = 0 THEN 'Best Seller' ELSE 'Not Found' END AS "Deal"
+    CASE WHEN event_id % 7 = 0 THEN 'Save 10%' WHEN user_id % 5 = 0 THEN 'Best Seller' ELSE 'Not Found' END AS "Deal"
   FROM events)"""
 
 

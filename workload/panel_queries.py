@@ -189,6 +189,10 @@ KEY_LIST = '"Date", "Country", "Keyword", "ASIN", "Title", "Price", "Num Reviews
 PIVOT_SQL = f"""pivoted AS (SELECT {KEY_LIST},
     max("Rank") FILTER ("Sponsored" = 'No') AS "Organic Rank",
     max("Rank") FILTER ("Sponsored" = 'Yes') AS "Sponsored Rank" FROM renumbered GROUP BY ALL)"""
+# The last row of a key in the order of its other columns, a missing value after all others; then the highest ranks.
+LAST_TILE = """"Title" DESC NULLS FIRST, "Price" DESC NULLS FIRST, "Num Reviews" DESC NULLS FIRST,
+    "Bought Past Month" DESC NULLS FIRST, "Deal" DESC NULLS FIRST, "Organic Rank" DESC NULLS LAST,
+    "Sponsored Rank" DESC NULLS LAST"""
 
 
 @query(
@@ -224,8 +228,24 @@ def rank_pivot(spark, d):
     "keyword_dedup",
     A.joined_sql(A.TILES_SQL, RENUMBERED_SQL, PIVOT_SQL)
     + f"""SELECT {KEY_LIST}, "Organic Rank", "Sponsored Rank" FROM (SELECT *, row_number() OVER (
-    PARTITION BY "Date", "Country", "Keyword", "ASIN" ORDER BY "Organic Rank" DESC NULLS LAST,
-    "Sponsored Rank" DESC NULLS LAST) AS rn FROM pivoted) p WHERE rn = 1""",
+    PARTITION BY "Date", "Country", "Keyword", "ASIN" ORDER BY {LAST_TILE}) AS rn FROM pivoted) p WHERE rn = 1""",
 )
 def keyword_dedup(spark, d):
     return keyword_panel(A.keyword_tiles(spark, d))
+
+
+@query(
+    "keyword_merge",
+    # The stored panel holds the organic tiles, the batch that comes later the sponsored ones.
+    A.joined_sql(A.TILES_SQL, RENUMBERED_SQL)
+    + f"""SELECT {KEY_LIST}, "Organic Rank", "Sponsored Rank" FROM (SELECT *, row_number() OVER (
+      PARTITION BY "Date", "Country", "Keyword", "ASIN" ORDER BY age DESC, {LAST_TILE}) AS rn
+    FROM (SELECT {KEY_LIST}, CASE WHEN "Sponsored" = 'Yes' THEN 1 ELSE 0 END AS age,
+        max("Rank") FILTER ("Sponsored" = 'No') AS "Organic Rank",
+        max("Rank") FILTER ("Sponsored" = 'Yes') AS "Sponsored Rank"
+      FROM renumbered GROUP BY ALL) a) p WHERE rn = 1""",
+)
+def keyword_merge(spark, d):
+    tiles = A.keyword_tiles(spark, d)
+    stored = keyword_panel(tiles.where(F.col("Sponsored") == "No"))
+    return keyword_panel(tiles.where(F.col("Sponsored") == "Yes"), stored)
