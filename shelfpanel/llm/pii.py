@@ -1,21 +1,23 @@
 """Information-theoretic sanitisation of personal data.
 
-Personal values (mail and IP addresses, card and phone numbers) are found by pattern in every whole text. The words around a
-value are its context; counts over the whole corpus tell how strongly a word reveals a value: with p taken from document counts,
-the disclosure of value v by term t is PMI(v, t) / IC(v) = log(N n(v,t) / (n(v) n(t))) / log(N / n(v)), which is 1 where t
-occurs with v only. Terms that reach a threshold, and do so in at least two different texts, are marked where they stand near the value;
-``sanitised`` then puts a general label in place of a value or term, or removes terms of an even higher disclosure.
+Personal values (mail and IP addresses, card and phone numbers) are found by pattern in every whole text. Counts over the whole
+corpus tell how strongly a word reveals a value: with p taken from document counts, the disclosure of value v by term t is
+PMI(v, t) / IC(v) = log(N n(v,t) / (n(v) n(t))) / log(N / n(v)), which is 1 where t occurs with v only. All counts are of whole
+texts: n(v,t) is the number of documents that hold v and, outside values, t at any distance. Terms that reach a threshold,
+and hold it in at least two different texts, are marked wherever they stand in a text with the value and, with ``everywhere``, in
+all other texts too; ``sanitised`` then puts a general label in place of a value or term, or removes terms of an even higher disclosure.
 
-Counts are aggregated before each shuffle. The corpus count of terms reads all texts, but sends on only words that a bit table of
-fixed size lets pass, which holds the candidate terms; the join after it is exact.
+Counts are aggregated before each shuffle. Only values of two different texts are paired. As n(v,t) is at most n(v), a term of more than
+N (n(v) / N) ** threshold documents cannot reach the threshold; bit tables of fixed size, one for each power of 8 of that bound, leave such
+pairs out. They let some others pass; the joins after them are exact.
 
 Defined cases: null counts as empty; an empty table gives an empty result; a value in all documents discloses nothing;
 repeated rows (same id and text) give repeated results and count as documents; positions are code points, ends exclusive;
 only the id and text columns are used.
 """
 
+import hashlib
 import re
-from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +29,8 @@ from shelfpanel.llm.common import (
 )
 
 KINDS = ["email", "ip", "card", "phone"]
-WINDOW = 8
 THRESHOLD = 0.8
+STEP = 8
 REMOVE = 0.98
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -87,8 +89,14 @@ def entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind in ('email', 'ip') else ''.join(DIGIT.findall(value))}"
 
 
-def contexts(text: str, spans) -> list[tuple[str, int, int]]:
-    """(entity, start, end) for each term within ``WINDOW`` terms of a value, values themselves left out."""
+def entities_of(text: str, spans) -> list[int]:
+    """64-bit hashes of the distinct values."""
+    names = sorted({entity(kind, text[s:e]) for kind, s, e in spans})
+    return [int.from_bytes(hashlib.blake2b(n.encode(), digest_size=8).digest(), "little", signed=True) for n in names]
+
+
+def terms_of(text: str, spans) -> list[tuple[int, int]]:
+    """(start, end) of all terms, values and what overlaps them left out."""
     taken = sorted((s, e) for _, s, e in spans)
     terms, i = [], 0
     for m in TERM.finditer(text):
@@ -96,55 +104,154 @@ def contexts(text: str, spans) -> list[tuple[str, int, int]]:
             i += 1
         if all(e <= m.start() or s >= m.end() for s, e in taken[i : i + len(KINDS)]):
             terms.append(m.span())
-    starts = [s for s, _ in terms]
-    out = []
-    for kind, s, e in spans:
-        name = entity(kind, text[s:e])
-        before, after = bisect_left(starts, s), bisect_left(starts, e)
-        near = terms[max(0, before - WINDOW) : before] + terms[after : after + WINDOW]
-        out += [(name, a, b) for a, b in near]
-    return out
+    return terms
+
+
+def without_values(text: str, spans) -> str:
+    """``text`` without its values and the terms that overlap them; the other terms stay apart and in order."""
+    out, last = [], 0
+    for start, end in sorted((s, e) for _, s, e in spans):
+        if TERM.match(text[start]):
+            while start > last and TERM.match(text[start - 1]):
+                start -= 1
+        found = TERM.match(text, end) if TERM.match(text[end - 1]) else None
+        if start > last:
+            out.append(text[last:start])
+        last = max(last, found.end() if found else end)
+    return "\n".join([*out, text[last:]])
+
+
+def slots_of(keys: np.ndarray) -> np.ndarray:
+    return (keys.astype(np.uint64) & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def bits_of(keys: DataFrame) -> np.ndarray:
+    """The bit table of a column of 64-bit hashes."""
+    return taken_slots(keys, F.pmod(F.col(keys.columns[0]), F.lit(SLOTS)))
 
 
 def find_values(rows: DataFrame) -> DataFrame:
-    """For rows of ``id``, ``code`` and ``text``: counts, base spans, entities and their contexts (term hashes)."""
+    """For rows of ``id``, ``code`` and ``text``: counts, base spans and entities."""
     kind = rows.schema["id"].dataType.simpleString()
-    near = pa.struct([("entity", pa.string()), ("term", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches):
         for batch in batches:
             for part in batches_of(batch):
-                counts, bases, entities, found = [[] for _ in KINDS], [], [], []
+                counts, bases, entities = [[] for _ in KINDS], [], []
                 for text in part.column("text").to_pylist():
                     text = text or ""
                     spans = base_spans(text)
                     for k, name in enumerate(KINDS):
                         counts[k].append(sum(s[0] == name for s in spans))
                     bases.append(",".join(f"{n}:{s}:{e}" for n, s, e in spans))
-                    entities.append(sorted({entity(n, text[s:e]) for n, s, e in spans}))
-                    places = contexts(text, spans) if spans else []
-                    hashes, _ = word_hashes([" ".join(text[a:b] for _, a, b in places).encode()], LETTERS)
-                    keys = hashes.astype(np.int64).tolist()
-                    found.append([{"entity": n, "term": h, "start": a, "end": b} for (n, a, b), h in zip(places, keys)])
+                    entities.append(entities_of(text, spans))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("id"), part.column("code"), *[pa.array(c, pa.int64()) for c in counts], pa.array(bases, pa.string()),
-                        pa.array(entities, pa.list_(pa.string())), pa.array(found, pa.list_(near)),
+                        pa.array(entities, pa.list_(pa.int64())),
                     ],
-                    ["id", "code", *[f"n_{k}" for k in KINDS], "base", "entities", "near"],
+                    ["id", "code", *[f"n_{k}" for k in KINDS], "base", "entities"],
                 )
 
     numbers = ", ".join(f"n_{k} bigint" for k in KINDS)
-    return rows.mapInArrow(
-        run,
-        f"id {kind}, code bigint, {numbers}, base string, entities array<string>, "
-        "near array<struct<entity:string, term:bigint, start:bigint, end:bigint>>",
+    return rows.mapInArrow(run, f"id {kind}, code bigint, {numbers}, base string, entities array<bigint>")
+
+
+def held_terms(part, holders: np.ndarray):
+    """Of the texts that may hold a shared value: (code, text, spans) and the distinct term hashes of each."""
+    codes = part.column("code").to_numpy(zero_copy_only=False)
+    at = np.flatnonzero(slot_is_taken(holders, slots_of(codes)))
+    texts = [t or "" for t in part.column("text").take(pa.array(at)).to_pylist()]
+    spans = [base_spans(t) for t in texts]
+    hashes, counts = word_hashes([without_values(t, s).encode() for t, s in zip(texts, spans)], LETTERS)
+    groups = np.split(hashes.astype(np.int64), np.cumsum(counts)[:-1]) if len(texts) else []
+    return [(int(codes[i]), t, s, np.unique(g)) for i, t, s, g in zip(at, texts, spans, groups)]
+
+
+def candidate_terms(rows: DataFrame, holders) -> DataFrame:
+    """Terms of texts with a shared value (hashes), each once per batch."""
+
+    def run(batches):
+        for batch in batches:
+            for part in batches_of(batch):
+                found = [g for *_, g in held_terms(part, holders.value)]
+                terms = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int64())], ["term"])
+
+    return rows.select("code", "text").mapInArrow(run, "term bigint")
+
+
+def pair_counts(rows: DataFrame, holders, levels) -> DataFrame:
+    """Documents with both, of each pair of a shared value and a term not too frequent for it: ``entity``, ``term``, ``n_pair``.
+
+    ``levels`` has bit tables of values and of the terms that they may be paired with, by rising bound.
+    """
+
+    def run(batches):
+        names = ["entity", "term", "code"]
+        for batch in batches:
+            for part in batches_of(batch):
+                for code, text, spans, terms in held_terms(part, holders.value):
+                    left = np.array(entities_of(text, spans), np.int64)
+                    for values, allowed in reversed(levels.value):
+                        here = slot_is_taken(values, slots_of(left))
+                        own, left = left[here], left[~here]
+                        fit = terms[slot_is_taken(allowed, slots_of(terms))] if len(own) else terms[:0]
+                        step = max(1, (1 << 18) // max(1, len(fit)))
+                        for k in range(0, len(own) if len(fit) else 0, step):
+                            some = own[k : k + step]
+                            columns = [np.repeat(some, len(fit)), np.tile(fit, len(some)), np.full(len(some) * len(fit), code)]
+                            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
+    found = rows.select("code", "text").mapInArrow(run, "entity bigint, term bigint, code bigint")
+    return (
+        found.groupBy("entity", "term").agg(F.count("*").alias("n_pair"), F.min("code").alias("low"), F.max("code").alias("high"))
+        .where("low < high").select("entity", "term", "n_pair")
+    )
+
+
+def places_of(rows: DataFrame, terms: DataFrame, everywhere: bool) -> DataFrame:
+    """Where the ``terms`` (hashes) stand outside values, for each text and term: id, ``code``, ``entities`` of the text (none with
+    ``everywhere``), ``term``, ``places``."""
+    bits = rows.sparkSession.sparkContext.broadcast(bits_of(terms))
+    kind = rows.schema["id"].dataType.simpleString()
+    place = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+
+    def run(batches):
+        for batch in batches:
+            for part in batches_of(batch):
+                raw, hit = text_bytes(part.column("text")), set()
+                for owners, counts, hashes, *_ in word_chunks(raw, LETTERS):
+                    hit.update(np.repeat(owners, counts)[slot_is_taken(bits.value, slots_of(hashes))].tolist())
+                ids, codes = part.column("id"), part.column("code")
+                for i in sorted(hit):
+                    text = raw[i].decode()
+                    spans = base_spans(text)
+                    found = terms_of(text, spans)
+                    hashes, _ = word_hashes(["\n".join(text[a:b] for a, b in found).encode()], LETTERS)
+                    kept = np.flatnonzero(slot_is_taken(bits.value, slots_of(hashes)))
+                    by_term = {}
+                    for k in kept.tolist():
+                        by_term.setdefault(int(hashes[k : k + 1].astype(np.int64)[0]), []).append({"start": found[k][0], "end": found[k][1]})
+                    if by_term:
+                        n, own = len(by_term), [] if everywhere else entities_of(text, spans)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                ids.take(pa.array([i] * n)), codes.take(pa.array([i] * n)),
+                                pa.array([own] * n, pa.list_(pa.int64())),
+                                pa.array(list(by_term), pa.int64()), pa.array(list(by_term.values()), pa.list_(place)),
+                            ],
+                            ["id", "code", "entities", "term", "places"],
+                        )
+
+    return rows.select("id", "code", "text").mapInArrow(
+        run, f"id {kind}, code bigint, entities array<bigint>, term bigint, places array<struct<start:bigint, end:bigint>>"
     )
 
 
 def term_counts(rows: DataFrame, terms: DataFrame) -> DataFrame:
     """Number of documents of each of the ``terms`` (hashes): ``term``, ``n_term``."""
-    bits = rows.sparkSession.sparkContext.broadcast(taken_slots(terms, F.pmod(F.col("term"), F.lit(SLOTS))))
+    bits = rows.sparkSession.sparkContext.broadcast(bits_of(terms))
 
     def run(batches):
         for batch in batches:
@@ -152,7 +259,7 @@ def term_counts(rows: DataFrame, terms: DataFrame) -> DataFrame:
             for part in batches_of(batch):
                 held = []
                 for owners, counts, hashes, *_ in word_chunks(text_bytes(part.column("text")), LETTERS):
-                    keep = slot_is_taken(bits.value, (hashes & np.uint64(SLOTS - 1)).astype(np.int64))
+                    keep = slot_is_taken(bits.value, slots_of(hashes))
                     held.append(np.stack([np.repeat(owners, counts)[keep].astype(np.int64), hashes[keep].astype(np.int64)]))
                 pairs = np.unique(np.concatenate(held, axis=1), axis=1) if held else np.zeros((2, 0), np.int64)
                 pending.append(pairs[1])
@@ -162,30 +269,56 @@ def term_counts(rows: DataFrame, terms: DataFrame) -> DataFrame:
     return rows.select("text").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
-def disclosure(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def telling_terms(rows: DataFrame, found: DataFrame, total: int, threshold: float) -> DataFrame:
+    """``entity``, ``term`` and ``weight`` of each pair that reaches the threshold."""
+    shared = stored(
+        found.select("code", F.explode("entities").alias("entity")).groupBy("entity")
+        .agg(F.count("*").alias("n_entity"), F.min("code").alias("low"), F.max("code").alias("high"))
+        .where((F.col("low") < F.col("high")) & (F.col("n_entity") < total)).select("entity", "n_entity")
+        .withColumn("level", F.ceil((F.log("n_entity") * threshold + F.log(F.lit(float(total))) * (1 - threshold)) / np.log(STEP).item() + 1e-6))
+    )
+    context = rows.sparkSession.sparkContext
+    holders = found.select("code", F.explode("entities").alias("entity")).join(shared, "entity", "left_semi").select("code")
+    holders = context.broadcast(bits_of(holders))
+    counts = stored(
+        term_counts(rows, candidate_terms(rows, holders)).where("n_term > 1")
+        .withColumn("level", F.ceil(F.log("n_term") / np.log(STEP).item() - 1e-6))
+    )
+    levels = [r[0] for r in shared.select("level").distinct().orderBy("level").collect()]  # one for each power of STEP
+    tables = [
+        (bits_of(shared.where(F.col("level") == k).select("entity")), bits_of(counts.where(F.col("level") <= k).select("term"))) for k in levels
+    ]
+    pairs = pair_counts(rows, holders, context.broadcast(tables))
+    size = F.lit(float(total))
+    weight = F.log(size * F.col("n_pair") / (F.col("n_entity") * F.col("n_term"))) / F.log(size / F.col("n_entity"))
+    return (
+        pairs.join(counts.drop("level"), "term").join(shared.drop("level"), "entity")
+        .withColumn("weight", weight).where(F.col("weight") >= threshold).select("entity", "term", "weight")
+    )
+
+
+def disclosure(
+    docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", everywhere: bool = False
+) -> DataFrame:
     """One row per row: id, ``code`` (hash of the text), ``n_email``, ``n_ip``, ``n_card``, ``n_phone``, ``base`` (spans as text)
-    and ``terms`` (start, end and disclosure of each revealing term)."""
+    and ``terms`` (start, end and disclosure of each revealing term). ``everywhere`` marks terms in texts without the value too."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     rows = rows.withColumn("code", F.xxhash64("text"))
     found = stored(find_values(rows.select("id", "code", "text")))
-    near = found.select("id", "code", F.explode("near").alias("x")).select("id", "code", "x.*")
-    pairs = (
-        near.select("id", "code", "entity", "term").distinct()
-        .groupBy("entity", "term").agg(F.count("*").alias("n_pair"), F.min("code").alias("low"), F.max("code").alias("high"))
-        .where("low < high").select("entity", "term", "n_pair")
-    )
-    pairs = stored(pairs)
-    entities = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    total = F.lit(float(found.count()))
-    weight = F.log(total * F.col("n_pair") / (F.col("n_entity") * F.col("n_term"))) / F.log(total / F.col("n_entity"))
-    telling = (
-        pairs.join(term_counts(rows, pairs.select("term").distinct()), "term").join(entities, "entity")
-        .where(F.col("n_entity") < total).withColumn("weight", weight).where(F.col("weight") >= threshold)
-        .select("entity", "term", "weight")
+    telling = stored(telling_terms(rows, found, found.count(), threshold))
+    by_term = telling.groupBy("term").agg(
+        F.max("weight").alias("largest"), *([] if everywhere else [F.collect_list(F.struct("entity", "weight")).alias("tells")])
     )
+    if everywhere:
+        weight = F.col("largest")
+    else:
+        own = F.filter("tells", lambda x: F.array_contains("entities", x["entity"]))
+        weight = F.array_max(F.transform(own, lambda x: x["weight"]))
+    marks = F.transform("places", lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), F.col("weight").alias("weight")))
     marked = (
-        near.join(telling, ["entity", "term"]).groupBy("id", "code", "start", "end").agg(F.max("weight").alias("weight"))
-        .groupBy("id", "code").agg(F.array_sort(F.collect_list(F.struct("start", "end", "weight"))).alias("terms"))
+        places_of(rows, telling.select("term"), everywhere).dropDuplicates(["id", "code", "term"]).join(by_term, "term")
+        .withColumn("weight", weight).where("weight is not null")
+        .groupBy("id", "code").agg(F.array_sort(F.flatten(F.collect_list(marks))).alias("terms"))
         .withColumnsRenamed({"id": "own_id", "code": "own_code"})
     )
     same = F.col("id").eqNullSafe(F.col("own_id")) & (F.col("code") == F.col("own_code"))
@@ -213,9 +346,12 @@ def cleaned(text: str, base: str, terms: list, remove: float) -> str:
     return "".join(out) + text[last:]
 
 
-def sanitised(docs: DataFrame, threshold: float = THRESHOLD, remove: float = REMOVE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sanitised(
+    docs: DataFrame, threshold: float = THRESHOLD, remove: float = REMOVE, id_col: str = "doc_id", text_col: str = "text",
+    everywhere: bool = False,
+) -> DataFrame:
     """``docs`` with sanitised texts; all other columns stay as they are, and null texts stay null."""
-    found = disclosure(docs, threshold, id_col, text_col).where("base <> ''").select(
+    found = disclosure(docs, threshold, id_col, text_col, everywhere).where("base <> '' or size(terms) > 0").select(
         F.col(id_col).alias("__id"), F.col("code").alias("__code"), F.col("base").alias("__base"), F.col("terms").alias("__terms")
     ).dropDuplicates(["__id", "__code"])
     same = docs[f"`{id_col}`"].eqNullSafe(found["__id"]) & (F.xxhash64(docs[f"`{text_col}`"]) == found["__code"])

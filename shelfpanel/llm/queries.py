@@ -21,7 +21,7 @@ def vocab_path() -> str:
 
 
 def op1_pii(spark, sf_dir):
-    found = pii.disclosure(table(spark, sf_dir, "documents"))
+    found = pii.disclosure(table(spark, sf_dir, "documents"), everywhere=True)
     return found.select(
         "doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2("base", 256).alias("base_sha256"),
         pii.all_spans(F.col("base"), F.col("terms")).alias("spans"),

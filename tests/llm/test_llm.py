@@ -306,6 +306,48 @@ def test_disclosing_terms(spark):
     assert pii.disclosure(docs.limit(0)).count() == 0
 
 
+def brute_disclosure(texts, threshold):
+    """Marked terms of each text, in all texts, by counting each pair of a value and a term."""
+    values, terms, words = [], [], []
+    for text in texts:
+        spans = pii.base_spans(text)
+        values.append({pii.entity(k, text[s:e]) for k, s, e in spans})
+        terms.append([m for m in pii.TERM.finditer(text) if all(e <= m.start() or s >= m.end() for _, s, e in spans)])
+        words.append({folded(m.group()) for m in pii.TERM.finditer(text)})
+    telling, n = set(), len(texts)
+    for v in set().union(*values):
+        own = [i for i in range(n) if v in values[i]]
+        for t in set().union(*words):
+            both = [i for i in own if t in {folded(m.group()) for m in terms[i]}]
+            if len({texts[i] for i in both}) > 1 and len(own) < n:
+                weight = np.log(n * len(both) / (len(own) * sum(t in w for w in words))) / np.log(n / len(own))
+                telling |= {t} if weight >= threshold else set()
+    return [{m.span() for m in found if folded(m.group()) in telling} for found in terms]
+
+
+def test_disclosing_terms_of_whole_texts(spark):
+    far = " ".join(f"pad{c}" for c in "abcdefghijklmnopqrstuvwxyz")
+    texts = [f"filler{i} the lot is here" for i in range(200)] + [
+        f"{i} Zanzibar captain {far} ann@mail.example.com the lot" for i in range(4)
+    ] + ["the Zanzibar captain sails"]
+    docs = documents(spark, texts)
+    for everywhere in (False, True):
+        got = {r.doc_id: {texts[r.doc_id][t.start : t.end] for t in r.terms} for r in pii.disclosure(docs, everywhere=everywhere).collect()}
+        assert all({"Zanzibar", "captain"} <= got[i] and "lot" not in got[i] for i in range(200, 204))
+        assert got[204] == ({"Zanzibar", "captain"} if everywhere else set())
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs, everywhere=True).collect()}
+    assert clean[204] == "the [TERM] [TERM] sails" and "Zanzibar" not in clean[200] and clean[0] == texts[0]
+
+
+def test_disclosing_terms_against_brute_force(spark):
+    draw = random.Random(5)
+    words = ["ann@x.org", "Bob@y.net", "10.0.0.1", "+49 30 1234567", "bob@y.neté", *[f"w{c}" for c in "abcdefghijklmnop"], "Éa"]
+    texts = [" ".join(draw.choices(words, [1] * 5 + [2] * 17, k=draw.randint(0, 14))) for _ in range(60)] + [f"other {i}" for i in range(200)]
+    got = {r.doc_id: {(t.start, t.end) for t in r.terms} for r in pii.disclosure(documents(spark, texts), 0.6, everywhere=True).collect()}
+    wanted = brute_disclosure(texts, 0.6)
+    assert any(wanted) and [got[i] for i in range(len(texts))] == wanted
+
+
 # 6, 8, 10 trained models
 
 
