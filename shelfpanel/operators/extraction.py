@@ -1,7 +1,7 @@
 """Fields from stored pages by tables of rules.
 
-A rule is a pattern with one group. Rules aim at leaf elements or bounded blocks: a pattern
-cannot balance nested elements of the same name.
+A rule is a pattern with one group. A pattern cannot balance nested elements of the same name, so a group that begins
+with a start tag and runs to the end of the page (``.*)`` at the end of the pattern) is cut where that element ends.
 """
 
 from dataclasses import dataclass
@@ -13,6 +13,8 @@ from shelfpanel.functions.text import or_not_found, single_spaced, strip
 
 # The character references that page text is decoded from.
 ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
+# Elements without content or end tag.
+VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
 
 
 @dataclass(frozen=True)
@@ -26,12 +28,12 @@ class Rule:
 
 def element_with(attribute: str, value: str, tag: str = r"\w+") -> str:
     """Pattern for the content of the first element whose attribute has exactly this value."""
-    return rf"(?s)<{tag}\b[^>]*\b{attribute}\s*=\s*[\"']{value}[\"'][^>]*>(.*?)</"
+    return rf"(?s)(<{tag}\b[^>]*\b{attribute}\s*=\s*[\"']{value}[\"'][^>]*>.*)"
 
 
 def element_with_class(name: str, tag: str = r"\w+") -> str:
     """Pattern for the content of the first element that has this class among others."""
-    return rf"(?s)<{tag}\b[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?{name}(?:\s[^\"']*)?[\"'][^>]*>(.*?)</"
+    return rf"(?s)(<{tag}\b[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?{name}(?:\s[^\"']*)?[\"'][^>]*>.*)"
 
 
 def attribute_of(marker: str, attribute: str) -> str:
@@ -52,10 +54,51 @@ def element_text(markup: Column) -> Column:
     return single_spaced(text)
 
 
+def closed_element(markup: Column, tag: str | Column) -> Column:
+    """Markup that begins with a start tag, up to where the depth of that tag returns to zero.
+
+    An element that never ends keeps all that follows it.
+    """
+    tag = F.lit(tag) if isinstance(tag, str) else tag
+    begins, ends_with = F.concat(F.lit("<"), tag), F.concat(F.lit("</"), tag)
+    parts = F.split(markup, F.concat(F.lit("(?=</?"), tag, F.lit("\\b)")))
+    start = F.struct(F.lit(0).alias("place"), F.lit(0).alias("depth"), F.lit(0).alias("end"))
+
+    def step(a: Column, part: Column) -> Column:
+        change = F.when(part.startswith(ends_with), -1).when(part.startswith(begins), 1).otherwise(0)
+        depth = a["depth"] + change
+        ends = (a["end"] == 0) & (change == -1) & (depth == 0)
+        return F.struct(
+            (a["place"] + 1).alias("place"), depth.alias("depth"), F.when(ends, a["place"]).otherwise(a["end"]).alias("end")
+        )
+
+    end = F.aggregate(parts, start, step, lambda a: a["end"])
+    return F.when(end == 0, markup).otherwise(F.array_join(F.slice(parts, F.lit(1), end), ""))
+
+
+def own_content(markup: Column) -> Column:
+    """Content of the element that ``markup`` begins with, inner elements of the same name included."""
+    tag = F.regexp_extract(markup, r"^<(\w+)", 1)
+    inside = F.regexp_replace(closed_element(markup, tag), r"^<[^>]*>", "")
+    return F.when(F.lower(tag).isin(VOID), "").otherwise(inside)
+
+
+def elements(markup: Column, start: str, inner: str = "") -> Column:
+    """Contents of all elements whose start tag matches ``start``; with ``inner``, of the element that follows it at once."""
+    pieces = F.filter(F.split(markup, f"(?={start})"), lambda p: p.rlike(f"(?s)^{start}{inner}"))
+    return F.transform(pieces, lambda p: own_content(F.regexp_replace(p, f"^{start}\\s*", "") if inner else p))
+
+
+def content(html: Column, pattern: str) -> Column:
+    """What the group of ``pattern`` holds, cut to its element if the group runs to the end of the page."""
+    found = F.regexp_extract(html, pattern, 1)
+    return own_content(found) if pattern.endswith(".*)") else found
+
+
 def rule_value(html: Column, rule: Rule) -> Column:
     """What one rule finds: null where it finds nothing, blank where the element is empty."""
-    content = F.when(html.rlike(rule.pattern), F.regexp_extract(html, rule.pattern, 1))
-    return element_text(content) if rule.kind == "text" else strip(content)
+    found = F.when(html.rlike(rule.pattern), content(html, rule.pattern))
+    return element_text(found) if rule.kind == "text" else strip(found)
 
 
 def first_found(html: Column, rules: list[Rule]) -> Column:
@@ -74,26 +117,6 @@ def extract_fields(
     )
 
 
-def closed_element(markup: Column, tag: str) -> Column:
-    """Markup that begins with a start tag, up to where the depth of that tag returns to zero.
-
-    An element that never ends keeps all that follows it.
-    """
-    parts = F.split(markup, rf"(?=</?{tag}\b)")
-    start = F.struct(F.lit(0).alias("place"), F.lit(0).alias("depth"), F.lit(0).alias("end"))
-
-    def step(a: Column, part: Column) -> Column:
-        change = F.when(part.startswith(f"</{tag}"), -1).when(part.startswith(f"<{tag}"), 1).otherwise(0)
-        depth = a["depth"] + change
-        ends = (a["end"] == 0) & (change == -1) & (depth == 0)
-        return F.struct(
-            (a["place"] + 1).alias("place"), depth.alias("depth"), F.when(ends, a["place"]).otherwise(a["end"]).alias("end")
-        )
-
-    end = F.aggregate(parts, start, step, lambda a: a["end"])
-    return F.when(end == 0, markup).otherwise(F.array_join(F.slice(parts, F.lit(1), end), ""))
-
-
 def tiles(pages: DataFrame, start: str, keep: list[str], html: str = "html", tag: str = "div") -> DataFrame:
     """One row per result tile with its 1-based place; a tile ends with its own element ``tag``."""
     pieces = F.split(F.col(html), f"(?={start})")

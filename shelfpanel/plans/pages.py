@@ -15,18 +15,18 @@ from shelfpanel.sources.marketplaces import dimension, lookup
 PRODUCT_RULES = {
     "Color Name": [
         Rule("inline", x.element_with("id", "inline-twister-expanded-dimension-text-color_name")),
-        Rule("variation", r'(?s)id="variation_color_name".*?<span[^>]*>(.*?)</span>'),
+        Rule("variation", r'(?s)id="variation_color_name".*?(<span[^>]*>.*)'),
     ],
     "Size Name": [
         Rule("inline", x.element_with("id", "inline-twister-expanded-dimension-text-size_name")),
-        Rule("variation", r'(?s)id="variation_size_name".*?<span[^>]*>(.*?)</span>'),
+        Rule("variation", r'(?s)id="variation_size_name".*?(<span[^>]*>.*)'),
     ],
     "Brand": [Rule("byline", x.element_with("id", "bylineInfo"))],
     "Name": [Rule("title", x.element_with("id", "productTitle", "span"))],
-    "Stock": [Rule("availability", r'(?s)<div\b[^>]*\bid="availability"[^>]*>(.*?)</div>')],
+    "Stock": [Rule("availability", r'(?s)(<div\b[^>]*\bid="availability"[^>]*>.*)')],
     "Merchant": [Rule("seller", x.element_with("id", "sellerProfileTriggerId"))],
     "Product Category": [
-        Rule("breadcrumb", r'(?s)id="wayfinding-breadcrumbs_feature_div"[^>]*>(.*?)</div>')
+        Rule("breadcrumb", x.element_with("id", "wayfinding-breadcrumbs_feature_div"))
     ],
     "Product Category GL": [Rule("input", x.attribute_of("id=[\"']productCategory", "value"), "raw")],
     "Date Created": [
@@ -41,7 +41,7 @@ PRODUCT_RULES = {
     "Limited Time Deal": [Rule("badge", x.element_with("id", "dealBadgeSupportingText"))],
     "Prime": [Rule("event", x.element_with("class", "pep-pday-badge", "span"))],
     "Prev Month Qty": [
-        Rule("bought", r'(?s)id="social-proofing-faceout-title-tk_bought"[^>]*>\s*<span[^>]*>(.*?)</span>')
+        Rule("bought", r'(?s)id="social-proofing-faceout-title-tk_bought"[^>]*>\s*(<span[^>]*>.*)')
     ],
     "Coupon": [Rule("promo", x.element_with_class("promoPriceBlockMessage"))],
     "Deal": [
@@ -50,22 +50,22 @@ PRODUCT_RULES = {
     "PED": [Rule("message", x.element_with("id", "primeExclusivePricingMessage"))],
     "Rating Stars": [Rule("icon", x.element_with("class", "a-icon-alt", "span"))],
     "Badge": [
-        Rule("mvt", r'(?s)<span\b(?=[^>]*class="[^"]*mvt)(?=[^>]*class="[^"]*badge)[^>]*>(.*?)</span>')
+        Rule("mvt", r'(?s)(<span\b(?=[^>]*class="[^"]*mvt)(?=[^>]*class="[^"]*badge)[^>]*>.*)')
     ],
 }
 # A field that is only read on request.
 EXTRA_RULES = {
-    "Freq Badge": [Rule("returned", r'(?s)id="NEW_1_nostos_badge".*?<p[^>]*>\s*<span[^>]*>(.*?)</span>')]
+    "Freq Badge": [Rule("returned", r'(?s)id="NEW_1_nostos_badge".*?<p[^>]*>\s*(<span[^>]*>.*)')]
 }
 # Places where deal and coupon texts have been seen, in order of preference.
 CANDIDATE_RULES = {
     "Limited Time Deal": [
         Rule("id dealBadgeSupportingText", x.element_with("id", "dealBadgeSupportingText")),
         Rule("id deal-badge-msg", x.element_with("id", "deal-badge-msg")),
-        Rule("price in feature", r'(?s)id="dealBadgeDisplayFeature_feature_div".*?<span[^>]*a-color-price[^>]*>(.*?)</span>'),
-        Rule("bold in feature", r'(?s)id="dealBadgeDisplayFeature_feature_div".*?<span[^>]*a-text-bold[^>]*>(.*?)</span>'),
-        Rule("feature", r'(?s)<div\b[^>]*\bid="dealBadgeDisplayFeature_feature_div"[^>]*>(.*?)</div>'),
-        Rule("class part deal-badge", r'(?s)<span\b[^>]*\bclass="[^"]*deal-badge[^"]*"[^>]*>(.*?)</span>'),
+        Rule("price in feature", r'(?s)id="dealBadgeDisplayFeature_feature_div".*?(<span[^>]*a-color-price[^>]*>.*)'),
+        Rule("bold in feature", r'(?s)id="dealBadgeDisplayFeature_feature_div".*?(<span[^>]*a-text-bold[^>]*>.*)'),
+        Rule("feature", r'(?s)(<div\b[^>]*\bid="dealBadgeDisplayFeature_feature_div"[^>]*>.*)'),
+        Rule("class part deal-badge", r'(?s)(<span\b[^>]*\bclass="[^"]*deal-badge[^"]*"[^>]*>.*)'),
         Rule("class dealBadge", x.element_with_class("dealBadge")),
         Rule("feature name dealBadge", x.element_with("data-feature-name", "dealBadge")),
         Rule("label feature", x.element_with("id", "limitedTimeDealLabel_feature_div", "div")),
@@ -76,7 +76,7 @@ CANDIDATE_RULES = {
         Rule("id couponBadgeRegular", x.element_with("id", "couponBadgeRegular")),
         Rule("class coupon-badge", x.element_with_class("coupon-badge")),
         Rule("feature", x.element_with("id", "couponBadgeDisplayFeature_feature_div", "div")),
-        Rule("class part coupon", r'(?s)<span\b[^>]*\bclass="[^"]*coupon[^"]*"[^>]*>(.*?)</span>'),
+        Rule("class part coupon", r'(?s)(<span\b[^>]*\bclass="[^"]*coupon[^"]*"[^>]*>.*)'),
         Rule("feature name couponBadge", x.element_with("data-feature-name", "couponBadge")),
         Rule("promo feature", x.element_with("id", "promoPriceBlockMessage_feature_div", "div")),
     ],
@@ -92,15 +92,15 @@ MEMBER_NOTES = {
     "FR": "Prime",
     "IT": "riservata esclusivamente ai clienti Prime",
 }
-NOTE_SPAN = r'(?s)<span\b[^>]*\bclass="a-size-base"[^>]*>(.*?)</span>'
+NOTE_SPAN = r'<span\b[^>]*\bclass="a-size-base"[^>]*>'
 PAGE_KEY_RULES = [Rule("details", x.table_value("ASIN"))]
 # Blocks of a product page that are read as a whole.
-PRICE_BLOCK = r'(?s)id="corePriceDisplay_desktop_feature_div"(.*?)</div>'
-PRICE_WHOLE = r'(?s)<span\b[^>]*\bclass="[^"]*a-price-whole[^"]*"[^>]*>(.*?)</span>'
-PRICE_FRACTION = r'(?s)<span\b[^>]*\bclass="[^"]*a-price-fraction[^"]*"[^>]*>(.*?)</span>'
-FEATURE_BLOCK = r'(?s)id="feature-bullets"(.*?)</ul>'
-FEATURE_ITEM = r"(?s)<li\b[^>]*>\s*<span[^>]*>(.*?)</span>"
-BREADCRUMB_BLOCK = r'(?s)id="wayfinding-breadcrumbs_feature_div"(.*?)</div>'
+PRICE_BLOCK = x.element_with("id", "corePriceDisplay_desktop_feature_div")
+PRICE_WHOLE = r'(?s)(<span\b[^>]*\bclass="[^"]*a-price-whole[^"]*"[^>]*>.*)'
+PRICE_FRACTION = r'(?s)(<span\b[^>]*\bclass="[^"]*a-price-fraction[^"]*"[^>]*>.*)'
+FEATURE_BLOCK = x.element_with("id", "feature-bullets")
+FEATURE_ITEM = r"<li\b[^>]*>"
+BREADCRUMB_BLOCK = x.element_with("id", "wayfinding-breadcrumbs_feature_div")
 HREF = r'<a\b[^>]*\bhref="([^"]*)"'
 BSR_BLOCK = r'(?s)id="productDetails_detailBullets_sections1"(.*?)</table>'
 TABLE_ROW = r"(?s)<tr\b[^>]*>(.*?)</tr>"
@@ -114,7 +114,7 @@ TILE_ASIN = Rule("asin", r'^<div\b[^>]*\bdata-asin="([^"]*)"', "raw")
 TILE_RULES = {
     "Title": [Rule("heading", r"(?s)<h2\b[^>]*>(.*?)</h2>")],
     "Price": [
-        Rule("price", r'(?s)class="[^"]*\ba-price\b[^"]*"[^>]*>\s*<span[^>]*a-offscreen[^>]*>(.*?)</span>')
+        Rule("price", r'(?s)class="[^"]*\ba-price\b[^"]*"[^>]*>\s*(<span[^>]*a-offscreen[^>]*>.*)')
     ],
     "Num Reviews": [Rule("reviews", x.element_with("class", "a-size-base s-underline-text", "span"))],
 }
@@ -126,7 +126,7 @@ TILE_DEALS = {
 
 
 def _block(html: Column, pattern: str) -> Column:
-    return F.regexp_extract(html, pattern, 1)
+    return x.content(html, pattern)
 
 
 def _price(html: Column) -> Column:
@@ -141,13 +141,13 @@ def _price(html: Column) -> Column:
 
 
 def _features(html: Column) -> Column:
-    items = F.regexp_extract_all(_block(html, FEATURE_BLOCK), F.lit(FEATURE_ITEM), F.lit(1))
+    items = x.elements(_block(html, FEATURE_BLOCK), FEATURE_ITEM, r"\s*<span")
     return text.feature_list(F.transform(items, x.element_text))
 
 
 def _member_note(html: Column, country: Column) -> Column:
     """First note of the right class with the member wording of the country, null if none."""
-    notes = F.transform(F.regexp_extract_all(html, F.lit(NOTE_SPAN), F.lit(1)), x.element_text)
+    notes = F.transform(x.elements(html, NOTE_SPAN), x.element_text)
     wording = lookup(MEMBER_NOTES, country)
     return F.get(F.filter(notes, lambda n: n.contains(wording)), F.lit(0))
 

@@ -224,6 +224,21 @@ def test_member_notes_follow_the_country(spark):
     assert rows(got, "Country", "PED") == [("ES", "Con Prime"), ("US", "msg")]
 
 
+def test_fields_are_whole_elements(spark):
+    html = (
+        '<span id="productTitle">Bin <b>large</b> with <span>a</span> lid</span><div id="availability"><div>In</div> stock</div>'
+        '<div id="corePriceDisplay_desktop_feature_div"><div>Now</div><span class="a-price-whole">12<span>.</span></span>'
+        '<span class="a-price-fraction">50</span></div><span class="a-price-fraction">99</span>'
+        '<div id="feature-bullets"><ul><li><span>One <span>of</span> two</span></li></ul><ul><li><span>Two</span></li></ul></div>'
+        '<ul><li><span>Other</span></li></ul><a id="bylineInfo">Brand <i>B</i> Ltd</a><input id="acrCustomerReviewText">'
+        '<span class="a-size-base">Con <span>Prime</span> hoy</span>'
+    )
+    pages = spark.createDataFrame([("ES", "B000000001", "u", html)], "Country string, ASIN string, url string, html string")
+    got = extract_products(pages, A.marketplaces(spark), F.lit("2026-05-16").cast("date")).collect()[0]
+    assert (got["Name"], got["Stock"], got["Price"]) == ("Bin large with a lid", "In stock", "12.50")
+    assert got["Features"] == "One of two | Two" and "B Ltd" in got["Brand"] and got["PED"] == "Con Prime hoy"
+
+
 def test_search_page(spark):
     def item(asin, inner):
         return f'<div data-asin="{asin}" data-component-type="s-search-result">{inner}</div>'
