@@ -154,9 +154,9 @@ class LanguageModel:
         return self
 
     def _step(self, text, truth, ends, squares, squares_moves, rate):
-        _, _, hashes, joined, starts, stops = next(word_chunks([text], LETTERS))
-        features = WordFeatures(hashes, joined, starts, stops)
-        chances, moved = forward_backward(features.scores(self.weights), self.moves, ends, with_moves=True)
+        chunks = [WordFeatures(*c[2:]) for c in word_chunks([text], LETTERS)]
+        scores = np.concatenate([c.scores(self.weights) for c in chunks])
+        chances, moved = forward_backward(scores, self.moves, ends, with_moves=True)
         seen = np.zeros_like(self.moves)
         inside = np.ones(len(truth), bool)
         inside[np.concatenate(([0], ends[:-1]))] = False
@@ -164,7 +164,8 @@ class LanguageModel:
         np.add.at(seen, (truth[at - 1], truth[at]), 1)
         error = chances
         error[np.arange(len(truth)), truth] -= 1
-        gradient = features.gradient(error / len(truth), len(self.languages)) + 1e-6 * self.weights
+        errors = np.split(error / len(truth), np.cumsum([c.words for c in chunks])[:-1])
+        gradient = sum(c.gradient(e, len(self.languages)) for c, e in zip(chunks, errors)) + 1e-6 * self.weights
         squares += gradient**2
         self.weights -= (rate * gradient / np.sqrt(squares)).astype(np.float32)
         gradient = (moved - seen) / len(truth) + 1e-4 * self.moves

@@ -378,6 +378,17 @@ def test_language_accuracy_and_odd_texts(spark):
     assert {r.lang_pred for r in language_id.identify(odd, empty).collect()} == {"und"}
 
 
+def test_training_on_a_language_without_blanks(monkeypatch):
+    draw = random.Random(3)
+    plain = " ".join("".join(draw.choices("abcdefgh", k=5)) for _ in range(200)).encode()
+    runs = " ".join("".join(draw.choices("\u4e00\u4e01\u4e8c\u4eba\u5927", k=300)) for _ in range(30)).encode()
+    model = language_id.LanguageModel(["en", "zh"]).fit([plain, runs], np.array([0, 1]), rounds=1)
+    assert model.predict([plain, runs])[0] == ["en", "zh"]
+    monkeypatch.setattr(common, "CHUNK", 1 << 22)
+    whole = language_id.LanguageModel(["en", "zh"]).fit([plain, runs], np.array([0, 1]), rounds=1)
+    assert np.allclose(model.weights, whole.weights, atol=1e-4) and np.allclose(model.moves, whole.moves)
+
+
 def test_code_switched_words(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = language_id.train(docs)
