@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from shelfpanel.llm import (
-    bpe, decontaminate, exact_dedup, language_id, licenses, near_dedup, pii, quality, toxicity, url_filter,
+    bpe, decontaminate, divergence, exact_dedup, language_id, language_model, licenses, near_dedup, pii, quality, toxicity,
+    url_filter, va_clusters,
 )
 from shelfpanel.llm.common import held_out
 
@@ -82,6 +83,23 @@ def op10_quality(spark, sf_dir):
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "expected_grade", "tail", "kept")
 
 
+def op11_lm_score(spark, sf_dir):
+    """Held out: documents whose crc32 of the id as text leaves 2 when divided by 7."""
+    docs = table(spark, sf_dir, "documents")
+    apart = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    found = language_model.score(docs, *language_model.train(docs, ~apart))
+    return found.select("doc_id", apart.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op12_centroids(spark, sf_dir):
+    first = F.sha2(F.concat(F.lit("3:"), F.coalesce(F.col("id").cast("string"), F.lit(""))), 256)
+    return va_clusters.cluster_vectors(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dims=64, scale=1024, first=first)
+
+
+def op13_divergence(spark, sf_dir):
+    return divergence.divergence(table(spark, sf_dir, "documents"), least=30, add=5, unit=1_000_000_000, top=50)
+
+
 OP2_SQL = f"""
 WITH d AS (SELECT doc_id, regexp_extract_all({FOLDED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all({FOLDED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
@@ -161,6 +179,65 @@ SELECT w.doc_id, known.found AS license, coalesce(c.n, 0) AS n_notices, coalesce
 FROM w LEFT JOIN known USING (digest) LEFT JOIN c ON c.doc_id = w.doc_id LEFT JOIN s ON s.doc_id = w.doc_id
 """
 
+def _centroid_sql(rounds: int = 10, k: int = 8) -> str:
+    """Each round: nearest centroid of every vector, then the floors of the means."""
+    parts = [f"""WITH x AS (
+  SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(1024 * CAST(c AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = 64),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS cluster, v AS c
+  FROM (SELECT v, sha256('3:' || vec_id) AS h FROM x ORDER BY h LIMIT {k}))"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT vec_id, v, cluster, d FROM (
+    SELECT vec_id, v, cluster, d, row_number() OVER (PARTITION BY vec_id ORDER BY d, cluster) AS place FROM (
+      SELECT vec_id, v, cluster, list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+      FROM x CROSS JOIN c{i}))
+  WHERE place = 1)""")
+        if i < rounds:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c{i}.cluster, coalesce(n.c, c{i}.c) AS c FROM c{i} LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY place) AS c FROM (
+      SELECT cluster, place, CAST(sum(e) AS BIGINT) AS s, count(*) AS n
+      FROM (SELECT cluster, unnest(v) AS e, generate_subscripts(v, 1) AS place FROM a{i}) GROUP BY cluster, place)
+    GROUP BY cluster) n USING (cluster))""")
+    return ",\n".join(parts) + f"""
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (cluster)
+"""
+
+
+OP13_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT row, lang, source, unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY 1, 2 HAVING count(DISTINCT row) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY 1),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+g AS (
+  SELECT lang, source, coalesce(total, 0) AS total FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY 1, 2) USING (lang, source)),
+p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+         1 + CAST(1000000000 * CAST(coalesce(c.n, 0) + 5 AS HUGEINT) // (g.total + 5 * v.v) AS BIGINT) AS p,
+         1 + CAST(1000000000 * CAST(kept.n + 5 AS HUGEINT) // (v.total + 5 * v.v) AS BIGINT) AS q
+  FROM g JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM r)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_decontaminate": op2_decontaminate,
@@ -172,5 +249,11 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
+    "op11_lm_score": op11_lm_score,
+    "op12_centroids": op12_centroids,
+    "op13_divergence": op13_divergence,
+}
+ORACLES = {
+    "op2_decontaminate": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op5_near_dedup": OP5_SQL, "op9_licenses": OP9_SQL,
+    "op12_centroids": _centroid_sql(), "op13_divergence": OP13_SQL,
 }
-ORACLES = {"op2_decontaminate": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op5_near_dedup": OP5_SQL, "op9_licenses": OP9_SQL}
