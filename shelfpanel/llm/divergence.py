@@ -24,7 +24,7 @@ from shelfpanel.llm.common import LETTERS, batches_of, pieces, stored
 
 #: What lies between terms (ASCII but no letter).
 BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-SHARD = 1 << 20
+SHARD = 1 << 16
 BATCH = 4 << 20
 #: Distinct rows that a counting task holds before it hands them on.
 HELD = 1 << 19
