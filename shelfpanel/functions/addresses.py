@@ -37,13 +37,21 @@ def node_ids(hrefs: Column, separator: str = CATEGORY_SEPARATOR) -> Column:
     return or_not_found(F.nullif(joined, F.lit("")))
 
 
-def script_value(html: Column, key: str) -> Column:
-    """A value of the ``immutableParams`` object inside a page script."""
+def script_object(html: Column) -> Column:
+    """The ``immutableParams`` object inside a page script, as a JSON document of its own."""
     block = F.regexp_extract(html, r'(?s)("immutableParams"\s*:\s*\{.*?\})', 1)
-    document = F.concat(F.lit("{"), block, F.lit("}"))
+    return F.concat(F.lit("{"), block, F.lit("}"))
+
+
+def object_value(document: Column, key: str) -> Column:
     return or_not_found(F.get_json_object(document, f"$.immutableParams.{key}"))
 
 
+def script_value(html: Column, key: str) -> Column:
+    """A value of the ``immutableParams`` object inside a page script."""
+    return object_value(script_object(html), key)
+
+
 def run_key(*parts: Column) -> Column:
     """Eight-character id that is the same every time for the same run."""
     return F.substring(F.md5(F.concat_ws("|", *[p.cast("string") for p in parts])), 1, 8)

@@ -3,15 +3,32 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfpanel.functions.text import or_not_found
+from shelfpanel.functions.text import lookup, or_not_found
 
 PANEL_FORMAT = "MM/dd/yyyy"
 EVENT_FORMAT = "yyyy-MM-dd"
-# Formats tried in turn for the "available since" text of a page. The check on the start of the
-# text keeps a format from being tried on texts it cannot fit.
-CREATED_FORMATS = [
-    "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "yyyy-MM-dd", "M/d/yyyy",
-]
+# Month names of the languages of the marketplaces.
+MONTHS = {
+    "en": "january february march april may june july august september october november december",
+    "de": "januar februar märz april mai juni juli august september oktober november dezember",
+    "fr": "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
+    "es": "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre",
+    "it": "gennaio febbraio marzo aprile maggio giugno luglio agosto settembre ottobre novembre dicembre",
+}
+# A day, a month by name and a year in either order: "March 5, 2021", "5. März 2021", "5 de marzo de 2021".
+MONTH_FIRST = r"^\s*(\p{L}+)\.?\s+(\d{1,2}),?\s+(\d{4})\s*$"
+DAY_FIRST = r"^\s*(\d{1,2})(?:\.|er|º|°)?\s+(?:de\s+)?(\p{L}+)\.?,?\s+(?:de\s+|del\s+)?(\d{4})\s*$"
+
+
+def month_numbers() -> dict[str, int]:
+    """Number of every month name and of its short forms of three letters or more, of all languages; a form that could
+    be two months is left out."""
+    found: dict[str, set[int]] = {}
+    for names in MONTHS.values():
+        for i, name in enumerate(names.split(), 1):
+            for size in range(3, len(name) + 1):
+                found.setdefault(name[:size], set()).add(i)
+    return {form: numbers.pop() for form, numbers in found.items() if len(numbers) == 1}
 
 
 def panel_date(c: Column) -> Column:
@@ -31,7 +48,17 @@ def event_text(d: Column) -> Column:
     return F.date_format(d, EVENT_FORMAT)
 
 
-def date_created(c: Column, formats: list[str] | None = None) -> Column:
-    """Date text in any of ``formats`` to panel form, else not found."""
-    tries = [F.try_to_date(c, f) for f in formats or CREATED_FORMATS]
-    return or_not_found(panel_text(F.coalesce(*tries)))
+def named_date(c: Column) -> Column:
+    """A date with a month name in any of the languages; null if it is not one, or no day of the calendar."""
+    first = c.rlike(MONTH_FIRST)
+
+    def part(in_first: int, in_day: int) -> Column:
+        return F.when(first, F.regexp_extract(c, MONTH_FIRST, in_first)).otherwise(F.regexp_extract(c, DAY_FIRST, in_day))
+
+    month = lookup(month_numbers(), F.lower(part(1, 2))).cast("string")
+    return F.try_to_date(F.concat_ws("-", part(3, 3), F.coalesce(month, F.lit("none")), part(2, 1)), "yyyy-M-d")
+
+
+def date_created(c: Column) -> Column:
+    """Date text with a month name in any language of the marketplaces, ``yyyy-MM-dd`` or ``M/d/yyyy``, in panel form, else not found."""
+    return or_not_found(panel_text(F.coalesce(panel_date(c), iso_date(c), named_date(c))))

@@ -89,6 +89,12 @@ def final_clean(c: Column) -> Column:
     return strip(F.replace(F.replace(single, F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" ")))
 
 
+def lookup(values: dict[str, str | float], key: Column) -> Column:
+    """Fixed small table as an expression: the value for ``key``, null where there is none."""
+    entries = [F.lit(x) for pair in values.items() for x in pair]
+    return F.try_element_at(F.create_map(*entries), key)
+
+
 def or_not_found(c: Column) -> Column:
     return F.coalesce(c, F.lit(NOT_FOUND))
 

@@ -4,13 +4,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfpanel.functions.numbers import percent
-from shelfpanel.functions.text import location_text, strip
+from shelfpanel.functions.text import location_text, lookup, strip
 from shelfpanel.sources.marketplaces import (
     CHECK_PROBABILITY,
     CURRENCY_ALIASES,
     CURRENCY_SYMBOLS,
     DEFAULT_CHECK_PROBABILITY,
-    lookup,
 )
 
 LAST_IN_SESSION = 10

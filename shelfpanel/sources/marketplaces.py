@@ -111,16 +111,18 @@ def read_marketplaces(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def collected_rules(marketplaces: DataFrame) -> dict[str, dict]:
+    """Merged rules of each country, read to the driver: one row per country. Rules that are no selectors are left out."""
+    if "rules" not in marketplaces.columns:
+        return {}
+    rows = marketplaces.select("Country", "rules").collect()
+    return {r["Country"]: {k: v for k, v in (r["rules"] or {}).items() if v} for r in rows}
+
+
 def dimension(marketplaces: DataFrame, *columns: str) -> DataFrame:
-    """Columns of the marketplaces for a join, broadcast after a look at how many there are.
+    """Columns of the marketplaces for a join, broadcast: one row per country.
 
     A frame made from local rows has no known size, and a join on the country that is not a
     broadcast would bring a whole country to one task.
     """
     return F.broadcast(marketplaces.select("Country", *columns))
-
-
-def lookup(values: dict[str, str | float], key):
-    """Fixed small table as an expression: the value for ``key``, null where there is none."""
-    entries = [F.lit(x) for pair in values.items() for x in pair]
-    return F.try_element_at(F.create_map(*entries), key)

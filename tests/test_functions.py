@@ -127,8 +127,20 @@ def test_dates(values):
         "2026-05-16", "2026-05-06", None, None, None, None
     ]
     assert values(dates.event_text(dates.iso_date(C)), ["2026-05-16", "05/16/2026", None]) == ["2026-05-16", None, None]
-    created = ["March 5, 2021", "5 March 2021", "Mar 5, 2021", "2021-03-05", "3/5/2021", "5. März 2021", NF, None]
-    assert values(dates.date_created(C), created) == ["03/05/2021"] * 5 + [NF] * 3
+    created = ["March 5, 2021", "5 March 2021", "Mar 5, 2021", "2021-03-05", "3/5/2021", "5. März 2021", "5 mars 2021", "5 de marzo de 2021",
+               "5 marzo 2021", "5 mar. 2021", "5 MÄRZ 2021"]
+    assert values(dates.date_created(C), created) == ["03/05/2021"] * len(created)
+    assert values(dates.date_created(C), ["1er août 2020", "2 déc. 2020", "Sept 3, 2020", "4 luglio 2020", "3 ago. 2020"]) == [
+        "08/01/2020", "12/02/2020", "09/03/2020", "07/04/2020", "08/03/2020"
+    ]
+    bad = ["February 30, 2021", "5 jui 2021", "5 Monat 2021", "marble 5, 2021", "5 2021", "", NF, None]
+    assert values(dates.date_created(C), bad) == [NF] * len(bad)
+
+
+def test_short_month_names_are_not_ambiguous():
+    numbers_of = dates.month_numbers()
+    assert "jui" not in numbers_of and numbers_of["juil"] == 7 and numbers_of["juin"] == 6
+    assert {numbers_of[n] for names in dates.MONTHS.values() for n in names.split()} == set(range(1, 13))
 
 
 def test_durations(values):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfpanel.operators import audit_checks, changes, keys, outliers, positions, ranks, runs, targets, verification
 from shelfpanel.operators.dedup import first_per_group, keep_last
-from shelfpanel.operators.extraction import tiles
+from shelfpanel.operators import extraction, selectors
 from shelfpanel.operators.failures import failure_ledger, first_permanent, ledger_counts, retryable
 from shelfpanel.operators.history import history_flags
 from shelfpanel.operators.outliers import iqr_outliers
@@ -324,9 +324,51 @@ def test_failure_after_a_success_opens_a_new_entry(spark):
 
 def test_tiles_end_with_their_element(spark):
     html = '<i>head</i><div class="t">1<div>in</div>x</div><p>between</p><div class="t">2<div>y</div></div><div>foot</div>'
-    df = spark.createDataFrame([(1, html)], "page_id int, html string")
-    found = rows(tiles(df, '<div class="t"', ["page_id"]), "Rank", "tile")
-    assert found == [(1, '<div class="t">1<div>in</div>x'), (2, '<div class="t">2<div>y</div>')]
+    df = extraction.with_tags(spark.createDataFrame([(1, html)], "page_id int, html string"))
+    found = extraction.tiles(df, selectors.rule("div.t"), ["page_id"])
+    found = found.withColumn("text", F.expr(extraction.shown(extraction.TAGS)))
+    assert rows(found, "Rank", "text") == [(1, "1inx"), (2, "2y")]
+
+
+def page_text(spark, html, selector, attribute=None):
+    df = extraction.with_tags(spark.createDataFrame([("US", html)], "Country string, html string"))
+    fields = {"f": [selectors.rule(selector, attribute=attribute)]}
+    return extraction.extract_fields(df, fields).select("f").collect()[0][0]
+
+
+def test_selectors_find_whole_elements(spark):
+    html = (
+        '<!DOCTYPE html><!-- <p id="a">no</p> --><script>var t = "<p id=a>no</p>"; if (a < b) {}</script>'
+        '<div id="a" data-x="1 > 0" title=\'it "is"\'>A &amp; <div>b<br>c</div> d 1 < 2 &lt;x&gt;</div><p class="k m">one</p><p class="m">two'
+        '<table id="t"><tr><th>Weight</th><td>1</td></tr><tr><th>Date here</th><td><table><tr><td>B1</td></tr></table>Z</td></tr></table>'
+        '<input id="i" value="v &amp; w"><span data-id="s">no</span><SPAN ID="s">Up</SPAN><div class="c"><b>x</b><b>y</b></div><em>open <em>ends'
+    )
+    want = {
+        "#a": "A & bc d 1 < 2 <x>", "//div[@id='a']": "A & bc d 1 < 2 <x>", "p.m": "one", "p.k.m": "one", ".c > b": "x", "//div[@class='c']/b[2]": "y",
+        "//tr[th[contains(text(), 'Date')]]/td": "B1Z", "//th[contains(text(), 'Weight')]/following-sibling::td": "1",
+        "//tr[th[contains(text(), 'None')]]/td": NF, "//b[contains(., 'y')]": "y", "//div[contains(@class, 'c') and contains(., 'xy')]": "xy",
+        "[data-x='1 > 0'] div": "bc", "em": "open ends", "#none": NF, "p[class*='k']": "one", "#i": "", "span#s": NF, "#t td": "1",
+    }
+    assert {k: page_text(spark, html, k) for k in want} == want
+    assert page_text(spark, html, "#i", "value") == "v & w"
+    assert page_text(spark, html, "#a", "title") == 'it "is"'
+    for bad in ("//p[last()]", "p:hover", "//p[@id=a]"):
+        with pytest.raises(ValueError):
+            selectors.rule(bad)
+
+
+def test_each_country_has_its_selectors(spark):
+    settings = {
+        "US": {"title": [{"by": "ID", "value": "t"}]}, "CA": {"title": [{"by": "ID", "value": "t"}]},
+        "DE": {"title": [{"by": "XPATH", "value": "//h1"}, {"by": "CLASS_NAME", "value": "n"}]}, "FR": {},
+    }
+    rules = selectors.settings_rules(settings, "title", [selectors.rule("h2")])
+    html = '<h2>two</h2><h1>one</h1><p class="n m">n</p><b id="t">t</b>'
+    pages = [(c, html) for c in ("US", "CA", "DE", "FR")] + [("DE", '<p class="n m">n</p><b id="t">t</b>')]
+    df = extraction.with_tags(spark.createDataFrame(pages, "Country string, html string"))
+    assert rows(extraction.extract_fields(df, {"f": rules}), "Country", "f") == [("CA", "t"), ("DE", "n"), ("DE", "one"), ("FR", "two"), ("US", "t")]
+    with pytest.raises(ValueError):
+        selectors.steps_of("LINK_TEXT", "x")
 
 
 def run_tables(spark, processed=90, requested=100, seconds=3600, failed=("F1", "F2", "F3", "F4"), ped=("P1",)):
