@@ -1,6 +1,6 @@
 """Comparison of the latest rows with each key's own history."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfpanel.functions.numbers import to_number
@@ -10,27 +10,23 @@ COMPARED = {"Price": "price", "Number of ratings": "ratings", "PED": "ped"}
 
 
 def _numbers(panel: DataFrame) -> DataFrame:
-    return panel.where(F.col("Date").isNotNull()).select(
+    known = F.col("Date").isNotNull() & F.col("Country").isNotNull() & F.col("ASIN").isNotNull()
+    return panel.where(known).select(
         "Country", "ASIN", "Date", *[to_number(field(c)).alias(n) for c, n in COMPARED.items()]
     )
 
 
-def split_history(panel: DataFrame, per_country: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Rows of the latest date, and all rows before it.
+def _is_recent(panel: DataFrame, per_country: bool) -> tuple[DataFrame, Column, Column]:
+    """``panel`` with what tells recent rows (of the latest date) and earlier ones.
 
-    The latest date is one for the whole table, so countries not collected on it have no recent
-    rows; ``per_country`` takes each country's own. The single date is a scalar subquery, which
-    the scan can use to skip files.
+    The latest date is one for the whole table, so countries not collected on it have no recent rows; ``per_country`` takes each
+    country's own.
     """
     if not per_country:
         latest = panel.agg(F.max("Date")).scalar()
-        return panel.where(F.col("Date") == latest), panel.where(F.col("Date") < latest)
+        return panel, F.col("Date") == latest, F.col("Date") < latest
     newest = panel.groupBy("Country").agg(F.max("Date").alias("_latest"))
-    dated = panel.join(F.broadcast(newest), "Country")
-    return (
-        dated.where("Date = _latest").drop("_latest"),
-        dated.where("Date < _latest").drop("_latest"),
-    )
+    return panel.join(F.broadcast(newest), "Country"), F.col("Date") == F.col("_latest"), F.col("Date") < F.col("_latest")
 
 
 def history_means(history: DataFrame) -> DataFrame:
@@ -43,12 +39,23 @@ def history_means(history: DataFrame) -> DataFrame:
 def recent_against_history(panel: DataFrame, per_country: bool = False) -> DataFrame:
     """Recent rows with the key's historical means, equal recent rows as one with their number.
 
-    Both sides are aggregated before they are shuffled, so a key with very many rows meets its
-    mean as a few rows only.
+    One scan serves both sides: rows are summed up per key and recent values before the shuffle (all history rows of a key are one such
+    group), and the sums of a key's history meet its recent values in a window over those few rows.
     """
-    recent, history = split_history(_numbers(panel), per_country)
-    equal_rows = recent.groupBy("Country", "ASIN", *COMPARED.values()).agg(F.count("*").alias("rows"))
-    return equal_rows.join(history_means(history), ["Country", "ASIN"])
+    names = list(COMPARED.values())
+    dated, recent, earlier = _is_recent(_numbers(panel), per_country)
+    groups = dated.select(
+        "Country", "ASIN", recent.alias("_recent"), *[F.when(recent, F.col(n)).alias(n) for n in names],
+        *[F.when(earlier, F.col(n)).alias(f"_past_{n}") for n in names],
+    ).groupBy("Country", "ASIN", "_recent", *names).agg(
+        F.count("*").alias("rows"),
+        *[F.sum(f"_past_{n}").alias(f"_sum_{n}") for n in names], *[F.count(f"_past_{n}").alias(f"_n_{n}") for n in names],
+    )
+    key = Window.partitionBy("Country", "ASIN")
+    means = {f"avg_{n}": F.try_divide(F.sum(f"_sum_{n}").over(key), F.sum(f"_n_{n}").over(key)) for n in names}
+    has_past = F.bool_or(~F.col("_recent")).over(key)
+    out = groups.withColumns({**means, "_has_past": has_past}).where(F.col("_recent") & F.col("_has_past"))
+    return out.select("Country", "ASIN", *names, "rows", *means)
 
 
 def rating_drop() -> Column:

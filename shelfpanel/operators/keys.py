@@ -1,6 +1,6 @@
 """Key checks and corrections, and filters against key lists."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfpanel.functions.addresses import is_valid_asin
@@ -37,6 +37,18 @@ def redirect_stats(corrected: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
+def observed_stats(corrected: DataFrame, name: str = "processing") -> tuple[DataFrame, Observation]:
+    """The same rows, and their counts as a by-product of whatever action reads them first: no scan of their own."""
+    counts = Observation(name)
+    return corrected.observe(
+        counts,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if("redirected").alias("redirected"),
+        F.count_if("page_invalid").alias("page_invalid"),
+        F.count_if(is_missing(F.col("Price")) & is_missing(F.col("PED"))).alias("price_errors"),
+    ), counts
+
+
 def redirected_keys(corrected: DataFrame) -> DataFrame:
     return corrected.where("redirected").select("Country", "`Requested ASIN`", "ASIN")
 
@@ -54,6 +66,47 @@ def unknown_countries(df: DataFrame, marketplaces: DataFrame) -> DataFrame:
     return df.join(dimension(marketplaces), "Country", "left_anti")
 
 
+ACCEPTED = "accepted"
+
+
+def tagged_rows(df: DataFrame, marketplaces: DataFrame) -> DataFrame:
+    """All rows with ``Verdict``: accepted, or why the jobs leave them out. One pass, no shuffle."""
+    places = dimension(marketplaces).withColumn("_known", F.lit(True))
+    country = strip(F.col("Country"))
+    verdict = (
+        F.when(F.coalesce(country == "", F.lit(True)), "no country")
+        .when(F.col("_known").isNull(), "unknown country")
+        .when(is_missing(F.col("ASIN")), "no key")
+        .otherwise(ACCEPTED)
+    )
+    return df.join(places, "Country", "left").select(*[df[c] for c in df.columns], verdict.alias("Verdict"))
+
+
+def write_tagged(tagged: DataFrame, path: str) -> None:
+    """Accepted and rejected rows in one write, a folder for each verdict."""
+    tagged.write.mode("overwrite").partitionBy("Verdict").parquet(path)
+
+
+def lost_keys(targets: DataFrame, observed: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+    """Targets (Country, ASIN) that no observation answers, each once with the ``Reason``.
+
+    ``observed``: corrected observations (see ``correct_redirects``). A target is answered by a row that was asked for with its key and
+    reached a page with a valid key, or that was redirected to its key. ``ledger``: Country, ASIN, reason of failed attempts. Reasons in
+    order: the ledger's; ``invalid page``; ``not collected``. Each side is one row per key before it is joined.
+    """
+    key = ["Country", "ASIN"]
+    asked = observed.select("Country", F.col("Requested ASIN").alias("ASIN"), (~F.col("page_invalid")).alias("reached"))
+    moved = observed.where("redirected").select("Country", "ASIN", F.lit(True).alias("reached"))
+    seen = asked.unionByName(moved).groupBy(*key).agg(F.bool_or("reached").alias("reached"))
+    reasons = F.lit(None).cast("string")
+    lost = targets.select(*key).distinct().join(seen, key, "left").where(~F.coalesce("reached", F.lit(False)))
+    if ledger is not None:
+        lost = lost.join(ledger.groupBy(*key).agg(F.min("reason").alias("_reason")), key, "left")
+        reasons = F.col("_reason")
+    reason = F.coalesce(reasons, F.when(F.col("reached").isNotNull(), "invalid page"), F.lit("not collected"))
+    return lost.select(*key, reason.alias("Reason"))
+
+
 def only_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key is in ``keys``.
 

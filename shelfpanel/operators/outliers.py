@@ -17,6 +17,7 @@ NUMERIC_COLUMNS = ["Price", "List Price", "Number of ratings", "PED"]
 MIN_VALUES = 20
 FENCE = 1.5
 BINS = 128
+STEP = 11
 ACCURACY = 4096
 BIN = ["Country", "column", "bin"]
 GROUP = ["Country", "column"]
@@ -34,9 +35,14 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     counts = usable.groupBy(*GROUP, "value").agg(F.count("*").alias("n"))
     shares = [i / BINS for i in range(1, BINS)]
     cuts = counts.groupBy(*GROUP).agg(F.percentile_approx("value", shares, ACCURACY).alias("cuts"))
-    below = F.size(F.filter("cuts", lambda cut: cut < F.col("value")))
+    # The cuts rise, so every STEP-th of them shows which few of the others to look at.
+    marks = F.filter("cuts", lambda cut, i: i % STEP == STEP - 1)
     # One row of cuts per country and column, whatever the panel holds.
-    return counts.join(F.broadcast(cuts), GROUP).select(*GROUP, "value", "n", below.alias("bin"))
+    joined = counts.join(F.broadcast(cuts.withColumn("marks", marks)), GROUP)
+    passed = joined.withColumn("_passed", F.size(F.filter("marks", lambda cut: cut < F.col("value"))) * STEP)
+    near = F.slice("cuts", F.col("_passed") + 1, F.lit(STEP))
+    below = F.col("_passed") + F.size(F.filter(near, lambda cut: cut < F.col("value")))
+    return passed.select(*GROUP, "value", "n", below.alias("bin"))
 
 
 def bin_ranges(counts: DataFrame) -> DataFrame:

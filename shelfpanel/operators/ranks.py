@@ -66,22 +66,28 @@ def pivot_ranks(tiles: DataFrame) -> DataFrame:
 def join_rank_sides(tiles: DataFrame) -> DataFrame:
     """The two sides joined on all other columns, every pair of equal rows kept, nulls equal.
 
-    For small tables where the pairs themselves are wanted; ``pivot_ranks`` is the form to use
-    on large ones.
+    Equal rows are counted on both sides before they are joined, so a tile stored very many times is one row in the join; its pairs are
+    written out afterwards, first one side's copies and, dealt anew over the tasks, the other's.
     """
     keys = _pivot_keys(tiles)
 
     def side(flag: str, name: str) -> DataFrame:
         rows = tiles.where(F.col("Sponsored") == flag)
-        return rows.select(*[field(k) for k in keys], F.col("Rank").alias(name))
+        return rows.groupBy(*[field(k) for k in keys], F.col("Rank").alias(name)).agg(F.count(F.lit(1)).alias(f"copies {name}"))
 
     organic = side("No", "Organic Rank").alias("o")
     sponsored = side("Yes", "Sponsored Rank").alias("s")
     same = F.lit(True)
     for k in keys:
         same = same & F.col(f"o.`{k}`").eqNullSafe(F.col(f"s.`{k}`"))
-    return organic.join(sponsored, same, "full").select(
+    out = organic.join(sponsored, same, "full").select(
         *[F.coalesce(F.col(f"o.`{k}`"), F.col(f"s.`{k}`")).alias(k) for k in keys],
         "o.Organic Rank",
         "s.Sponsored Rank",
+        F.coalesce("o.copies Organic Rank", F.lit(1)).alias("_copies"),
+        F.coalesce("s.copies Sponsored Rank", F.lit(1)).alias("_others"),
     )
+    for copies in ("_copies", "_others"):
+        each = F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))
+        out = out.select("*", each.alias("_n")).drop("_n", copies).hint("rebalance")
+    return out

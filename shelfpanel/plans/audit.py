@@ -33,11 +33,10 @@ def _single_pass(panel: DataFrame) -> DataFrame:
             "size_name_escape": "Size Name"}[n] in panel.columns
     }
     sentinels = sum((checks.is_sentinel(field(c)).cast("long") for c in texts), F.lit(0))
-    size = F.octet_length(F.to_json(F.struct(*[field(c) for c in panel.columns])))
     one_row = panel.agg(
         F.count("*").alias("rows"),
         F.sum(sentinels).alias("sentinels"),
-        F.avg(size).alias("avg_bytes"),
+        F.avg(checks.row_bytes(panel)).alias("avg_bytes"),
         F.count_if(day.isNull()).alias("invalid_dates"),
         *checks.counters(panel, essential),
         *[F.count_if(c).alias(n) for n, c in rules.items()],

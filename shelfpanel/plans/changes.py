@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from shelfpanel.functions.dates import event_text
 from shelfpanel.operators import changes as ops
 from shelfpanel.operators.dedup import keep_last
-from shelfpanel.schemas import EVENT_COLUMNS, KEY_COLUMNS
+from shelfpanel.schemas import EVENT_COLUMNS, KEY_COLUMNS, MONITORED_FIELDS
 from shelfpanel.sources.tables import own_asins, own_skus
 
 LISTING = ["Country", "ASIN"]
@@ -54,6 +54,18 @@ def _named(changed: DataFrame, listings: DataFrame) -> DataFrame:
     return events.withColumn("Date", event_text(F.col("Date"))).select(*EVENT_COLUMNS)
 
 
+def covered_days(
+    panel: DataFrame, listings: DataFrame, start: str | None = None, countries: list[str] | None = None,
+    fields: list[str] | None = None, latest: bool = False,
+) -> DataFrame:
+    """What a change job with these arguments looks at (Date, Country, Field): for ``append_events``, so that a day without
+    events any more is emptied. One row per country, day and field."""
+    calendar = ops.collection_calendar(_OwnRows(_limited(panel, start, countries), listings).days())
+    days = calendar.where(F.col("previous_date").isNotNull() & ((F.col("from_last") == 1) if latest else F.lit(True)))
+    each = F.explode(F.array(*[F.lit(f) for f in fields or MONITORED_FIELDS]))
+    return days.select(event_text(F.col("Date")).alias("Date"), "Country", each.alias("Field"))
+
+
 def backfill_changes(
     panel: DataFrame,
     listings: DataFrame,

@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfpanel.operators import runs as ops
 from shelfpanel.operators.keys import price_errors
-from shelfpanel.sources.sinks import append_report, append_table
-
+from shelfpanel.sources.sinks import append_report, replace_runs
 
 
 def price_ped_rows(cleaned: DataFrame, run: list[str]) -> DataFrame:
@@ -30,8 +29,9 @@ def run_quality(runs: DataFrame, errors: DataFrame, title: str = "Panel") -> dic
 
 
 def store_run_quality(tables: dict[str, DataFrame], folder: str) -> None:
-    append_table(tables["summary"], f"{folder}/execution_summary")
-    append_table(tables["samples"], f"{folder}/error_samples")
+    """A folder per run in each table, so that storing a run again replaces it."""
+    replace_runs(tables["summary"], f"{folder}/execution_summary", tables["summary"])
+    replace_runs(tables["samples"], f"{folder}/error_samples", tables["summary"])
     append_report(tables["report"], f"{folder}/reports")
 
 

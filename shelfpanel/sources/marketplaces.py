@@ -91,6 +91,16 @@ def read_marketplaces(spark: SparkSession, path: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], MARKETPLACE_SCHEMA)
+    return _countries(config)
+
+
+def marketplaces_from_text(spark: SparkSession, settings: str) -> DataFrame:
+    """The same from the text of a settings file."""
+    parsed = spark.range(1).select(F.from_json(F.lit(settings), _CONFIG_JSON).alias("c"))
+    return _countries(parsed.select("c.*"))
+
+
+def _countries(config: DataFrame) -> DataFrame:
     rows = config.select("default_xpaths", F.explode("marketplaces").alias("Country", "m"))
     own_rules = F.coalesce(F.col("m.xpaths"), F.col("m.kw_xpaths"))
     return rows.select(

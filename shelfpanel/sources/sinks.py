@@ -1,10 +1,15 @@
-"""Writers. Appends that a re-run may repeat replace whole partitions instead of adding rows."""
+"""Writers. What a re-run may repeat replaces whole partitions instead of adding rows.
 
-from pyspark.sql import DataFrame
+A covered partition that has no rows any more gets a row without a key in their stead, since only partitions with rows are replaced;
+the readers of these tables (``sources.tables``) leave such rows out.
+"""
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfpanel.functions.dates import panel_date, panel_text
 from shelfpanel.schemas import EVENT_COLUMNS
+from shelfpanel.sources.tables import read_events
 
 
 def write_text_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -55,9 +60,24 @@ def _write_events(events: DataFrame, path: str, overwrite: str) -> None:
     )
 
 
-def append_events(events: DataFrame, path: str) -> None:
-    """Add change events; a second run for the same dates and countries replaces the first."""
-    _write_events(events, path, "dynamic")
+def append_events(events: DataFrame, path: str, covered: DataFrame | None = None) -> None:
+    """Add change events; a second run for the same dates and countries replaces the first.
+
+    ``covered`` (Date, Country, Field; one row per day, country and field) says what the run looked at: stored events of these are
+    replaced, also where the run found none now, and stored events of other fields of these days stay. Events outside are not written.
+    """
+    if covered is None:
+        _write_events(events, path, "dynamic")
+        return
+    known = covered.select(F.col("Date").cast("string").alias("Date"), "Country", "Field").distinct()
+    days = known.select("Date", "Country").distinct()
+    new = events.join(F.broadcast(known), ["Date", "Country", "Field"], "left_semi").select(*EVENT_COLUMNS)
+    stored = read_events(events.sparkSession, path)
+    others = stored.join(F.broadcast(days), ["Date", "Country"], "left_semi").join(
+        F.broadcast(known), ["Date", "Country", "Field"], "left_anti"
+    )
+    marks = days.select(*[F.col(c) if c in days.columns else F.lit(None).cast("string").alias(c) for c in EVENT_COLUMNS])
+    _write_events(new.unionByName(others).unionByName(marks), path, "dynamic")
 
 
 def rebuild_events(events: DataFrame, path: str) -> None:
@@ -65,9 +85,32 @@ def rebuild_events(events: DataFrame, path: str) -> None:
     _write_events(events, path, "static")
 
 
-def append_table(rows: DataFrame, path: str) -> None:
-    """Add run summaries or error samples."""
-    rows.write.mode("append").parquet(path)
+def run_name() -> Column:
+    """Partition of a run: its country, day and time."""
+    return F.concat_ws("-", "Country", "Date", F.translate("Time", ":", ""))
+
+
+def replace_runs(rows: DataFrame, path: str, runs: DataFrame) -> None:
+    """Store rows of runs (Country, Date, Time) in a folder per run; what an earlier write of the same run left there goes.
+
+    ``runs``: the runs that were done, also those without rows.
+    """
+    key = ["Country", "Date", "Time"]
+    done = runs.select(*key).distinct()
+    marks = done.select(*[F.col(c) if c in key else F.lit(None).cast(t).alias(c) for c, t in rows.dtypes])
+    bare = marks.join(rows.select(*key).distinct(), key, "left_anti")
+    _write_runs(rows.unionByName(bare).withColumn("run", run_name()), path)
+
+
+def _write_runs(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
+    (
+        rows.hint("rebalance", F.col("run")).sortWithinPartitions("run")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run")
+        .format(fmt)
+        .save(path)
+    )
 
 
 def write_targets(targets: DataFrame, path: str) -> None:
@@ -81,8 +124,14 @@ def write_keyword_csv(panel: DataFrame, path: str) -> None:
 
 
 def append_report(lines: DataFrame, path: str) -> None:
-    """Add report lines, kept in order inside each run."""
-    ordered = lines.repartition("run_id").sortWithinPartitions("run_id", "line_no")
-    ordered.select("line").write.mode("append").text(path)
-
-
+    """Store report lines in a folder per run, in order; a second report of a run replaces the first."""
+    (
+        lines.withColumn("run", F.concat(F.lit("run-"), F.col("run_id").cast("string")))
+        .repartition("run")
+        .sortWithinPartitions("run", "line_no")
+        .select("line", "run")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run")
+        .text(path)
+    )

@@ -1,5 +1,9 @@
 """Readers. CSV readers take an explicit schema; nothing is inferred from the data."""
 
+import csv
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,21 +17,45 @@ def _csv_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"').columns
 
 
+def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files of a folder (or a single file), grouped by their header; only first lines are read."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for status in fs.listStatus(where):
+        file = status.getPath()
+        if status.isDirectory() or file.getName()[0] in "._" or not status.getLen():
+            continue
+        header = (_csv_header(spark, file.toString()) if not file.getName().endswith(".csv") else _first_line(jvm, fs, file)) or []
+        groups.setdefault(tuple(header), []).append(file.toString())
+    return groups
+
+
+def _first_line(jvm, fs, file) -> list[str]:
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(file), "UTF-8"))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    return next(csv.reader([(line or "").lstrip("\ufeff")]), [])
+
+
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
     """Quoted CSV with any columns, every column as text (the header names them).
 
-    A file whose header has other columns, or the same in another order, stops the read: nothing
-    is taken by position.
+    Files of one folder may have other columns, or the same in another order: files with the same header are one scan, and the scans
+    are joined by name; a column that a file lacks is null there. Nothing is taken by position.
     """
-    return spark.read.csv(
-        path,
-        header=True,
-        multiLine=True,
-        quote='"',
-        escape='"',
-        enforceSchema=False,
-        schema=S.text_schema(_csv_header(spark, path)),
-    )
+    options = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "enforceSchema": False}
+    try:
+        groups = _files_by_header(spark, path)
+    except Py4JJavaError:  # no folder: Spark says what is wrong with the path, or expands it
+        groups = {}
+    if len(groups) < 2:
+        return spark.read.csv(path, schema=S.text_schema(_csv_header(spark, path)), **options)
+    parts = [spark.read.csv(files, schema=S.text_schema(list(header)), **options) for header, files in groups.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
@@ -56,6 +84,22 @@ def read_keyword_panel(spark: SparkSession, path: str, fmt: str = "parquet") ->
     return panel.select(*[field(c).cast(types.get(c, T.StringType())).alias(c) for c in panel.columns])
 
 
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    """Stored change events, without the marks of partitions that were looked at."""
+    events = read_or_empty(spark, path, S.EVENT_SCHEMA, "parquet")
+    return events.where(F.col("ASIN").isNotNull()).select(*[field(c).cast("string").alias(c) for c in S.EVENT_COLUMNS])
+
+
+def read_error_samples(spark: SparkSession, path: str) -> DataFrame:
+    """Stored error samples, without the marks of runs that had none."""
+    samples = read_or_empty(spark, path, S.ERROR_SCHEMA, "parquet")
+    return samples.where(F.col("ASIN").isNotNull()).select(*S.ERROR_SCHEMA.names)
+
+
+def read_run_summaries(spark: SparkSession, path: str) -> DataFrame:
+    return read_or_empty(spark, path, S.SUMMARY_SCHEMA, "parquet").select(*[field(c) for c in S.SUMMARY_SCHEMA.names])
+
+
 def read_listings(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return read_or_empty(spark, path, S.LISTING_SCHEMA, fmt)
 

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from shelfpanel import schemas as S
 from shelfpanel.plans.audit import audit_panel, audit_verdict
-from shelfpanel.plans.changes import backfill_changes, latest_changes
+from shelfpanel.operators.keys import correct_redirects, lost_keys, observed_stats, redirect_stats, tagged_rows, write_tagged
+from shelfpanel.operators.targets import with_product_urls
+from shelfpanel.plans.changes import backfill_changes, covered_days, latest_changes
 from shelfpanel.plans.clean import clean_observations
 from shelfpanel.plans.keywords import keyword_panel
 from shelfpanel.plans.pages import EXTRA_RULES, PRODUCT_RULES, extract_products, extract_search, selector_coverage
@@ -16,6 +18,8 @@ from shelfpanel.plans.panel import deduplicate_panel, upsert_panel
 from shelfpanel.plans.run_quality import price_ped_rows, run_quality, store_run_quality
 from shelfpanel.plans.targets import collection_targets
 from shelfpanel.plans.verification import sampled_check_rates, verify_pages
+from shelfpanel.sources.sinks import append_events, write_targets
+from shelfpanel.sources.tables import read_error_samples, read_events, read_run_summaries
 from workload import adapters as A
 
 NF = "Not Found"
@@ -182,10 +186,64 @@ def test_run_quality_is_stored(spark, tmp_path):
     tables = run_quality(*A.runs_and_errors(spark, SMALL))
     store_run_quality(tables, str(tmp_path))
     store_run_quality(tables, str(tmp_path))
-    summary = spark.read.parquet(str(tmp_path / "execution_summary"))
-    assert summary.columns == S.SUMMARY_SCHEMA.names and summary.count() == 2 * tables["summary"].count()
-    assert spark.read.parquet(str(tmp_path / "error_samples")).columns == S.ERROR_SCHEMA.names
-    assert spark.read.text(str(tmp_path / "reports")).count() == 2 * tables["report"].count()
+    summary = read_run_summaries(spark, str(tmp_path / "execution_summary"))
+    assert summary.columns == S.SUMMARY_SCHEMA.names and summary.count() == tables["summary"].count()
+    samples = read_error_samples(spark, str(tmp_path / "error_samples"))
+    assert samples.columns == S.ERROR_SCHEMA.names and rows(samples) == rows(tables["samples"])
+    assert spark.read.text(str(tmp_path / "reports")).select("value").count() == tables["report"].count()
+
+
+def test_a_run_without_errors_any_more_has_no_samples(spark, tmp_path):
+    runs, errors = A.runs_and_errors(spark, SMALL)
+    store_run_quality(run_quality(runs, errors), str(tmp_path))
+    some = runs.where("Country = 'FRANCE'")
+    store_run_quality(run_quality(some, errors.where("false")), str(tmp_path))
+    left = read_error_samples(spark, str(tmp_path / "error_samples"))
+    assert left.count() > 0 and left.where("Country = 'FRANCE'").count() == 0
+    assert read_run_summaries(spark, str(tmp_path / "execution_summary")).count() == runs.count()
+
+
+def test_statistics_come_with_the_rows(spark):
+    df = spark.createDataFrame(
+        [("US", "A" * 10, "B" * 10, "1", NF), ("US", "A" * 10, "", NF, " "), ("US", "A" * 10, "A" * 10, NF, "2")],
+        "Country string, ASIN string, `ASIN Product Page` string, Price string, PED string",
+    )
+    seen, counts = observed_stats(correct_redirects(df))
+    assert seen.count() == 3
+    assert counts.get == {"rows": 3, "redirected": 1, "page_invalid": 1, "price_errors": 1}
+    total = redirect_stats(correct_redirects(df), []).collect()[0].asDict()
+    assert {k: counts.get[k] for k in total} == total
+
+
+def test_rejected_rows_are_written_apart(spark, tmp_path):
+    df = spark.createDataFrame([("US", "A"), ("XX", "B"), (None, "C"), ("US", NF)], "Country string, ASIN string")
+    write_tagged(tagged_rows(df, A.marketplaces(spark)), str(tmp_path / "t"))
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert rows(back, "ASIN", "Verdict") == [("A", "accepted"), ("B", "unknown country"), ("C", "no country"), (NF, "no key")]
+    assert rows(spark.read.parquet(str(tmp_path / "t" / "Verdict=accepted"))) == [("US", "A")]
+
+
+def test_lost_keys_feed_the_next_targets(spark, tmp_path):
+    a, b, c, d, e = (f"B00000000{i}" for i in range(1, 6))
+    wanted = spark.createDataFrame([("US", x) for x in (a, b, c, d, e)] + [("US", a)], "Country string, ASIN string")
+    seen = spark.createDataFrame([("US", a, a), ("US", b, ""), ("US", d, c), ("US", d, "")], "Country string, ASIN string, `ASIN Product Page` string")
+    lost = lost_keys(wanted, correct_redirects(seen), spark.createDataFrame([("US", e, "zip_error")], "Country string, ASIN string, reason string"))
+    assert rows(lost, "ASIN", "Reason") == [(b, "invalid page"), (e, "zip_error")]
+    assert rows(lost_keys(wanted, correct_redirects(seen.limit(0))), "Reason") == [("not collected",)] * 5
+    write_targets(with_product_urls(lost.drop("Reason"), A.marketplaces(spark)), str(tmp_path / "t"))
+    assert rows(spark.read.text(str(tmp_path / "t"))) == [(f"https://shop.example/dp/{x}?th=1",) for x in (b, e)]
+
+
+def test_covered_days_go_with_the_events(spark, states, tmp_path):
+    panel, listings = states
+    path = str(tmp_path / "e")
+    every = backfill_changes(panel, listings, order=["ts"])
+    append_events(every, path, covered_days(panel, listings))
+    assert rows(read_events(spark, path)) == rows(every)
+    append_events(latest_changes(panel, listings, order=["ts"], fields=["Deal"]), path, covered_days(panel, listings, fields=["Deal"], latest=True))
+    assert rows(read_events(spark, path)) == rows(every)
+    append_events(every.where("false"), path, covered_days(panel, listings, countries=["US"]))
+    assert read_events(spark, path).where("Country = 'US'").count() == 0 < read_events(spark, path).count()
 
 
 def test_price_ped_rows(spark):

@@ -141,8 +141,43 @@ def test_targets_and_reports(spark, tmp_path):
     lines = spark.createDataFrame([("r", 1, "second"), ("r", 0, "first")], "run_id string, line_no int, line string")
     sinks.append_report(lines, str(tmp_path / "r"))
     sinks.append_report(lines, str(tmp_path / "r"))
-    files = [p.read_text().split() for p in (tmp_path / "r").glob("*.txt") if p.stat().st_size]
-    assert files == [["first", "second"]] * 2
+    sinks.append_report(spark.createDataFrame([("q", 0, "other")], "run_id string, line_no int, line string"), str(tmp_path / "r"))
+    files = sorted(p.read_text().split() for p in (tmp_path / "r").glob("*/*.txt") if p.stat().st_size)
+    assert files == [["first", "second"], ["other"]]
+
+
+def test_covered_days_without_events_are_emptied(spark, tmp_path):
+    path = str(tmp_path / "events")
+    first = [("2026-05-01", "A", "US", "s", "Badge", "null", "x", "gained"), ("2026-05-01", "A", "US", "s", "Deal", "null", "d", "gained"),
+             ("2026-05-01", "B", "DE", "s", "Badge", "x", "null", "lost"), ("2026-05-02", "A", "US", "s", "Badge", "x", "y", "changed")]
+    sinks.append_events(event_frame(spark, first), path)
+
+    def covered(*days):
+        return spark.createDataFrame(list(days), "Date string, Country string, Field string")
+
+    def stored():
+        return rows(tables.read_events(spark, path), "Date", "Country", "Field", "ASIN")
+
+    # a second run of one field finds nothing in the US any more, and something else in Germany
+    again = [("2026-05-01", "C", "DE", "s", "Badge", "x", "z", "changed"), ("2026-05-09", "C", "DE", "s", "Badge", "x", "z", "changed")]
+    days = [("2026-05-01", c, "Badge") for c in ("US", "DE", "FR")]
+    for _ in range(2):
+        sinks.append_events(event_frame(spark, again), path, covered(*days))
+        assert stored() == [("2026-05-01", "DE", "Badge", "C"), ("2026-05-01", "US", "Deal", "A"), ("2026-05-02", "US", "Badge", "A")]
+    sinks.append_events(event_frame(spark, []), path, covered(("2026-05-02", "US", "Badge"), ("2026-05-01", "US", "Deal")))
+    assert stored() == [("2026-05-01", "DE", "Badge", "C")]
+
+
+def test_panel_files_with_other_headers_are_joined_by_name(spark, tmp_path):
+    folder = tmp_path / "p"
+    folder.mkdir()
+    (folder / "a.csv").write_text('"ASIN","Name","Country"\n"A","one, ""1""","US"\n')
+    (folder / "b.csv").write_text('\ufeff"Country","ASIN"\n"DE","B"\n')
+    (folder / "c.csv").write_text('"ASIN","Name","Country"\n"C","three","FR"\n')
+    (folder / "_SUCCESS").write_text("")
+    got = tables.read_text_csv(spark, str(folder))
+    assert rows(got, "ASIN", "Name", "Country") == [("A", 'one, "1"', "US"), ("B", None, "DE"), ("C", "three", "FR")]
+    assert rows(tables.read_text_csv(spark, str(folder / "b.csv"))) == [("DE", "B")]
 
 
 def test_keyword_panel_round_trip(spark, tmp_path):

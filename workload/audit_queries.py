@@ -104,12 +104,11 @@ def range_rules(spark, d):
 
 @query(
     "row_size",
-    # Length of the row written as JSON: names, quotes, commas and values; nulls are left out and
-    # each backslash is written twice.
+    # Length of the row as stored text: each of the 14 cells in quotes with a mark after it, quotes inside doubled.
     PANEL + """SELECT count(*) AS rows, round(avg(strlen("Country") + strlen("ASIN") + 10 + strlen(CAST(seq AS VARCHAR))
       + strlen("Price") + strlen("List Price") + strlen("PED") + strlen("Number of ratings") + strlen("Rating Stars")
-      + coalesce(strlen("Name") + 10, 0) + strlen("Brand") + strlen(replace("Size Name", '\\', '\\\\'))
-      + strlen("Link") + strlen("Product Category") + 176), 3) AS avg_bytes, false AS alert FROM panel""",
+      + coalesce(strlen(replace("Name", '"', '""')), 0) + strlen("Brand") + strlen("Size Name")
+      + strlen("Link") + strlen("Product Category") + 14 * 3), 3) AS avg_bytes, false AS alert FROM panel""",
 )
 def row_size(spark, d):
     return checks.row_size(A.price_panel(spark, d)).withColumn("avg_bytes", F.round("avg_bytes", 3))
@@ -171,8 +170,11 @@ def history_flags(spark, d):
     return flags_of(A.price_panel(spark, d))
 
 
-def _card(category: str, item: str, count: str, source: str) -> str:
-    return f"SELECT '{category}' AS category, {item} AS item, 'warning' AS severity, CAST({count} AS BIGINT) AS \"count\" FROM {source}"
+def _card(category: str, item: str, count: str, source: str, detail: str = "''") -> str:
+    return (
+        f"SELECT '{category}' AS category, {item} AS item, 'warning' AS severity, CAST({count} AS BIGINT) AS \"count\", "
+        f"{detail} AS detail FROM {source}"
+    )
 
 
 SCORE_SQL = " UNION ALL ".join(
@@ -192,8 +194,12 @@ SCORE_SQL = " UNION ALL ".join(
             "duplicates", "'Country, ASIN, Date'", "coalesce(sum(n), 0)",
             '(SELECT count(*) AS n FROM panel GROUP BY "Country", "ASIN", "Date" HAVING count(*) > 1) g',
         ),
-        _card("outliers", """"Country" || '/' || "column\"""", "outliers", "outside"),
-        "SELECT 'history', flag, 'warning', count(*) FROM flags GROUP BY flag",
+        _card(
+            "outliers", """"Country" || '/' || "column\"""", "outliers", "outside",
+            "concat_ws(' ', " + ", ".join(f"printf('%.2f', {c})" for c in ("min_outlier", "max_outlier")) + ")",
+        ),
+        """SELECT 'history', flag, 'warning', count(*), min(struct_pack(c := "Country", a := "ASIN")).c || '/'
+          || min(struct_pack(c := "Country", a := "ASIN")).a FROM flags GROUP BY flag""",
     ]
 )
 
@@ -203,7 +209,10 @@ SCORE_SQL = " UNION ALL ".join(
     PANEL + f", {OUTLIERS_SQL}, {COMPARED_SQL}, {FLAGS_SQL} SELECT * FROM ({SCORE_SQL}) s WHERE \"count\" > 0",
 )
 def audit_scorecard(spark, d):
-    return audit_panel(A.price_panel(spark, d)).drop("detail")
+    # The fences, which end the detail of an outlier, can lie midway between two cents; iqr_outliers compares them.
+    found = audit_panel(A.price_panel(spark, d))
+    seen = F.when(F.col("category") == "outliers", F.substring_index("detail", " ", 2)).otherwise(F.col("detail"))
+    return found.withColumn("detail", seen)
 
 
 @query(

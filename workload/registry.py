@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["panel_queries", "audit_queries", "cleaning_queries", "run_queries", "page_queries"]
+MODULES = ["panel_queries", "audit_queries", "cleaning_queries", "run_queries", "page_queries", "job_queries"]
 
 
 def _merged(part: str) -> dict:
