@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfpanel.operators import runs as ops
 from shelfpanel.operators.keys import price_errors
+from shelfpanel.schemas import ERROR_SCHEMA, SUMMARY_SCHEMA
 from shelfpanel.sources.sinks import append_report, replace_runs
 
 
@@ -29,9 +30,9 @@ def run_quality(runs: DataFrame, errors: DataFrame, title: str = "Panel") -> dic
 
 
 def store_run_quality(tables: dict[str, DataFrame], folder: str) -> None:
-    """A folder per run in each table, so that storing a run again replaces it."""
-    replace_runs(tables["summary"], f"{folder}/execution_summary", tables["summary"])
-    replace_runs(tables["samples"], f"{folder}/error_samples", tables["summary"])
+    """Storing a run again replaces its rows in all three."""
+    replace_runs(tables["summary"], f"{folder}/execution_summary", tables["summary"], SUMMARY_SCHEMA)
+    replace_runs(tables["samples"], f"{folder}/error_samples", tables["summary"], ERROR_SCHEMA)
     append_report(tables["report"], f"{folder}/reports")
 
 

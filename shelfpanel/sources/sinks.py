@@ -4,12 +4,13 @@ A covered partition that has no rows any more gets a row without a key in their
 the readers of these tables (``sources.tables``) leave such rows out.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfpanel.functions.dates import panel_date, panel_text
 from shelfpanel.schemas import EVENT_COLUMNS
-from shelfpanel.sources.tables import read_events
+from shelfpanel.sources.tables import read_events, read_or_empty
 
 
 def write_text_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -85,31 +86,26 @@ def rebuild_events(events: DataFrame, path: str) -> None:
     _write_events(events, path, "static")
 
 
-def run_name() -> Column:
-    """Partition of a run: its country, day and time."""
-    return F.concat_ws("-", "Country", "Date", F.translate("Time", ":", ""))
+def replace_runs(rows: DataFrame, path: str, runs: DataFrame, schema: T.StructType) -> None:
+    """Store rows of runs (Country, Date, Time), in a folder per month; what an earlier write of the same runs left there goes.
 
-
-def replace_runs(rows: DataFrame, path: str, runs: DataFrame) -> None:
-    """Store rows of runs (Country, Date, Time) in a folder per run; what an earlier write of the same run left there goes.
-
-    ``runs``: the runs that were done, also those without rows.
+    ``runs``: the runs that were done, also those without rows. Only the months of these runs are read and written.
     """
     key = ["Country", "Date", "Time"]
     done = runs.select(*key).distinct()
     marks = done.select(*[F.col(c) if c in key else F.lit(None).cast(t).alias(c) for c, t in rows.dtypes])
     bare = marks.join(rows.select(*key).distinct(), key, "left_anti")
-    _write_runs(rows.unionByName(bare).withColumn("run", run_name()), path)
-
-
-def _write_runs(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
+    month = F.substring("Date", 1, 7)
+    stored = read_or_empty(rows.sparkSession, path, T.StructType([*schema.fields, T.StructField("month", T.StringType())]), "parquet")
+    touched = F.broadcast(done.select(month.alias("month")).distinct())
+    kept = stored.withColumn("month", month).join(touched, "month", "left_semi").join(done, key, "left_anti")
+    out = rows.unionByName(bare).withColumn("month", month).unionByName(kept)
     (
-        rows.hint("rebalance", F.col("run")).sortWithinPartitions("run")
+        out.hint("rebalance", F.col("month")).sortWithinPartitions("month")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run")
-        .format(fmt)
-        .save(path)
+        .partitionBy("month")
+        .parquet(path)
     )
 
 

@@ -59,11 +59,11 @@ def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
-    """The table at ``path``, or no rows of ``schema`` where nothing has been stored yet."""
+    """The table at ``path``, or no rows of ``schema`` where nothing has been stored yet (no folder, or one without files)."""
     try:
         return read_text_csv(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return spark.createDataFrame([], schema)
 

@@ -183,7 +183,8 @@ def test_audit(spark):
 
 
 def test_run_quality_is_stored(spark, tmp_path):
-    tables = run_quality(*A.runs_and_errors(spark, SMALL))
+    runs, errors = (df.where("ended_at < '1995-02-01'") for df in A.runs_and_errors(spark, SMALL))
+    tables = run_quality(runs, errors)
     store_run_quality(tables, str(tmp_path))
     store_run_quality(tables, str(tmp_path))
     summary = read_run_summaries(spark, str(tmp_path / "execution_summary"))
@@ -194,12 +195,14 @@ def test_run_quality_is_stored(spark, tmp_path):
 
 
 def test_a_run_without_errors_any_more_has_no_samples(spark, tmp_path):
-    runs, errors = A.runs_and_errors(spark, SMALL)
-    store_run_quality(run_quality(runs, errors), str(tmp_path))
-    some = runs.where("Country = 'FRANCE'")
+    runs, errors = (df.where("ended_at < '1995-02-01'") for df in A.runs_and_errors(spark, SMALL))
+    tables = run_quality(runs, errors)
+    store_run_quality(tables, str(tmp_path))
+    one = tables["samples"].select("Country").first()[0]
+    some = runs.where(F.col("Country") == one)
     store_run_quality(run_quality(some, errors.where("false")), str(tmp_path))
     left = read_error_samples(spark, str(tmp_path / "error_samples"))
-    assert left.count() > 0 and left.where("Country = 'FRANCE'").count() == 0
+    assert rows(left) == rows(tables["samples"].where(F.col("Country") != one)) != []
     assert read_run_summaries(spark, str(tmp_path / "execution_summary")).count() == runs.count()
 
 
