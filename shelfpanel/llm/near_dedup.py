@@ -4,13 +4,14 @@ A document's set holds its distinct shingles of ``width`` words (a word is a run
 Its sketch is the ``SKETCH`` smallest hashes of the set. Documents with equal sets are one class from the start.
 
 1. The ``INDEX`` smallest values of each class's sketch are inverted: classes that retain the same value are
-   candidates, if the value's list has at most ``HOT`` classes. A pair at the threshold misses all of its shared
-   values with a chance of about ``(1 - t) ** 12`` per pair, as a class needs ``ENOUGH`` values with short lists.
+   candidates, if the value's list has at most ``HOT`` classes. A pair at the threshold is missed here only if all values that it
+   shares have long lists; that has a chance of at most ``LOST`` for a class with at most ``hot_bound`` such values, as the
+   smallest values of the pair's union are in both sets with a chance of the similarity each.
 2. The sketch of the union estimates the similarity of each candidate pair; pairs are dropped only below a bound
    that a pair at the threshold passes by chance once in ``1 / MISS`` (Chernoff).
 3. The full word sets of the two texts decide.
 
-Classes that have few values with short lists (copies of a popular text, texts made of common passages) are
+Classes with more values with long lists than that (copies of a popular text, texts made of common passages) are
 joined by an exact way that does not depend on chance. Their whole sets are counted and ordered rare first; two similar
 sets must share a shingle within a prefix whose length follows from the threshold and both sizes. Short lists give
 pairs at once. In a long list all members are compared with one leader, the member with the fewest rare shingles;
@@ -23,7 +24,7 @@ to the driver.
 
 Defined cases: a document without words (or without text) has an empty set, is linked with nothing and stays; one
 with fewer words than ``width`` has its whole sequence as its only shingle; a document without an id is linked with
-nothing; rows that repeat an id are one document as to links; only the id and text columns are used, except
+nothing; rows that repeat an id with other texts are compared each by its own text, equal rows stay together; only the id and text columns are used, except
 that ``drop_near_copies`` returns all columns.
 """
 
@@ -41,7 +42,7 @@ from shelfpanel.llm.common import (
 SKETCH = 64
 INDEX = 24
 HOT = 32
-ENOUGH = 14
+LOST = 1e-9
 MISS = 1e-12
 
 
@@ -79,6 +80,17 @@ def estimate_bound(threshold: float, size: int = SKETCH, miss: float = MISS) ->
     return low
 
 
+def hot_bound(percent: int) -> int:
+    """The largest number of a class's index values with long lists at which a pair at the threshold shares no other value with a
+    chance of at most ``LOST`` (binomial)."""
+    t, chance = percent / 100, 0.0
+    for k in range(INDEX + 1):
+        chance += math.comb(INDEX, k) * t**k * (1 - t) ** (INDEX - k)
+        if chance > LOST:
+            return k - 1
+    return INDEX
+
+
 def _sets(batch, width: int):
     """Ids and shingle sets of an Arrow batch with ``id`` and ``text``."""
     hashes, counts = word_hashes(text_bytes(batch.column("text")), NOT_BLANK)
@@ -288,10 +300,18 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
 
     ``percent`` is the least similarity of a link in hundredths.
     """
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    return _groups(docs, width, percent, id_col, text_col).select(
+        F.col("id.id").alias(id_col), "n_shingles", "component_id", "kept"
+    )
+
+
+def _groups(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """The same by ``id`` (the document's id and the hash of its text, so that rows which repeat an id with another text stay apart)."""
+    text = F.col(f"`{text_col}`")
+    rows = docs.select(F.struct(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("code")).alias("id"), text.alias("text"))
     found = stored(sketches(rows, width))
     classes = stored(
-        found.where("n > 0 and id is not null").groupBy("n", "d1", "d2").agg(F.min("id").alias("id"), F.first("sketch").alias("sketch"))
+        found.where("n > 0 and id.id is not null").groupBy("n", "d1", "d2").agg(F.min("id").alias("id"), F.first("sketch").alias("sketch"))
     )
     index = classes.select("id", "n", F.explode(F.slice("sketch", 1, INDEX)).alias("value"))
     sizes = index.groupBy("value").agg(F.count("*").alias("size")).where("size > 1")
@@ -300,7 +320,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     hot = lists.where(F.col("size") > HOT).groupBy("id", "n").agg(F.count("*").alias("hot"))
     few = F.when(
         F.col("n") * 100 <= F.lit(INDEX) * percent, (F.col("n") - F.col("hot")) * 100 <= F.col("n") * (100 - percent)
-    ).otherwise(F.least(F.col("n"), F.lit(INDEX)) - F.col("hot") < ENOUGH)
+    ).otherwise(F.col("hot") > hot_bound(percent))
     popular = stored(hot.where(few).select("id"))
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(popular).distinct()
     texts = stored(texts_of(rows, needed))
@@ -309,19 +329,20 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     )
     roots = components(links)
     members = classes.join(roots, "id", "left").select(
-        F.col("n"), F.col("d1"), F.col("d2"), F.coalesce("root", "id").alias("root")
+        F.col("n"), F.col("d1"), F.col("d2"), F.coalesce("root", "id")["id"].alias("root")
     )
     return (
         found.join(members, ["n", "d1", "d2"], "left")
-        .withColumn("component_id", F.when(F.col("n") > 0, F.coalesce("root", "id")).otherwise(F.col("id")))
+        .withColumn("component_id", F.when(F.col("n") > 0, F.coalesce("root", "id.id")).otherwise(F.col("id.id")))
         .select(
-            F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
-            F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"),
+            "id", F.col("n").alias("n_shingles"), "component_id",
+            F.coalesce(F.col("id.id") == F.col("component_id"), F.lit(True)).alias("kept"),
         )
     )
 
 
 def drop_near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id. All columns stay as they are."""
-    gone = near_groups(docs, width, percent, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("__gone"))
-    return docs.join(gone, docs[f"`{id_col}`"] == gone["__gone"], "left_anti")
+    gone = _groups(docs, width, percent, id_col, text_col).where(~F.col("kept"))
+    same = (docs[f"`{id_col}`"] == gone["id.id"]) & (F.xxhash64(docs[f"`{text_col}`"]) == gone["id.code"])
+    return docs.join(gone, same, "left_anti")
