@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfpanel.llm.common import CHUNK, NOT_BLANK, batches_of, held_out, text_bytes, word_hashes
+from shelfpanel.llm.common import CHUNK, NOT_BLANK, batches_of, held_out, stored, text_bytes, word_hashes
 
 SAMPLE = 4000
 SAMPLE_BYTES = 1 << 16
@@ -144,16 +144,18 @@ class OrdinalModel:
 
 def train(docs: DataFrame, ratings: DataFrame, grade_col: str = "grade", id_col: str = "doc_id", text_col: str = "text", limit: int = SAMPLE) -> OrdinalModel:
     """A model of graded ratings 0, 1, 2, ... outside the held-out part; a document rated more than once counts with its lowest."""
-    rated = (
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    rows = rows.where(F.octet_length("text") <= SAMPLE_BYTES)
+    rated = stored(
         ratings.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{grade_col}`").cast("int").alias("grade"))
         .where("grade >= 0 and id is not null").where(~held_out(F.col("id")))
         .groupBy("id").agg(F.min("grade").alias("grade"))
+        .join(rows.select("id"), "id", "left_semi")  # only ratings whose text can be read take a place of the sample
     )
     grades = (rated.agg(F.max("grade")).first()[0] or 0) + 1
     picked = rated.orderBy(F.xxhash64("id"), "id").limit(limit)
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     sample = (
-        rows.where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(picked), "id")
+        rows.join(F.broadcast(picked), "id")
         .orderBy(F.xxhash64("id"), "id", "text").limit(2 * limit).collect()
     )
     y = np.array([r["grade"] for r in sample], np.int64)
