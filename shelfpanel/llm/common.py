@@ -33,12 +33,16 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Has a folder deleted when the driver's JVM ends."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
 def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z in lower case and all else as it is. ``lower`` does just that to ASCII texts and is faster."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(

@@ -90,27 +90,27 @@ def contamination(
 def remove_documents(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without those that hold a benchmark window; all columns stay as they are."""
     bad = contamination(docs, benchmark, size, id_col, text_col).where("n_hit > 0")
-    bad = bad.select(F.col(id_col).alias("__id"), F.col("text_code").alias("__code"))
-    same = docs[f"`{id_col}`"].eqNullSafe(bad["__id"]) & (F.xxhash64(docs[f"`{text_col}`"]) == bad["__code"])
+    same = docs[f"`{id_col}`"].eqNullSafe(bad[id_col]) & (F.xxhash64(docs[f"`{text_col}`"]) == bad["text_code"])
     return docs.join(bad, same, "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the hit words taken out of their texts; the blanks and marks between words stay."""
     hit = contamination(docs, benchmark, size, id_col, text_col).where("n_hit > 0")
-    hit = hit.select(F.col(id_col).alias("__id"), F.col("text_code").alias("__code"), F.col("hits").alias("__hits"))
-    same = docs[f"`{id_col}`"].eqNullSafe(hit["__id"]) & (F.xxhash64(docs[f"`{text_col}`"]) == hit["__code"])
-    text = F.col(f"`{text_col}`")
+    hit = hit.select(F.col(id_col).alias("id"), F.col("text_code").alias("code"), "hits")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))  # so that no name of theirs can clash
+    text = F.col("row")[text_col]
+    same = F.col("row")[id_col].eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("code"))
     rest = F.zip_with(
         F.split(text, WORD),
         F.transform(
             F.regexp_extract_all(text, F.lit(f"({WORD})"), 1),
             lambda w, i: F.when(
-                F.exists("__hits", lambda h: (h["start"] <= i + 1) & (i + 1 < h["start"] + h["length"])), F.lit("")
+                F.exists("hits", lambda h: (h["start"] <= i + 1) & (i + 1 < h["start"] + h["length"])), F.lit("")
             ).otherwise(w),
         ),
         lambda gap, word: F.concat(gap, F.coalesce(word, F.lit(""))),
     )
-    cleaned = F.when(F.col("__hits").isNull(), text).otherwise(F.array_join(rest, ""))
-    joined = docs.join(hit, same, "left")
-    return joined.select(*[cleaned.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    cleaned = F.when(F.col("hits").isNull(), text).otherwise(F.array_join(rest, ""))
+    joined = rows.join(hit, same, "left")
+    return joined.select(*[cleaned.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])

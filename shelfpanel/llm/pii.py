@@ -352,18 +352,20 @@ def sanitised(
 ) -> DataFrame:
     """``docs`` with sanitised texts; all other columns stay as they are, and null texts stay null."""
     found = disclosure(docs, threshold, id_col, text_col, everywhere).where("base <> '' or size(terms) > 0").select(
-        F.col(id_col).alias("__id"), F.col("code").alias("__code"), F.col("base").alias("__base"), F.col("terms").alias("__terms")
-    ).dropDuplicates(["__id", "__code"])
-    same = docs[f"`{id_col}`"].eqNullSafe(found["__id"]) & (F.xxhash64(docs[f"`{text_col}`"]) == found["__code"])
+        F.col(id_col).alias("id"), "code", "base", "terms"
+    ).dropDuplicates(["id", "code"])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))  # so that no name of theirs can clash
+    same = F.col("row")[id_col].eqNullSafe(F.col("id")) & (F.xxhash64(F.col("row")[text_col]) == F.col("code"))
     names = docs.columns
 
     def run(batches):
         for batch in batches:
             for part in batches_of(batch):
-                texts = part.column(text_col).to_pylist()
-                bases, terms = part.column("__base").to_pylist(), part.column("__terms").to_pylist()
+                row = dict(zip(names, part.column("row").flatten()))
+                texts = row[text_col].to_pylist()
+                bases, terms = part.column("base").to_pylist(), part.column("terms").to_pylist()
                 texts = [t if t is None or b is None else cleaned(t, b, m or [], remove) for t, b, m in zip(texts, bases, terms)]
-                columns = [pa.array(texts, pa.string()) if n == text_col else part.column(n) for n in names]
+                columns = [pa.array(texts, pa.string()) if n == text_col else row[n] for n in names]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.join(found, same, "left").drop("__id", "__code").mapInArrow(run, docs.schema)
+    return rows.join(found, same, "left").select("row", "base", "terms").mapInArrow(run, docs.schema)

@@ -202,6 +202,53 @@ def test_near_copies_keep_columns_nulls_and_repeats(spark):
     assert near_dedup.near_groups(df.limit(0)).count() == 0
 
 
+def test_families_of_a_popular_passage_with_tails_of_their_own(spark, monkeypatch):
+    """All that a member shares with another is popular: their index values with short lists have lists of one."""
+    monkeypatch.setattr(near_dedup, "HOT", 3)
+    assert near_dedup.hot_bound(80) == 5 and near_dedup.hot_bound(85) >= 6
+    draw = random.Random(8)
+    fresh = lambda n: [f"w{draw.randrange(10**6)}" for _ in range(n)]
+    texts = []
+    for _ in range(6):
+        passage = fresh(200)
+        texts += [" ".join(passage + fresh(draw.choice([8, 20, 24, 30, 60]))) for _ in range(8)]
+    got = near_dedup.near_groups(documents(spark, texts), percent=80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts, 80)
+
+
+def test_rows_that_repeat_an_id_with_other_texts(spark):
+    a, b = "a b c d e f g", "v w x y z u t"
+    df = spark.createDataFrame([(1, a), (2, a), (2, b), (3, b), (2, "p q r s t u v w")], "doc_id bigint, text string")
+    assert sorted(tuple(r) for r in near_dedup.drop_near_copies(df).collect()) == [(1, a), (2, "p q r s t u v w"), (2, b)]
+
+
+def test_names_of_extra_columns_do_not_clash(spark):
+    names = ["id", "code", "hits", "row", "base", "terms", "__id", "__code", "__hits", "__base", "__terms", "text_code", "n_hit", "__gone", "kept", "root", "n"]
+    df = spark.createDataFrame([(1, "one two three four mail a@b.example.com", *names)], ["doc_id", "text", *names])
+    bench = spark.createDataFrame([(1, "two three")], "item_id bigint, text string")
+    cut = decontaminate.remove_spans(df, bench).collect()
+    assert cut[0][1] == "one   four mail a@b.example.com" and list(cut[0][2:]) == names
+    assert decontaminate.remove_documents(df, bench).collect() == [] and near_dedup.drop_near_copies(df).collect() == df.collect()
+    clean = pii.sanitised(df).collect()
+    assert clean[0][1] == "one two three four mail [EMAIL]" and list(clean[0][2:]) == names
+
+
+def test_labels_without_usable_texts_take_no_place_of_the_sample(spark, monkeypatch):
+    for module in (toxicity, quality):
+        monkeypatch.setattr(module, "SAMPLE_BYTES", 100)
+    ids = [i for i in range(200) if not common.is_held_out(i)]
+    docs = spark.createDataFrame([(i, f"text {i % 2} " + "x" * (1000 if i < 100 else 1)) for i in range(150)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(200)], "doc_id bigint, toxic int, grade int")
+    usable = [i for i in ids if 100 <= i < 150]
+    _, _, counts, y, share = toxicity.training_sample(docs, labels, "toxic", "doc_id", "text", limit=30)
+    assert len(y) == len(counts) == min(20, sum(i % 2 == 0 for i in usable)) + min(10, sum(i % 2 for i in usable))
+    assert share == pytest.approx(sum(i % 2 for i in usable) / len(usable))
+    seen = []
+    monkeypatch.setattr(quality.OrdinalModel, "fit", lambda self, texts, y: seen.append(len(texts)) or self)
+    quality.train(docs, labels, limit=20)
+    assert seen == [20]
+
+
 def test_components_of_a_long_path(spark):
     links = spark.range(1, 200).select((F.col("id") - 1).alias("a"), F.col("id").alias("b"))
     assert {r.root for r in near_dedup.components(links).collect()} == {0}
