@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfpanel.llm import bpe, decontaminate, exact_dedup, near_dedup, queries, toxicity
-from shelfpanel.llm.common import shared_folder
+from shelfpanel.llm.common import delete_at_exit, shared_folder
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +51,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
+    """All stages over the documents of ``sf_dir``; their tables are deleted when the driver's JVM ends."""
     docs = queries.table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    delete_at_exit(spark, folder)
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
