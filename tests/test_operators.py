@@ -257,7 +257,10 @@ def test_counting_checks(spark):
     assert (ratio["sentinels"], ratio["cells"], ratio["alert"]) == (2, 15, False)
     assert audit_checks.sentinel_ratio(df, helper_columns=1).collect()[0]["cells"] == 18
     size = audit_checks.row_size(df).collect()[0]
-    assert size["rows"] == 3 and size["avg_bytes"] > 50 and not size["alert"]
+    # 43, 31 and 30 bytes: the cells of each row with two quotes and a mark
+    assert size["rows"] == 3 and size["avg_bytes"] == pytest.approx(104 / 3) and not size["alert"]
+    quoted = spark.createDataFrame([('a"b', None, 12)], "x string, y string, z int")
+    assert audit_checks.row_size(quoted).collect()[0]["avg_bytes"] == 3 + 1 + 2 + 9
 
 
 def test_currency(spark):
