@@ -6,7 +6,7 @@ learned with them. Training sequences are made of stretches from documents of di
 within a text. Forward-backward gives each word's chances; a document's language is the one with the largest mean.
 
 Training reads at most ``SAMPLE`` documents per language of up to ``SAMPLE_BYTES`` bytes, chosen by the hash of their
-id, outside the held-out part; that bounds the driver's share and the broadcast model. Labelling is one pass without a
+id, outside the held-out part, in one pass whatever the number of languages; that bounds the driver's share and the broadcast model. Labelling is one pass without a
 shuffle over whole texts.
 
 Defined cases: a null text and one without a letter are ``und`` with score 0; words without letters are not labelled;
@@ -16,7 +16,7 @@ a prediction.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfpanel.llm.common import BASE, LETTERS, LOWER_BYTES, batches_of, held_out, mixed, text_bytes, word_chunks
@@ -217,17 +217,18 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
-    languages = sorted(r[0] for r in rows.select("lang").distinct().collect())  # as many as there are languages
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", F.xxhash64("text"))
+    sample = (
+        rows.where(F.octet_length("text") <= SAMPLE_BYTES)
+        .withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= limit)  # trimmed before the shuffle
+    )
+    found = sample.select("lang", "id", "text").collect()
+    found = sorted((r["lang"], r["id"] is not None, r["id"], r["text"].encode()) for r in found)
+    languages = sorted({r[0] for r in found})
     if not languages:
         return LanguageModel([])
-    small = rows.where(F.octet_length("text") <= SAMPLE_BYTES)
-    found = []
-    for k, name in enumerate(languages):
-        own = small.where(F.col("lang") == name)
-        picked = own.select("id").orderBy(F.xxhash64("id"), "id").limit(limit)
-        sample = own.join(F.broadcast(picked.distinct()), "id", "left_semi").select("id", "text").orderBy("id", "text").limit(2 * limit)
-        found += [(k, r["text"].encode()) for r in sample.collect()]
-    return LanguageModel(languages).fit([t for _, t in found], np.array([k for k, _ in found], np.int64))
+    number = {name: k for k, name in enumerate(languages)}
+    return LanguageModel(languages).fit([r[-1] for r in found], np.array([number[r[0]] for r in found], np.int64))
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
