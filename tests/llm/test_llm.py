@@ -63,6 +63,14 @@ def test_held_out(spark):
     assert [r[0] for r in found] == [zlib.crc32(str(i).encode()) % 5 == 0 for i in range(50)]
 
 
+def test_decontamination_reads_documents_once(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK", 4)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    windows = decontaminate.benchmark_windows(spark.createDataFrame([(1, "a b c d e f g h i")], "item_id bigint, text string"), 2)
+    plan = decontaminate.hit_words(docs, windows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1
+
+
 # 4 exact copies
 
 
@@ -133,6 +141,14 @@ def test_contamination(spark, monkeypatch):
     assert {r.doc_id: r.n_words for r in again} == {d: w[0] - w[1] for d, w in wanted.items()}
 
 
+def test_a_window_shared_by_many_items(spark):
+    items = [(i, "same words again " + f"item{i}") for i in range(300)] + [(None, "same words again")]
+    docs = documents(spark, ["x same words, again y"] * 40 + ["same words again item7", "other"])
+    got = {r.doc_id: (r.n_hit, set(r["items"])) for r in decontaminate.contamination(docs, spark.createDataFrame(items, "item_id bigint, text string"), 3).collect()}
+    everyone = {str(i) for i in range(300)}
+    assert got == {i: (3, everyone) for i in range(40)} | {40: (4, everyone), 41: (0, set())}
+
+
 def test_contamination_of_nothing(spark):
     docs = documents(spark, ["a b", None])
     benchmark = spark.createDataFrame([], "item_id bigint, text string")
@@ -300,6 +316,39 @@ def test_url_model_on_unseen_hosts():
     assert all(model.score(h, "/en/5") < 0.5 for h in ("thernd.example.com", "www.history-club.example.org", "blog.example.net"))
 
 
+def test_url_scores_of_a_batch_equal_single_ones(monkeypatch):
+    monkeypatch.setattr(url_filter, "RUN", 300)
+    model, draw = url_filter.UrlModel(url_filter.labelled_urls()), random.Random(12)
+    parts = ["", "a", "É中", "casino-win.example.com", "x" * 2000, "/pills/buy", "/win" * 400]
+    hosts = [draw.choice(parts) for _ in range(200)] + [""] * 5
+    paths = [draw.choice(parts) for _ in range(200)] + [""] * 5
+    assert np.allclose(model.scores(hosts, paths), [direct_url_score(model, h, p) for h, p in zip(hosts, paths)], atol=1e-12)
+    assert np.allclose(model.scores(hosts, paths), [model.score(h, p) for h, p in zip(hosts, paths)], atol=1e-12)
+    assert len(model.scores([], [])) == 0
+
+
+def direct_url_score(model, host, path):
+    """N-gram by n-gram, with whole numbers of any length."""
+    counts = {}
+    for seed, part in ((17, host), (29, path)):
+        codes = list(("^" + part + "$").encode())
+        for size in url_filter.SIZES:
+            for i in range(len(codes) - size + 1):
+                h = seed * 31 + size
+                for code in codes[i : i + size]:
+                    h = (h * 0x100000001B3 + code + 1) % 2**64
+                place = (h ^ (h >> 29)) % url_filter.BUCKETS
+                counts[place] = counts.get(place, 0) + 1
+    length = max(1e-9, sum(c * c for c in counts.values()) ** 0.5)
+    logit = sum(model.weights[b] * c for b, c in counts.items()) / length + model.bias
+    return 1 / (1 + np.exp(-logit))
+
+
+def test_urls_without_a_labelled_table(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/" + "b" * 200_000)], "page_id bigint, url string")
+    assert [(r.score, r.verdict) for r in url_filter.judge_urls(pages, labelled=[]).collect()] == [(0.5, "block")]
+
+
 # 1 personal data
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
