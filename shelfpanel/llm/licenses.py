@@ -12,12 +12,16 @@ nothing; of a licence known under more than one name the smallest counts; repeat
 only the id and text columns are used.
 """
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfpanel.llm.common import ascii_lower
 
 COPYRIGHT = r"^[ \t\r]*(copyright|\(c\)|©|all rights reserved)"
+#: A line that starts so is prose of a licence, wrapped before the word "copyright".
+PROSE = r"^[ \t\r]*copyright[ \t]+(holder|owner|notice|law|interest|license|licence|and |or |in )"
 #: Spellings that count as one (fixed values): pattern and replacement, after folding.
 SPELLINGS = [
     ("licence", "license"), ("sub-license", "sublicense"), ("non-commercial", "noncommercial"), ("https:", "http:"),
@@ -42,11 +46,25 @@ NOTICES = {
     "BSD-3-Clause": ["Released under the BSD 3-Clause License."],
 }
 
-#: Whole licence texts (fixed values).
-TEXTS = {
-    "MIT": """MIT License
+#: Titles that may stand above a whole text; it is known without any as well (fixed values).
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"],
+    "MIT-0": ["MIT No Attribution", "MIT No Attribution License", "MIT-0"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "Zero Clause BSD License", "0BSD"],
+    "Zlib": ["zlib License", "The zlib License", "The zlib/libpng License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License"],
+    "BSL-1.0": ["Boost Software License - Version 1.0 - August 17th, 2003"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+}
 
-Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+#: Numbers of conditions that a text may have or not, as it may have marks in their place (fixed values).
+NUMBERED = re.compile(r"^ *[1-4]\. ", re.MULTILINE)
+
+#: Whole licence texts without their titles (fixed values).
+TEXTS = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
 rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
 persons to whom the Software is furnished to do so, subject to the following conditions:
@@ -58,9 +76,7 @@ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLI
 WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
 COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
 OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
-    "ISC": """ISC License
-
-Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
 provided that the above copyright notice and this permission notice appear in all copies.
 
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
@@ -88,18 +104,105 @@ required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original
 software.
 3. This notice may not be removed or altered from any source distribution.""",
+    "MIT-0": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "BSL-1.0": """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software
+and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute,
+and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the
+Software is furnished to do so, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and
+the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works
+of the Software, unless such copies or derivative works are solely in the form of machine-executable object code
+generated by a source language processor.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE
+COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT,
+TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or
+as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright
+interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the
+detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of
+all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE
+LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
+OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <https://unlicense.org/>""",
 }
 
 
+def known_bodies() -> list[tuple[str, str]]:
+    """Name and text of all notices, and of all whole texts with each of their titles or none, and with or without numbers."""
+    rows = [(name, body) for name, bodies in NOTICES.items() for body in bodies]
+    for name, text in TEXTS.items():
+        for body in dict.fromkeys([text, NUMBERED.sub("", text)]):
+            rows += [(name, body)] + [(name, f"{title}\n\n{body}") for title in TITLES[name]]
+    return rows
+
+
 def known_licenses(spark: SparkSession) -> DataFrame:
     """The default table: ``license`` and ``body``, notices and whole texts."""
-    rows = [(name, body) for name, bodies in NOTICES.items() for body in bodies] + list(TEXTS.items())
-    return spark.createDataFrame(rows, "license string, body string")
+    return spark.createDataFrame(known_bodies(), "license string, body string")
+
+
+def is_copyright(line: Column) -> Column:
+    return line.rlike(COPYRIGHT) & ~line.rlike(PROSE)
 
 
 def canonical(lines: Column) -> Column:
     """The canonical form of a text given as its folded lines."""
-    kept = F.filter(lines, lambda x: ~x.rlike(COPYRIGHT))
+    kept = F.filter(lines, lambda x: ~is_copyright(x))
     return canonical_words(F.array_join(kept, "\n"))
 
 
@@ -127,7 +230,7 @@ def license_scan(docs: DataFrame, known: DataFrame | None = None, id_col: str =
         .select("id", "code", F.concat(F.array(canonical(F.col("lines"))), "lines").alias("units"))
         .select("id", "code", F.posexplode("units").alias("place", "unit"))
         .withColumn("whole", F.col("place") == 0)
-        .withColumn("unit", F.when(F.col("whole"), F.col("unit")).when(~F.col("unit").rlike(COPYRIGHT), canonical_words(F.col("unit"))))
+        .withColumn("unit", F.when(F.col("whole"), F.col("unit")).when(~is_copyright(F.col("unit")), canonical_words(F.col("unit"))))
         .withColumn("digest", F.when(F.col("whole") | (F.col("unit") != ""), F.sha2("unit", 256)))
     )
     found = units.join(F.broadcast(table), F.col("digest") == F.col("known_digest"), "left").where("whole or found is not null")

@@ -146,10 +146,14 @@ FROM c LEFT JOIN n USING (doc_id)
 
 def canonical_sql(lines: str) -> str:
     """SQL of the canonical form of a list of folded lines."""
-    text = f"array_to_string(list_filter({lines}, lambda x: NOT regexp_matches(x, '{licenses.COPYRIGHT}')), chr(10))"
+    text = f"array_to_string(list_filter({lines}, lambda x: {no_copyright_sql('x')}), chr(10))"
     return words_sql(text)
 
 
+def no_copyright_sql(line: str) -> str:
+    return f"(NOT regexp_matches({line}, '{licenses.COPYRIGHT}') OR regexp_matches({line}, '{licenses.PROSE}'))"
+
+
 def words_sql(text: str) -> str:
     for found, instead in licenses.SPELLINGS:
         text = f"replace({text}, '{found}', '{instead}')"
@@ -160,9 +164,8 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-_BODIES = [(n, b) for n, bodies in licenses.NOTICES.items() for b in bodies] + list(licenses.TEXTS.items())
 OP9_SQL = f"""
-WITH k AS (SELECT * FROM (VALUES {", ".join(f"({_quoted(n)}, {_quoted(b)})" for n, b in _BODIES)}) v(license, text)),
+WITH k AS (SELECT * FROM (VALUES {", ".join(f"({_quoted(n)}, {_quoted(b)})" for n, b in licenses.known_bodies())}) v(license, text)),
 known AS (
   SELECT sha256({canonical_sql(f"string_split({FOLDED}, chr(10))")}) AS digest, min(license) AS found FROM k GROUP BY 1),
 d AS (SELECT doc_id, string_split({FOLDED}, chr(10)) AS lines FROM documents),
@@ -170,7 +173,7 @@ w AS (SELECT doc_id, sha256({canonical_sql("lines")}) AS digest FROM d),
 l AS (SELECT doc_id, unnest(lines) AS line FROM d),
 n AS (
   SELECT doc_id, found FROM (
-    SELECT doc_id, {words_sql("line")} AS unit FROM l WHERE NOT regexp_matches(line, '{licenses.COPYRIGHT}'))
+    SELECT doc_id, {words_sql("line")} AS unit FROM l WHERE {no_copyright_sql("line")})
   JOIN known ON sha256(unit) = digest WHERE unit <> ''),
 c AS (SELECT doc_id, count(*) AS n FROM n GROUP BY 1),
 s AS (SELECT doc_id, string_agg(found, ',' ORDER BY found) AS names FROM (SELECT DISTINCT doc_id, found FROM n) GROUP BY 1)

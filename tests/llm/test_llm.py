@@ -557,8 +557,25 @@ def test_quality_parts_lose_nothing(monkeypatch):
 # 9 licences
 
 
+def test_whole_licences_with_any_title_and_wrapping(spark):
+    texts, wanted = [], []
+    for name, body in licenses.TEXTS.items():
+        words = body.split()
+        for width in (7, 11, 13, 1000):  # words a line, so that lines start anywhere
+            lines = "\n".join(" ".join(words[i : i + width]) for i in range(0, len(words), width))
+            for title in ["", *licenses.TITLES[name]]:
+                texts.append(f"{title.upper()}\n\nCopyright 2020 Jane Doe. All rights reserved.\n(c) Someone\n\n{lines}\n")
+                wanted.append(name)
+    texts += [licenses.TEXTS["BSD-3-Clause"].replace("1. ", "  * ").replace("2. ", "  * ").replace("3. ", "  - "), licenses.TEXTS["MIT"] + " tail"]
+    wanted += ["BSD-3-Clause", None]
+    texts.append("MIT License\n" + "long line " * 40000)
+    wanted.append(None)
+    got = {r.doc_id: r.license for r in licenses.license_scan(documents(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == wanted
+
+
 def test_licenses(spark):
-    mit = licenses.TEXTS["MIT"]
+    mit = "MIT License\n\n" + licenses.TEXTS["MIT"]
     texts = [
         mit.upper().replace("SUBLICENSE", "sub-licence"), mit.replace("MIT License\n", "MIT License\n\nCopyright (c) 2020 Someone\n"),
         "Prose.\nReleased under the MIT Licence\nLicensed under CC BY-NC 4.0.\nReleased under the MIT License.", mit + " More.",
