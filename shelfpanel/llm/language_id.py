@@ -5,8 +5,9 @@ A word's features are its first and last bytes (affixes of several lengths), its
 learned with them. Training sequences are made of stretches from documents of different languages, so that the model sees switches
 within a text. Forward-backward gives each word's chances; a document's language is the one with the largest mean.
 
-Training reads at most ``SAMPLE`` documents per language of up to ``SAMPLE_BYTES`` bytes, chosen by the hash of their
-id, outside the held-out part, in one pass whatever the number of languages; that bounds the driver's share and the broadcast model. Labelling is one pass without a
+Training reads at most ``SAMPLE`` documents per language of up to ``SAMPLE_BYTES`` bytes, those with the smallest hashes of id
+and text, outside the held-out part. Counts per bin of hashes give the cut, so that two passes do for any number of
+languages and no task gathers one; that bounds the driver's share and the broadcast model. Labelling is one pass without a
 shuffle over whole texts.
 
 Defined cases: a null text and one without a letter are ``und`` with score 0; words without letters are not labelled;
@@ -16,7 +17,7 @@ a prediction.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfpanel.llm.common import BASE, LETTERS, LOWER_BYTES, batches_of, held_out, mixed, text_bytes, word_chunks
@@ -217,13 +218,22 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", F.xxhash64("text"))
-    sample = (
-        rows.where(F.octet_length("text") <= SAMPLE_BYTES)
-        .withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= limit)  # trimmed before the shuffle
-    )
-    found = sample.select("lang", "id", "text").collect()
-    found = sorted((r["lang"], r["id"] is not None, r["id"], r["text"].encode()) for r in found)
+    # A finer bin for smaller hashes: a cut between bins leaves little more than ``limit`` documents of any number.
+    small = rows.where(F.octet_length("text") <= SAMPLE_BYTES).withColumn("hash", F.xxhash64("id", "text"))
+    place = F.floor(F.log2(F.shiftrightunsigned("hash", 1) + 1.0) * 8).cast("int")
+    small = small.withColumn("place", place)
+    sizes = small.groupBy("lang", "place").agg(F.approx_count_distinct("hash").alias("n")).collect()  # some 500 a language
+    cuts, taken = {}, {}
+    for r in sorted(sizes, key=lambda r: (r["lang"], r["place"])):
+        if taken.get(r["lang"], 0) < 1.25 * limit:
+            cuts[r["lang"]] = r["place"]
+        taken[r["lang"]] = taken.get(r["lang"], 0) + r["n"]
+    bounds = docs.sparkSession.createDataFrame(list(cuts.items()), "lang string, upto int")
+    sample = small.join(F.broadcast(bounds), "lang").where("place <= upto").dropDuplicates(["lang", "hash"])
+    picked: dict[str, list] = {}
+    for r in sorted(sample.select("lang", "hash", "id", "text").collect(), key=lambda r: (r["lang"], r["hash"])):
+        picked.setdefault(r["lang"], []).append((r["lang"], r["id"] is not None, r["id"], r["text"].encode()))
+    found = sorted(row for own in picked.values() for row in own[:limit])
     languages = sorted({r[0] for r in found})
     if not languages:
         return LanguageModel([])

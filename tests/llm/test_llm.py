@@ -554,6 +554,21 @@ def test_quality_parts_lose_nothing(monkeypatch):
     assert sum(c.sum() for _, c, _ in parts) == len(whole)
 
 
+def test_sample_of_languages(spark, monkeypatch):
+    """At most ``limit`` documents of each language, none lost when there are fewer; repeated rows count once."""
+    seen = []
+    monkeypatch.setattr(language_id.LanguageModel, "fit", lambda self, texts, y: seen.append((self.languages, texts, y.tolist())) or self)
+    repeated = next(i for i in range(5000, 5100) if not common.is_held_out(i))
+    rows = [(i, f"word{i} text", "aa") for i in range(3000)] + [(repeated, "same", "bb")] * 500 + [(i, f"text {i}", "cc") for i in range(6000, 6010)]
+    rows += [(None, "no id", "dd"), (7, None, "ee"), (8, "x", None), (9001, "long " * 20000, "ff")]
+    language_id.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), limit=100)
+    names, texts, y = seen[0]
+    counts = [y.count(k) for k in range(len(names))]
+    free = sum(not common.is_held_out(i) for i in range(6000, 6010))
+    assert names == ["aa", "bb", "cc", "dd"] and len(set(texts)) == len(texts)
+    assert counts == [100, 1, free, 1]
+
+
 # 9 licences
 
 
