@@ -14,13 +14,15 @@ from shelfpanel.sources.tables import read_events, read_or_empty
 
 
 def write_text_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Every field quoted, quotes doubled, UTF-8."""
+    """Every field quoted, quotes doubled, blanks kept, UTF-8."""
     (
         df.write.mode(mode)
         .option("header", True)
         .option("quoteAll", True)
         .option("quote", '"')
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("encoding", "UTF-8")
         .csv(path)
     )

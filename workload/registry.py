@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["panel_queries", "audit_queries", "cleaning_queries", "run_queries", "page_queries", "job_queries"]
+MODULES = ["panel_queries", "audit_queries", "cleaning_queries", "run_queries", "page_queries", "job_queries", "store_queries"]
 
 
 def _merged(part: str) -> dict:
