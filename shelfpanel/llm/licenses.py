@@ -4,7 +4,8 @@ A text is made canonical: A-Z folded, copyright lines left out, equivalent spell
 between words made one blank. The digest of the whole canonical text, and of each line of the document taken as a
 text of its own (licence notices), is looked up among the digests of known licences by a hash join.
 
-The known texts are a parameter; the default is the small fixed table below, so the broadcast is bounded. A document's
+The known texts (``license`` and ``body``, or ``digest`` of a canonical form) are a parameter; the default is the small fixed
+table below, so the broadcast is bounded. A document's
 units stay inside one task until only the matching ones are left; one row per document and task is shuffled.
 
 Defined cases: null counts as empty; an empty text has no licence; a line that is empty or a copyright line matches
@@ -20,8 +21,11 @@ from pyspark.sql import functions as F
 from shelfpanel.llm.common import ascii_lower
 
 COPYRIGHT = r"^[ \t\r]*(copyright|\(c\)|©|all rights reserved)"
-#: A line that starts so is prose of a licence, wrapped before the word "copyright".
-PROSE = r"^[ \t\r]*copyright[ \t]+(holder|owner|notice|law|interest|license|licence|and |or |in )"
+#: A line that starts so is prose of a licence, wrapped before the word "copyright", or the item (c) of one of its lists.
+PROSE = (
+    r"^[ \t\r]*(copyrighted |copyright[ \t]+(holder|owner|notice|law|interest|license|licence|and |or |in |on )"
+    r"|\(c\)[ \t]+(you must |the licen[sc]e|under |representations))"
+)
 #: Spellings that count as one (fixed values): pattern and replacement, after folding.
 SPELLINGS = [
     ("licence", "license"), ("sub-license", "sublicense"), ("non-commercial", "noncommercial"), ("https:", "http:"),
@@ -181,6 +185,60 @@ OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWA
 For more information, please refer to <https://unlicense.org/>""",
 }
 
+#: Digests of the canonical forms of long texts (fixed values): as published and, where more follows the terms, up to the line that
+#: ends them and up to the line before; of MPL-2.0 without its exhibits.
+LONG_TEXTS = {
+    "Apache-2.0": [
+        "e87dea5078ce2faaea46d3475af18d30a5c0ac0f09425b60b3e0c6569f72f8d2",
+        "37599287c15c2f2ec060c3c3b55bdf69e3bc7a8aeeb9cd57e18800088789538a",
+        "f45538b138cf9aea39fa205de037a0bede8305e68281650e7ab809a8b3ebb2f0",
+    ],
+    "CC0-1.0": [
+        "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f",
+    ],
+    "GFDL-1.2": [
+        "94541e73869af10ab6bd68a29575eede324e54e7d5237e7386d12444f593af60",
+    ],
+    "GFDL-1.3": [
+        "a92fdbaeafedd9cbeb812ebbded06ee07e3b1427c81cfc333e682109c594d826",
+    ],
+    "GPL-1.0": [
+        "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224",
+        "89f75ffda938e788be38679f9f83e317c2a03398fccf03ee60505d44d1bf9f70",
+        "6375a768fd262bf5281905a9585411d2d0fb4ea15cb08cfcba49f73fedb82abc",
+    ],
+    "GPL-2.0": [
+        "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821",
+        "6d332dc4c3c5293a73c6c9da402f9bbc970b3bb1eb472f577e00580573469808",
+        "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34",
+    ],
+    "GPL-3.0": [
+        "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a",
+        "092a7f3b82e6c22949b46388bca99e725b6e756f1c2b1e3f575447fbd44b6191",
+        "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636",
+    ],
+    "LGPL-2.0": [
+        "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908",
+        "430627da7218a92ab4a6d75d5140cdb70ee750be7a53f913299b37e0d1b0eea2",
+        "504542bce5421b0f5a7e63ddb55443ccb300b27a65ba6bfc1370fed16a3af260",
+    ],
+    "LGPL-2.1": [
+        "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891",
+        "bf2f0c6bf1c47b3b1e3cbedeefecddd1e7db21d1919858d45c2f918efaf426df",
+        "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4",
+    ],
+    "LGPL-3.0": [
+        "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be",
+    ],
+    "MPL-1.1": [
+        "a1b36de49a400e3d3385d5987188db954a084f9876243aa7207cd91de3f24a7b",
+    ],
+    "MPL-2.0": [
+        "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a",
+        "075fcdf87448c49dbad8c5f7963f0eb6907a3d8eae1b431ba2988508499ec0de",
+    ],
+}
+
 
 def known_bodies() -> list[tuple[str, str]]:
     """Name and text of all notices, and of all whole texts with each of their titles or none, and with or without numbers."""
@@ -191,9 +249,15 @@ def known_bodies() -> list[tuple[str, str]]:
     return rows
 
 
+def known_digests() -> list[tuple[str, str]]:
+    """Name and canonical digest of the long texts."""
+    return [(name, digest) for name, digests in LONG_TEXTS.items() for digest in digests]
+
+
 def known_licenses(spark: SparkSession) -> DataFrame:
-    """The default table: ``license`` and ``body``, notices and whole texts."""
-    return spark.createDataFrame(known_bodies(), "license string, body string")
+    """The default table: ``license`` and either ``body``, of notices and whole texts, or ``digest``, of long texts."""
+    rows = [(name, body, None) for name, body in known_bodies()] + [(name, None, digest) for name, digest in known_digests()]
+    return spark.createDataFrame(rows, "license string, body string, digest string")
 
 
 def is_copyright(line: Column) -> Column:
@@ -220,8 +284,11 @@ def license_scan(docs: DataFrame, known: DataFrame | None = None, id_col: str =
     """One row per document: id, ``license`` of the whole text (or null), ``n_notices`` and ``notices`` (sorted names),
     and ``canonical_sha256``, the digest of the whole canonical text."""
     known = known_licenses(docs.sparkSession) if known is None else known
+    digest = F.sha2(canonical(folded_lines(F.col("body"))), 256)
+    if "digest" in known.columns:
+        digest = F.coalesce("digest", digest)
     table = (
-        known.select("license", F.sha2(canonical(folded_lines(F.col("body"))), 256).alias("known_digest"))
+        known.select("license", digest.alias("known_digest"))
         .groupBy("known_digest").agg(F.min("license").alias("found"))
     )
     units = (

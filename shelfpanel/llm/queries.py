@@ -167,7 +167,9 @@ def _quoted(text: str) -> str:
 OP9_SQL = f"""
 WITH k AS (SELECT * FROM (VALUES {", ".join(f"({_quoted(n)}, {_quoted(b)})" for n, b in licenses.known_bodies())}) v(license, text)),
 known AS (
-  SELECT sha256({canonical_sql(f"string_split({FOLDED}, chr(10))")}) AS digest, min(license) AS found FROM k GROUP BY 1),
+  SELECT digest, min(license) AS found FROM (
+    SELECT sha256({canonical_sql(f"string_split({FOLDED}, chr(10))")}) AS digest, license FROM k
+    UNION ALL VALUES {", ".join(f"({_quoted(h)}, {_quoted(n)})" for n, h in licenses.known_digests())}) t GROUP BY 1),
 d AS (SELECT doc_id, string_split({FOLDED}, chr(10)) AS lines FROM documents),
 w AS (SELECT doc_id, sha256({canonical_sql("lines")}) AS digest FROM d),
 l AS (SELECT doc_id, unnest(lines) AS line FROM d),

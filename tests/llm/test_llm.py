@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -603,3 +604,26 @@ def test_licenses(spark):
         6: (None, 0, ""), 7: (None, 0, ""),
     }
     assert licenses.license_scan(docs.limit(0)).count() == 0
+
+
+PUBLISHED = Path("/usr/share/common-licenses")
+LONG_FILES = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0",
+              "CC0-1.0": "CC0-1.0"}
+
+
+@pytest.mark.skipif(not all((PUBLISHED / f).is_file() for f in LONG_FILES), reason="no published texts here")
+def test_long_licences(spark):
+    want, texts = [], []
+    for file, name in LONG_FILES.items():
+        text = (PUBLISHED / file).read_text(encoding="utf-8")
+        variants = [text, "  " + text.upper().replace("\n", "\r\n") + "\n\n", text.replace("https:", "http:").replace("Copyright (C) 19", "Copyright (C) 20")]
+        end = "END OF TERMS AND CONDITIONS"
+        variants += [text.split(end)[0], text.split(end)[0] + end] if end in text else []
+        variants += [text[: text.index("Exhibit A - Source")]] if name == "MPL-2.0" else []
+        # a list item (c) and a line that begins with "copyright on" are words of the licence
+        altered = text.replace("(c) You must retain", "(c) You must drop").replace("copyright on the Program", "copyright on a Program")
+        for v in [*variants, text + "More.", altered if altered != text else text[:-40]]:
+            texts.append(v)
+            want.append(name if v in variants else None)
+    got = {r.doc_id: r.license for r in licenses.license_scan(documents(spark, texts)).collect()}
+    assert [got[i] for i in sorted(got)] == want
