@@ -25,9 +25,9 @@ from shelfpanel.llm.common import LETTERS, batches_of, pieces, stored
 #: What lies between terms (ASCII but no letter).
 BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SHARD = 1 << 16
-BATCH = 4 << 20
-#: Distinct rows that a counting task holds before it hands them on.
-HELD = 1 << 19
+BATCH = 1 << 20
+#: Distinct rows that a counting task holds before it hands them on (some 100 MB with what merging them takes).
+HELD = 1 << 17
 GROUP = ["lang", "source"]
 COUNTS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
 
@@ -81,25 +81,27 @@ def batch_counts(batch: pa.RecordBatch) -> pa.Table:
     return pa.concat_tables([t.select(COUNTS.names).cast(COUNTS) for t in (sums, present)])
 
 
+def counted(batches):
+    """Merged counts of a task's batches, handed on whenever they are more than ``HELD`` rows."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        for part in batches_of(batch, BATCH):
+            held.append(batch_counts(part))
+            if sum(len(t) for t in held) > 2 * HELD:
+                held = [merged(pa.concat_tables(held), COUNTS.names[:3], ["n", "docs"]).cast(COUNTS)]
+                if len(held[0]) > HELD:
+                    yield from held.pop().to_batches(max_chunksize=1 << 15)
+    if held:
+        yield from merged(pa.concat_tables(held), COUNTS.names[:3], ["n", "docs"]).cast(COUNTS).to_batches(max_chunksize=1 << 15)
+
+
 def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """Occurrences ``n`` and documents ``docs`` of each (lang, source, term); each (lang, source) has a row with a null term."""
     columns = {"text": text_col, "lang": lang_col, "source": source_col}
     rows = docs.select(*[F.col(f"`{c}`").cast("string").alias(name) for name, c in columns.items()])
 
-    def run(batches):
-        held: list[pa.Table] = []
-        for batch in batches:
-            for part in batches_of(batch, BATCH):
-                held.append(batch_counts(part))
-                if sum(len(t) for t in held) > 2 * HELD:
-                    held = [merged(pa.concat_tables(held), COUNTS.names[:3], ["n", "docs"]).cast(COUNTS)]
-                    if len(held[0]) > HELD:
-                        yield from held.pop().to_batches(max_chunksize=1 << 16)
-        if held:
-            yield from merged(pa.concat_tables(held), COUNTS.names[:3], ["n", "docs"]).cast(COUNTS).to_batches(max_chunksize=1 << 16)
-
-    counted = rows.mapInArrow(run, "lang string, source string, term string, n bigint, docs bigint")
-    return counted.groupBy(*GROUP, "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    counts = rows.mapInArrow(counted, "lang string, source string, term string, n bigint, docs bigint")
+    return counts.groupBy(*GROUP, "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def share(n: Column, total: Column, kept: Column, add: int, unit: int) -> Column:

@@ -4,8 +4,11 @@ import hashlib
 import math
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -14,6 +17,7 @@ from pyspark.sql import functions as F
 from shelfpanel.llm import divergence, language_model, queries, va_clusters
 
 SF = "/root/testdata/sf0.001"
+ROOT = Path(__file__).resolve().parents[2]
 DOCS = "doc_id bigint, text string, lang string, source string"
 # names that the operators use inside
 CLASHING = "id string, row string, term string, n string, key string, v string, cells string, value string, rank string, p string"
@@ -277,3 +281,27 @@ def test_shares_of_huge_counts_are_exact(spark):
     df = spark.createDataFrame([(n, total, 1_000_000)], "n bigint, total bigint, kept bigint")
     found = df.select(divergence.share(F.col("n"), F.col("total"), F.col("kept"), 5, 10**9)).first()[0]
     assert found == 1 + 10**9 * (n + 5) // (total + 5 * 10**6)
+
+
+COUNTING = """
+import random, resource
+import pyarrow as pa
+from shelfpanel.llm import divergence
+
+def batches():
+    draw = random.Random(4)
+    for _ in range(120):
+        texts = [" ".join("".join(draw.choices("abcdefghijklmnop", k=12)) for _ in range(500)) for _ in range(30)]
+        yield pa.record_batch({"text": texts, "lang": ["en"] * 30, "source": ["s"] * 30})
+
+first = next(batches())
+list(divergence.counted(iter([first])))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+rows = sum(b.num_rows for b in divergence.counted(batches()))
+print(rows, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) >> 10)
+"""
+
+
+def test_divergence_counting_holds_little(tmp_path):
+    got = subprocess.run([sys.executable, "-c", COUNTING], capture_output=True, text=True, cwd=ROOT, check=True).stdout.split()
+    assert int(got[0]) > 1_700_000 and int(got[1]) < 180  # MB; 293 with four times the rows held, 97 now
