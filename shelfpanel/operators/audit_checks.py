@@ -87,26 +87,36 @@ def escape_scan(
     return counts.join(shown, "column")
 
 
-def counters(df: DataFrame, columns: list[str]) -> list[Column]:
-    """Counts of missing and of not-found cells; only texts can be blank or hold the sentinel."""
+MISSING, ABSENT = 1, 2
+
+
+def with_states(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` with a column ``_state_<i>`` for each of ``columns``: its cell is missing, not found, or (0) neither.
+
+    Only texts can be blank or hold the sentinel. A column of its own is worked out once for both counts.
+    """
     texts = set(text_columns(df))
-    counts = []
+    states = {}
     for i, c in enumerate(columns):
         value = field(c)
-        missing, absent = value.isNull(), F.lit(False)
+        state = F.when(value.isNull(), MISSING)
         if c in texts:
             bare = trimmed(value)
-            missing = F.coalesce(bare == "", F.lit(True))
-            absent = F.coalesce(bare == NOT_FOUND, F.lit(False))
-        counts.append(F.count_if(missing).alias(f"missing_{i}"))
-        counts.append(F.count_if(absent).alias(f"not_found_{i}"))
-    return counts
+            state = F.coalesce(F.when(bare == "", MISSING).when(bare == NOT_FOUND, ABSENT).when(bare.isNotNull(), 0), F.lit(MISSING))
+        states[f"_state_{i}"] = F.coalesce(state, F.lit(0))
+    return df.withColumns(states)
+
+
+def counters(columns: list[str]) -> list[Column]:
+    """Counts of missing and of not-found cells in rows from ``with_states``."""
+    names = (("missing", MISSING), ("not_found", ABSENT))
+    return [F.count_if(F.col(f"_state_{i}") == k).alias(f"{n}_{i}") for i in range(len(columns)) for n, k in names]
 
 
 def missing_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Missing and not-found cells per essential column, from one pass."""
     columns = [c for c in columns or ESSENTIAL_COLUMNS if c in df.columns]
-    one_row = df.agg(*counters(df, columns))
+    one_row = with_states(df, columns).agg(*counters(columns))
     per_column = F.array(
         *[
             F.struct(

@@ -34,7 +34,8 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     usable = long.where(F.col("Country").isNotNull() & F.col("value").isNotNull())
     counts = usable.groupBy(*GROUP, "value").agg(F.count("*").alias("n"))
     shares = [i / BINS for i in range(1, BINS)]
-    cuts = counts.groupBy(*GROUP).agg(F.percentile_approx("value", shares, ACCURACY).alias("cuts"))
+    # Asking for the number of each value, which is never 0, keeps it in this use as well, so that it shares that shuffle.
+    cuts = counts.where(F.col("n") > 0).groupBy(*GROUP).agg(F.percentile_approx("value", shares, ACCURACY).alias("cuts"))
     # The cuts rise, so every STEP-th of them shows which few of the others to look at.
     marks = F.filter("cuts", lambda cut, i: i % STEP == STEP - 1)
     # One row of cuts per country and column, whatever the panel holds.

@@ -33,12 +33,12 @@ def _single_pass(panel: DataFrame) -> DataFrame:
             "size_name_escape": "Size Name"}[n] in panel.columns
     }
     sentinels = sum((checks.is_sentinel(field(c)).cast("long") for c in texts), F.lit(0))
-    one_row = panel.agg(
+    one_row = checks.with_states(panel, essential).agg(
         F.count("*").alias("rows"),
         F.sum(sentinels).alias("sentinels"),
         F.avg(checks.row_bytes(panel)).alias("avg_bytes"),
         F.count_if(day.isNull()).alias("invalid_dates"),
-        *checks.counters(panel, essential),
+        *checks.counters(essential),
         *[F.count_if(c).alias(n) for n, c in rules.items()],
         *[
             F.count_if(checks.has_corrupt_escape(field(c))).alias(f"escape_{i}")

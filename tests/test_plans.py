@@ -349,3 +349,18 @@ def test_default_candidates(spark):
         A.marketplaces(spark), F.lit("2026-05-16").cast("date"), {**PRODUCT_RULES, **EXTRA_RULES},
     )
     assert rows(extra, "Freq Badge") == [("Often",)]
+
+
+def test_outliers_count_values_once(spark):
+    from shelfpanel.operators.outliers import iqr_outliers
+
+    panel = spark.createDataFrame([("DE", str(i % 40), "1", "2", "x") for i in range(300)] + [("DE", "9999", "1", "2", "x")],
+                                  '`Country` string, `Price` string, `List Price` string, `Number of ratings` string, `PED` string')
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = iqr_outliers(panel)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Generate inline") == 1  # every use of the counts reads the one shuffle
+        assert [(r.column, r.outliers, r.max_outlier) for r in found.collect()] == [("Price", 1, 9999.0)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
