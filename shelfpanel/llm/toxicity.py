@@ -7,20 +7,24 @@ over the whole text, the largest answer of each is kept, and a linear layer give
 on a part of the training sample for each language group, clean texts weighing more as they are more frequent in
 the table; the group comes from the text alone (its function words).
 
-Training reads at most ``SAMPLE`` labelled documents of up to ``SAMPLE_BYTES`` bytes, chosen by the hash of their id,
-a third of them toxic; that bounds the driver's share and the broadcast model. Scoring is one pass without a shuffle
-over whole texts.
+Training reads every labelled document whole, four to eight times, but those held out: three quarters fit the weights, one quarter
+the thresholds. Shards of some ``SHARD`` documents train copies of the network, which Spark averages after each round
+(``averaging``); the buckets are counted, and the thresholds found, over all documents of their part. The network's
+size is bounded: the ``VOCAB`` most frequent buckets have an embedding. Scoring is one pass without a shuffle over whole texts.
 
 Defined cases: null counts as empty; an empty text has the score of a text without known words; without labels of
 both kinds every score is the share of toxic labels; documents without a label are scored all the same; only
 the id and text columns are used.
 """
 
+import copy
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfpanel.llm import averaging
 from shelfpanel.llm.common import BASE, LETTERS, LOWER_BYTES, batches_of, held_out, mixed, release_memory, stored, text_bytes, word_chunks
 
 SAMPLE = 6000
@@ -33,6 +37,14 @@ WIDTHS = (1, 2, 3)
 FILTERS = 8
 GAP = max(WIDTHS) - 1
 BLOCK = 1 << 17
+VOCAB = 1 << 18
+#: Rounds over all documents: so many that ``LEAST`` texts are read, at least and at most as given.
+ROUNDS = (4, 8)
+LEAST = 48000
+SHARD = 8192
+TEXTS = 32
+#: Logits in a histogram have cells of 1 / CELLS.
+CELLS = 256
 
 #: Frequent function words of each language group (fixed values).
 FUNCTION_WORDS = {
@@ -116,6 +128,8 @@ class ToxicModel:
         self.bias = np.zeros(FILTERS * len(WIDTHS), np.float32)
         self.top = draw.normal(0, 0.3, FILTERS * len(WIDTHS)).astype(np.float32)
         self.offset = np.zeros(1, np.float32)
+        self.moved: np.ndarray | None = None  # what training needs: sums of squared steps
+        self.squares: list[np.ndarray] = []
         self.thresholds: dict[int, float] = {}
         self.threshold = 0.0
         self.constant: float | None = None
@@ -170,42 +184,63 @@ class ToxicModel:
         rows, starts = spaced(self.rows(buckets), counts)
         return (self.pooled(rows, starts) @ self.top + self.offset).astype(np.float64)
 
-    def fit(
-        self, buckets: np.ndarray, numbers: np.ndarray, counts: np.ndarray, labels: np.ndarray, rounds: int = 8, batch: int = 32
-    ) -> "ToxicModel":
-        """Trains on texts given by ``word_numbers``."""
-        draw = np.random.default_rng(5)
-        ends = np.cumsum(counts)
-        seen = np.zeros(BUCKETS, np.int32)
-        for end, count in zip(ends, counts):
-            seen[np.unique(buckets[np.unique(numbers[end - count : end])])] += 1
-        seen[0] = 0
-        self.vocab = np.flatnonzero(seen >= SEEN).astype(np.int32)
-        self.embedding = draw.normal(0, 0.1, (len(self.vocab) + 1, DIM)).astype(np.float32)
+    def params(self) -> list[np.ndarray]:
+        return [*self.filters, self.bias, self.top, self.offset]
+
+    def begin(self, vocab: np.ndarray) -> "ToxicModel":
+        """First embeddings for the given buckets."""
+        self.vocab = vocab.astype(np.int32)
+        self.embedding = np.random.default_rng(5).normal(0, 0.1, (len(vocab) + 1, DIM)).astype(np.float32)
         self.embedding[0] = 0
-        word_rows = self.rows(buckets)
-        weights = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum())) * len(labels)
-        params = [*self.filters, self.bias, self.top, self.offset]
-        squares = [np.full(p.shape, 1e-6, np.float32) for p in params]
-        moved = np.full(len(self.embedding), 1e-6, np.float32)
-        for step in range(rounds):
-            rate = 0.05 / (1 + 0.3 * step)
-            order = draw.permutation(len(counts))
-            for at in range(0, len(order), batch):
-                picked = order[at : at + batch]
-                rows = word_rows[np.concatenate([numbers[ends[i] - counts[i] : ends[i]] for i in picked])]
-                rows = np.where(draw.random(rows.shape) < 0.1, 0, rows)
-                rows, starts = spaced(rows, counts[picked])
-                self._step(rows, starts, labels[picked], weights[picked] / len(picked), params, squares, moved, rate)
+        self.squares = [np.full(p.shape, 1e-6, np.float32) for p in self.params()]
+        self.moved = np.full(len(self.embedding), 1e-6, np.float32)
         return self
 
+    def numbers(self) -> np.ndarray:
+        """All that training changes: a row for each bucket, then the other weights."""
+        rows = np.concatenate((self.embedding, self.moved[:, None]), axis=1)
+        return np.concatenate((rows, averaging.flat(self.params() + self.squares, DIM + 1)))
+
+    def take(self, table: np.ndarray) -> None:
+        rows, rest = table[: len(self.embedding)], table[len(self.embedding) :]
+        self.embedding, self.moved = rows[:, :DIM].copy(), rows[:, DIM].copy()
+        found = averaging.unflat(rest, [p.shape for p in self.params() + self.squares])
+        n = len(self.squares)
+        *self.filters, self.bias, self.top, self.offset = found[:n]
+        self.squares = found[n:]
+
+    def step_through(self, texts: list[bytes], labels: np.ndarray, weights: np.ndarray, rate: float, draw) -> None:
+        """One step for each few texts, in random order; texts are read whole."""
+        buckets, numbers, counts = word_numbers(texts)
+        word_rows, ends, params = self.rows(buckets), np.cumsum(counts), self.params()
+        order = draw.permutation(len(counts))
+        for at in range(0, len(order), TEXTS):
+            picked = order[at : at + TEXTS]
+            rows = word_rows[np.concatenate([numbers[ends[i] - counts[i] : ends[i]] for i in picked])]
+            rows[draw.integers(0, 10, rows.shape, np.uint8) == 0] = 0
+            rows, starts = spaced(rows, counts[picked])
+            self._step(rows, starts, labels[picked], weights[picked] / len(picked), params, self.squares, self.moved, rate)
+
+    def peaks(self, rows: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Largest answer of each filter in each text and its place; ``rows`` are padded. Long inputs are read in blocks."""
+        size = len(rows) - GAP
+        outside, stops = gaps(starts, size), np.append(starts[1:], size)
+        best = np.repeat(starts[:, None], len(self.bias), axis=1)
+        top = np.full(best.shape, -np.inf, np.float32)
+        for at in range(0, size, BLOCK):
+            z = self.answers(rows[at : min(at + BLOCK, size) + GAP])
+            z[outside[at : at + len(z)]] = -np.inf
+            for i in range(np.searchsorted(stops, at, side="right"), np.searchsorted(starts, at + len(z))):
+                s, e = max(starts[i], at), min(stops[i], at + len(z))
+                place = z[s - at : e - at].argmax(axis=0) + s
+                value = z[place - at, np.arange(z.shape[1])]
+                better = value > top[i]
+                best[i, better], top[i, better] = place[better], value[better]
+        return best, top
+
     def _step(self, rows, starts, labels, weights, params, squares, moved, rate):
         rows = padded(rows)
-        z = self.answers(rows)
-        z[gaps(starts, len(z))] = -np.inf
-        stops = np.append(starts[1:], len(rows) - GAP)
-        best = np.stack([s + z[s:e].argmax(axis=0) for s, e in zip(starts, stops)])  # texts x filters
-        top = np.take_along_axis(z, best, axis=0)
+        best, top = self.peaks(rows, starts)  # texts x filters
         hidden = np.maximum(top, 0)
         chance = 1 / (1 + np.exp(-(hidden @ self.top + self.offset)))
         error = ((chance - labels) * weights).astype(np.float32)
@@ -234,13 +269,14 @@ class ToxicModel:
         self.embedding[hit] -= rate * total / np.sqrt(moved[hit])[:, None]
         self.embedding[0] = 0
 
-    def calibrate(self, logits, groups, labels, clean_weight: float = 1.0, least: int = 20) -> "ToxicModel":
-        """The threshold with the fewest errors for each group with enough examples of both kinds, and one for all."""
-        self.threshold = best_threshold(logits, labels, clean_weight)
+    def calibrate(self, logits, groups, labels, times, clean_weight: float = 1.0, least: int = 20) -> "ToxicModel":
+        """The threshold with the fewest errors for each group with enough examples of both kinds, and one for all; each
+        example comes ``times`` times."""
+        self.threshold = best_threshold(logits, labels, clean_weight, times)
         for g in np.unique(groups):
             own = groups == g
-            if min(labels[own].sum(), (1 - labels[own]).sum()) >= least:
-                self.thresholds[int(g)] = best_threshold(logits[own], labels[own], clean_weight)
+            if min((labels * times)[own].sum(), ((1 - labels) * times)[own].sum()) >= least:
+                self.thresholds[int(g)] = best_threshold(logits[own], labels[own], clean_weight, times[own])
         return self
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
@@ -253,11 +289,12 @@ class ToxicModel:
         return 1 / (1 + np.exp(-np.clip(self.logits(buckets, counts) - shift, -40, 40)))
 
 
-def best_threshold(logits: np.ndarray, labels: np.ndarray, clean_weight: float = 1.0) -> float:
+def best_threshold(logits: np.ndarray, labels: np.ndarray, clean_weight: float = 1.0, times: np.ndarray | None = None) -> float:
     """Midway through the widest range of thresholds with the fewest errors, of which those on clean texts weigh as given."""
-    order = np.argsort(logits, kind="stable")
-    x, y = logits[order], labels[order]
-    errors = np.concatenate(([0], np.cumsum(y))) + clean_weight * np.concatenate((np.cumsum((1 - y)[::-1])[::-1], [0]))
+    times = np.ones(len(logits), np.int64) if times is None else times
+    x, inverse = np.unique(logits, return_inverse=True)
+    toxic, clean = (np.bincount(inverse, times * (labels == k), len(x)) for k in (1, 0))
+    errors = np.concatenate(([0], np.cumsum(toxic))) + clean_weight * np.concatenate((np.cumsum(clean[::-1])[::-1], [0]))
     low = np.concatenate(([x[0] - 2], x)) if len(x) else np.zeros(1)
     high = np.concatenate((x, [x[-1] + 2])) if len(x) else np.zeros(1)
     best = np.flatnonzero(errors == errors.min())
@@ -292,7 +329,7 @@ def language_groups(buckets: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str, limit: int = SAMPLE):
     """Words (as ``word_numbers`` gives them) and labels of a bounded sample of labelled documents outside the held-out
-    part, and the share of toxic ones among all such documents."""
+    part, and the share of toxic ones among all such documents. For trials; ``train`` reads all documents."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     rows = rows.where(F.octet_length("text") <= SAMPLE_BYTES)
     known = stored(
@@ -313,26 +350,105 @@ def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col:
     return *word_numbers(texts), labels, known.agg(F.avg("label")).first()[0]
 
 
+def labelled(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str) -> DataFrame:
+    """Every labelled document outside the held-out part: ``mix`` (hash of the row), ``text``, ``label``, ``later`` (a quarter, by hash);
+    stored in shards."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    rows = rows.where(F.col("id").isNotNull() & ~held_out(F.col("id")))
+    known = stored(
+        labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label"))
+        .where(F.col("label").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
+        .groupBy("id").agg(F.max("label").alias("label"))
+    )
+    found = rows.join(known, "id").select(F.xxhash64("id", "text").alias("mix"), "text", "label")
+    found = found.withColumn("later", F.pmod("mix", F.lit(4)) == 0)
+    return averaging.sharded(found, known.count(), SHARD, ["mix", "text"])
+
+
+def vocabulary(rows: DataFrame) -> np.ndarray:
+    """The most frequent buckets of all ``rows``: those in ``SEEN`` documents at least, and no more than ``VOCAB``."""
+
+    def run(batches):
+        seen = np.zeros(BUCKETS, np.int32)
+        for batch in batches:
+            for part in batches_of(batch, 2 << 20):
+                buckets, numbers, counts = word_numbers(text_bytes(part.column("text")))
+                for end, count in zip(np.cumsum(counts), counts):
+                    seen[np.unique(buckets[np.unique(numbers[end - count : end])])] += 1
+        seen[0] = 0
+        places = np.flatnonzero(seen)
+        for at in range(0, len(places), 1 << 15):
+            own = places[at : at + (1 << 15)]
+            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(seen[own].astype(np.int64))], ["place", "n"])
+
+    counts = rows.select("text").mapInArrow(run, "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
+    counts = stored(counts.where(F.col("n") >= SEEN))
+    least = averaging.most_frequent(counts, VOCAB)
+    kept = counts.where(F.col("n") >= least) if least else counts.limit(0)
+    return np.sort(kept.select("place").toArrow().column("place").to_numpy())
+
+
+def fitted(rows: DataFrame, model: ToxicModel, weight: np.ndarray, step: int) -> np.ndarray:
+    """``model.numbers()`` after a round over all ``rows``; ``weight``: of a clean and of a toxic document."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    rate = 0.05 / (1 + 0.3 * step)
+
+    def run(batches):
+        now, local, draw = None, None, None
+        for shard, part in averaging.runs_of(batches, 2 << 20):
+            if shard != now:
+                if local is not None:
+                    yield from averaging.changes(shared.value.numbers(), local.numbers())
+                now, local, draw = shard, copy.deepcopy(shared.value), np.random.default_rng([step, shard])
+            labels = part.column("label").to_numpy().astype(np.int64)
+            local.step_through(text_bytes(part.column("text")), labels, weight[labels], rate, draw)
+        if local is not None:
+            yield from averaging.changes(shared.value.numbers(), local.numbers())
+
+    found = rows.select("shard", "label", "text").mapInArrow(run, averaging.schema(DIM + 1))
+    return averaging.averaged(found, model.numbers())
+
+
+def logit_counts(rows: DataFrame, model: ToxicModel) -> tuple[np.ndarray, ...]:
+    """Logits of all ``rows`` in cells, language groups, labels, and how many documents share them."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            for part in batches_of(batch, 2 << 20):
+                buckets, counts = word_buckets(text_bytes(part.column("text")))
+                cells = np.rint(np.clip(shared.value.logits(buckets, counts), -64, 64) * CELLS).astype(np.int32)
+                groups = language_groups(buckets, counts).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(groups), part.column("label")], ["cell", "lang", "label"])
+
+    cells = rows.select("text", "label").mapInArrow(run, "cell int, lang int, label int")
+    found = cells.groupBy("cell", "lang", "label").agg(F.count(F.lit(1)).alias("n")).orderBy("cell", "lang", "label").toArrow()
+    cell, lang, label, n = (found.column(c).to_numpy().astype(np.int64) for c in ("cell", "lang", "label", "n"))
+    return cell / CELLS, lang, label, n
+
+
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> ToxicModel:
-    """A model fitted on three quarters of the sample and calibrated on the last quarter."""
-    buckets, numbers, counts, y, share = training_sample(docs, labels, label_col, id_col, text_col)
+    """A model fitted on three quarters of all labelled documents and calibrated on the last quarter."""
+    rows = labelled(docs, labels, label_col, id_col, text_col)
+    sizes = {(r["later"], r["label"]): r["n"] for r in rows.groupBy("later", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    clean, toxic = (sum(n for (_, k), n in sizes.items() if k == kind) for kind in (0, 1))
     model = ToxicModel()
-    if len(y) == 0 or y.min() == y.max():
-        model.constant = float(y.mean()) if len(y) else 0.0
+    if min(clean, toxic) == 0:
+        model.constant = float(toxic > 0)
         return model
-    later = np.random.default_rng(3).permutation(len(y)) % 4 == 0
-    if min(y[later].sum(), (1 - y[later]).sum(), y[~later].sum(), (1 - y[~later]).sum()) == 0:
-        later = np.zeros(len(y), bool)
-    word_later = np.repeat(later, counts)
-    model.fit(buckets, numbers[~word_later], counts[~later], y[~later])
-    if not later.any():
-        later = ~later
-        word_later = np.repeat(later, counts)
+    early, later = rows.where(~F.col("later")), rows.where("later")
+    if len(sizes) < 4:  # too few for two parts
+        early = later = rows
+    count = early.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy("label").toArrow().column("n").to_numpy()
+    weight = 0.5 / count * count.sum()
+    model.begin(vocabulary(early))
+    for step in range(int(np.clip(-(-LEAST // count.sum()), *ROUNDS))):
+        model.take(fitted(early, model, weight, step))
+    model.moved, model.squares = None, []  # only training needs them
+    logits, groups, y, times = logit_counts(later, model)
     # half way (in proportions) between labels of equal weight and their shares in the table
-    weight = np.sqrt((1 - share) / share) * y[later].sum() / max(1, (1 - y[later]).sum())
-    held = buckets[numbers[word_later]], counts[later]
-    model.calibrate(model.logits(*held), language_groups(*held), y[later], weight)
-    del buckets, numbers, held
+    balance = np.sqrt(clean / toxic) * times[y == 1].sum() / times[y == 0].sum()
+    model.calibrate(logits, groups, y, times, balance)
     release_memory()
     return model
 

@@ -627,3 +627,22 @@ def test_long_licences(spark):
             want.append(name if v in variants else None)
     got = {r.doc_id: r.license for r in licenses.license_scan(documents(spark, texts)).collect()}
     assert [got[i] for i in sorted(got)] == want
+
+
+def test_toxicity_learns_from_every_labelled_document(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD", 100)
+    draw = random.Random(8)
+    words = [f"word{i}" for i in range(50)]
+    # a rude word of its own for each tenth of the documents; texts beyond the former 64 KB take part
+    texts = [" ".join(draw.choices(words, k=12)) + (f" rude{i % 10} " if i % 3 == 0 else " kind ") for i in range(3000)]
+    texts[3] = texts[3] + "filler " * 12000
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(3000)], "doc_id bigint, toxic int")
+    rows = toxicity.labelled(docs, labels, "toxic", "doc_id", "text")
+    assert sorted(r.text for r in rows.collect()) == sorted(t for i, t in enumerate(texts) if not common.is_held_out(i))
+    assert rows.select("shard").distinct().count() > 10
+    model = toxicity.train(docs, labels)
+    got = toxicity.score(docs, model).where(common.held_out(F.col("doc_id"))).collect()
+    assert np.mean([r.predicted == int(r.doc_id % 3 == 0) for r in got]) > 0.98
+    again = toxicity.train(docs.repartition(7), labels)
+    assert (model.embedding == again.embedding).all() and model.threshold == again.threshold
