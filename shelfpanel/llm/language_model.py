@@ -7,8 +7,10 @@ over the words of the class. Its offsets start at the logarithms of the counts o
 has the chance of the unknown token, times its share ``(c + 1) / (N' + V' + 1)`` among all training words outside the
 vocabulary, so that the chances of all words seen, and of one word never seen, add up to 1.
 
-Weights are fitted by truncated back-propagation through windows of ``WINDOW`` tokens on a bounded sample: at most
-``SAMPLE`` training documents of at most ``SAMPLE_BYTES`` bytes, chosen by a hash. Scoring reads every document whole: documents are laid
+Weights are fitted by truncated back-propagation through windows of ``WINDOW`` tokens on all training documents, whole: shards
+of some ``SHARD`` documents train copies of the network, each on one of its ``SLICES`` slices at a time, and Spark averages the copies
+after each slice (``averaging``). Documents are cut into segments of ``SEGMENT`` tokens, which start without a state, so that all
+streams are of one length. Fewer than ``LEAST`` documents are read several times. Scoring reads every document whole: documents are laid
 end to end in up to ``STREAMS`` streams, the state is carried from window to window and starts anew after an end.
 
 Counts of the most frequent words, at most ``FREQUENT``, travel with the model (a bounded table); rarer words of a document are
@@ -20,6 +22,7 @@ scored each by itself; without training documents every word is unknown, and the
 rows; only the id and text columns are used.
 """
 
+import copy
 import heapq
 
 import numpy as np
@@ -27,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfpanel.llm import averaging
 from shelfpanel.llm.common import NOT_BLANK, batches_of, release_memory, stored, text_bytes, word_chunks
 
 CLASSES, MEMBERS = 64, 64
@@ -36,8 +40,12 @@ DIM = 24
 HIDDEN = 32
 WINDOW = 16
 STREAMS = 256
-SAMPLE = 1500
-SAMPLE_BYTES = 1 << 15
+SHARD = 8192
+SLICES = 4
+SEGMENT = 1024
+LEAST = 3000
+#: Tokens that a training task holds before it trains on them.
+TOKENS = 1 << 21
 END, UNKNOWN = 0, 1
 #: Distinct words that a counting task holds before it hands them on.
 HELD = 1 << 19
@@ -117,7 +125,8 @@ class Streams:
         self.lengths = lengths[self.docs]
         places = np.repeat(starts[self.docs] - (np.cumsum(self.lengths) - self.lengths), self.lengths)
         self.tokens = tokens[places + np.arange(len(tokens))]
-        self.before = np.concatenate(([END], self.tokens[:-1])).astype(self.tokens.dtype)  # a stream follows an end
+        self.before = np.concatenate(([END], self.tokens[:-1])).astype(self.tokens.dtype)
+        self.before[np.cumsum(self.lengths) - self.lengths] = END  # a document, or a segment of one, follows an end
 
     def windows(self, size: int):
         """Places of the tokens of each window (steps x streams that still run), step by step."""
@@ -161,6 +170,7 @@ class GatedModel:
         }
         self.weights = {k: v.astype(np.float32) for k, v in self.weights.items()}
         self.entry: np.ndarray | None = None
+        self.squares = {k: np.full(v.shape, 1e-4, np.float32) for k, v in self.weights.items()}  # what training needs
 
     # Tokens
 
@@ -284,31 +294,50 @@ class GatedModel:
         np.add.at(rows, inverse, entry @ w["gates"].T)
         return loss / n, grads, (hit, rows), last
 
-    def fit(self, tokens: np.ndarray, lengths: np.ndarray, rounds: int = 2, streams: int = 48, rate: float = 0.12) -> "GatedModel":
+    def numbers(self) -> np.ndarray:
+        """All that training changes; a row of inputs is one row."""
+        return averaging.flat([*self.weights.values(), *self.squares.values()], DIM)
+
+    def take(self, table: np.ndarray) -> None:
+        found = averaging.unflat(table, [v.shape for v in [*self.weights.values(), *self.squares.values()]])
+        self.weights = dict(zip(self.weights, found))
+        self.squares = dict(zip(self.squares, found[len(self.weights) :]))
+        self.entry = None
+
+    def copied(self) -> "GatedModel":
+        """A copy with weights of its own."""
+        out = copy.copy(self)
+        out.weights, out.squares = ({k: v.copy() for k, v in x.items()} for x in (self.weights, self.squares))
+        return out
+
+    def fit(self, tokens: np.ndarray, lengths: np.ndarray, streams: int = 64, rate: float = 0.12) -> "GatedModel":
         """Truncated back-propagation over the documents: steps of Adagrad, the state carried between windows."""
         if not len(tokens):
             return self
-        squares = {k: np.full(v.shape, 1e-4, np.float32) for k, v in self.weights.items()}
-        w = self.weights
-        for turn in range(rounds):
-            mixed = np.random.default_rng(turn).permutation(len(lengths))
-            starts = np.cumsum(lengths) - lengths
-            order = np.concatenate([np.arange(starts[d], starts[d] + lengths[d]) for d in mixed])
-            laid = Streams(tokens[order], lengths[mixed], streams)
-            state = np.zeros((len(laid.sizes), HIDDEN), np.float32)
-            for window in laid.windows(WINDOW):
-                self.entry = None
-                before, targets = [laid.before[p] for p in window], [laid.tokens[p] for p in window]
-                _, grads, (hit, rows), state = self.gradients(before, targets, state)
-                for k, g in grads.items():
-                    squares[k] += g * g
-                    w[k] -= rate * g / np.sqrt(squares[k])
-                squares["inputs"][hit] += rows * rows
-                w["inputs"][hit] -= rate * rows / np.sqrt(squares["inputs"][hit])
+        squares, w = self.squares, self.weights
+        laid = Streams(tokens, segments(lengths), streams)
+        state = np.zeros((len(laid.sizes), HIDDEN), np.float32)
+        for window in laid.windows(WINDOW):
+            self.entry = None
+            before, targets = [laid.before[p] for p in window], [laid.tokens[p] for p in window]
+            _, grads, (hit, rows), state = self.gradients(before, targets, state)
+            for k, g in grads.items():
+                squares[k] += g * g
+                w[k] -= rate * g / np.sqrt(squares[k])
+            squares["inputs"][hit] += rows * rows
+            w["inputs"][hit] -= rate * rows / np.sqrt(squares["inputs"][hit])
         self.entry = None
         return self
 
 
+def segments(lengths: np.ndarray) -> np.ndarray:
+    """Lengths of the segments that documents of the given lengths are cut into."""
+    parts = -(-lengths // SEGMENT)
+    out = np.full(parts.sum(), SEGMENT, np.int64)
+    out[np.cumsum(parts) - 1] = lengths - (parts - 1) * SEGMENT
+    return out
+
+
 def tokens_of(model: GatedModel, texts: list[bytes]):
     """Tokens of all texts with their ends, lengths, and for each text the sums that need the counts: known words, sum
     of ``log10(c + 1)`` of frequent words, the same of those that are unknown to the network, unknown words; then hashes
@@ -357,6 +386,38 @@ def lists_of(owner: np.ndarray, keys: np.ndarray, n: int) -> tuple[pa.Array, pa.
     )
 
 
+def fitted(rows: DataFrame, model: GatedModel) -> np.ndarray:
+    """``model.numbers()`` after its copies have read all ``rows`` of their shards."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        first = shared.value.numbers()
+        now, local, held, size = None, None, [], 0
+
+        def settle():
+            if held:
+                local.fit(*(np.concatenate(x) for x in zip(*held)))
+                held.clear()
+
+        for shard, part in averaging.runs_of(batches, 2 << 20):
+            if shard != now:
+                if local is not None:
+                    settle()
+                    yield from averaging.changes(first, local.numbers())
+                now, local, size = shard, shared.value.copied(), 0
+            tokens, lengths, *_ = tokens_of(local, text_bytes(part.column("text")))
+            held.append((tokens, lengths))
+            size += len(tokens)
+            if size > TOKENS:
+                settle()
+                size = 0
+        if local is not None:
+            settle()
+            yield from averaging.changes(first, local.numbers())
+
+    return averaging.averaged(rows.select("shard", "text").mapInArrow(run, averaging.schema(DIM)), model.numbers())
+
+
 def train(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text") -> tuple[GatedModel, DataFrame]:
     """The model of the rows of ``docs`` for which ``training`` holds, and the table of all their word counts."""
     own = docs.where(training).select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
@@ -364,27 +425,19 @@ def train(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     total, distinct, ends = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.sum(F.when(F.col("key").isNull(), F.col("n"))), F.lit(0))
     ).first()
-    # the least count of the frequent words, from a histogram; so no task sorts the words of the others
-    step = F.floor(F.log2("n") * 8)
-    steps = counts.where(F.col("key").isNotNull()).groupBy(step).agg(F.min("n").alias("n"), F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).collect()
-    least, words = 0, 0
-    for row in steps:  # some 500 at most
-        words += row["words"]
-        if words > FREQUENT:
-            break
-        least = row["n"]
+    # the least count of the frequent words, so that no task sorts the words of the others
+    least = averaging.most_frequent(counts.where(F.col("key").isNotNull()), FREQUENT)
     top = counts.where(F.col("key").isNotNull() & (F.col("n") >= least)) if least else counts.limit(0)
     top = top.toArrow().sort_by([("n", "descending"), ("key", "ascending")])
     keys = top.column("key").to_numpy().astype(np.int64).view(np.uint64)
     model = GatedModel(keys, top.column("n").to_numpy().astype(np.int64), ends, total, distinct)
-    # some twice the sample by a hash of the row, then the sample itself, so that each task sends a small share
-    slots = 1 << 40
     mix = F.xxhash64("id", "text")
-    few = own.where((F.octet_length("text") <= SAMPLE_BYTES) & (F.pmod(mix, F.lit(slots)) < int(slots * min(1, 2 * SAMPLE / max(ends, 1)))))
-    texts = text_bytes(few.select(F.pmod(mix, F.lit(slots)).alias("mix"), "text").orderBy("mix", "text").limit(SAMPLE).toArrow().column("text"))
-    tokens, lengths, *_ = tokens_of(model, texts)
-    model.fit(tokens, lengths)
-    del tokens, texts, top
+    rows = averaging.sharded(own.select(mix.alias("mix"), "text"), ends, SHARD, ["mix", "text"])
+    for turn in range(min(8, -(-LEAST // max(ends, 1)))):
+        for part in range(SLICES):
+            model.take(fitted(rows.where(F.pmod(F.shiftright("mix", 8), F.lit(SLICES)) == part), model))
+    model.squares = {}
+    del top
     release_memory()
     return model, counts
 

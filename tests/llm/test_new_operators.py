@@ -305,3 +305,30 @@ print(rows, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) >> 10)
 def test_divergence_counting_holds_little(tmp_path):
     got = subprocess.run([sys.executable, "-c", COUNTING], capture_output=True, text=True, cwd=ROOT, check=True).stdout.split()
     assert int(got[0]) > 1_700_000 and int(got[1]) < 180  # MB; 293 with four times the rows held, 97 now
+
+
+def test_lm_learns_from_every_training_document(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language_model, "LEAST", 1)
+    whole = language_model.averaging.sharded
+    monkeypatch.setattr(language_model.averaging, "sharded", lambda *a: seen.append(whole(*a)) or seen[-1])
+    texts = [f"common words w{i}" for i in range(1900)] + ["long text " * 5000]  # more than the 1,500 of a former sample, and over 32 KB
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], DOCS)
+    language_model.train(docs, F.lit(True))
+    assert sorted(r.text for r in seen[0].collect()) == sorted(texts)
+    # the only document that follows 'long' by 'text' is the long one
+    model, counts = language_model.train(docs, F.lit(True))
+    other, counts_other = language_model.train(docs.where("doc_id < 1900"), F.lit(True))
+    asked = spark.createDataFrame([(1, "text long text long text", "en", "s")], DOCS)
+    assert language_model.score(asked, model, counts).first()["score"] > language_model.score(asked, other, counts_other).first()["score"] + 3
+
+
+def test_shards_average_exactly(spark):
+    before = np.zeros((5, 3), np.float32)
+    parts = [before.copy() for _ in range(3)]
+    parts[0][1], parts[1][1], parts[2][4, 2] = 3, 1, 0.5
+    batches = [b for p in parts for b in language_model.averaging.changes(before, p)]
+    rows = spark.createDataFrame([tuple(r.values()) for b in batches for r in b.to_pylist()], language_model.averaging.schema(3))
+    want = before.copy()
+    want[1], want[4, 2] = 2, 0.5  # means over the shards that changed the row
+    assert (language_model.averaging.averaged(rows, before) == want).all()
