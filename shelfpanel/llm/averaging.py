@@ -2,6 +2,8 @@
 
 A model's numbers are a matrix of few columns. Each shard hands on the rows of the matrix that it changed, as whole multiples of
 1 / ``UNIT``, so that their sums are the same in any order; a row moves by the mean of the changes of the shards that changed it.
+A task reads many shards and Spark adds up their changes before the shuffle, so that a round moves one model for each core, not for
+each shard.
 """
 
 import numpy as np
@@ -16,11 +18,21 @@ UNIT = 1 << 30
 SHARDS = 256
 
 
-def sharded(rows: DataFrame, count: int, each: int, order: list[str]) -> DataFrame:
-    """``rows`` stored with their ``shard`` (by the hash in column ``mix``), each shard in order: about ``each`` rows in one."""
+def dealt(rows: DataFrame, count: int, each: int) -> DataFrame:
+    """``rows`` with their ``shard`` (by the hash in column ``mix``), those of a shard in one partition: about ``each`` of ``count`` in one."""
     shards = min(max(count // each, 1), SHARDS)
     rows = rows.withColumn("shard", F.pmod(F.shiftright("mix", 16), F.lit(shards)).cast("int"))
-    return stored(rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", *order))
+    return rows.repartitionById(shards, F.col("shard"))
+
+
+def sharded(rows: DataFrame, count: int, each: int, order: list[str]) -> DataFrame:
+    """``rows`` stored with their ``shard``, each shard in order."""
+    return stored(dealt(rows, count, each).sortWithinPartitions("shard", *order))
+
+
+def by_core(rows: DataFrame) -> DataFrame:
+    """Stored shards in as many tasks as there are cores, each shard in one piece."""
+    return rows.coalesce(max(1, rows.sparkSession.sparkContext.defaultParallelism))
 
 
 def runs_of(batches, size: int):

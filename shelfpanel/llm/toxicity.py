@@ -20,12 +20,15 @@ the id and text columns are used.
 import copy
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfpanel.llm import averaging
-from shelfpanel.llm.common import BASE, LETTERS, LOWER_BYTES, batches_of, held_out, mixed, release_memory, stored, text_bytes, word_chunks
+from shelfpanel.llm.common import (
+    BASE, LETTERS, LOWER_BYTES, batches_of, held_out, mixed, release_memory, slot, slot_is_taken, stored, taken_slots, text_bytes, word_chunks,
+)
 
 SAMPLE = 6000
 SAMPLE_BYTES = 1 << 16
@@ -352,17 +355,29 @@ def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col:
 
 def labelled(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str) -> DataFrame:
     """Every labelled document outside the held-out part: ``mix`` (hash of the row), ``text``, ``label``, ``later`` (a quarter, by hash);
-    stored in shards."""
+    stored in shards.
+
+    Texts are shuffled once, straight to their shards, where the labels meet them; a bit table keeps most texts without a label back.
+    """
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    rows = rows.where(F.col("id").isNotNull() & ~held_out(F.col("id")))
+    rows = rows.where(F.col("id").isNotNull() & ~held_out(F.col("id"))).withColumn("mix", F.xxhash64("id", "text"))
     known = stored(
         labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label"))
         .where(F.col("label").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
         .groupBy("id").agg(F.max("label").alias("label"))
     )
-    found = rows.join(known, "id").select(F.xxhash64("id", "text").alias("mix"), "text", "label")
-    found = found.withColumn("later", F.pmod("mix", F.lit(4)) == 0)
-    return averaging.sharded(found, known.count(), SHARD, ["mix", "text"])
+    bits = docs.sparkSession.sparkContext.broadcast(taken_slots(known.select("id")))
+
+    @F.pandas_udf("boolean")
+    def taken(slots: pd.Series) -> pd.Series:
+        return pd.Series(slot_is_taken(bits.value, slots.to_numpy()))
+
+    marks = rows.select("id", "mix").join(known, "id").select("id", "mix", F.lit(None).cast("string").alias("text"), "label")
+    texts = rows.where(taken(slot(F.col("id")))).select("id", "mix", "text", F.lit(None).cast("int").alias("label"))
+    found = averaging.dealt(marks.unionByName(texts), known.count(), SHARD)
+    found = found.withColumn("label", F.max("label").over(Window.partitionBy("shard", "mix", "id")))
+    found = found.where(F.col("text").isNotNull() & F.col("label").isNotNull()).select("shard", "mix", "text", "label")
+    return stored(found.withColumn("later", F.pmod("mix", F.lit(4)) == 0).sortWithinPartitions("shard", "mix", "text"))
 
 
 def vocabulary(rows: DataFrame) -> np.ndarray:
@@ -405,7 +420,7 @@ def fitted(rows: DataFrame, model: ToxicModel, weight: np.ndarray, step: int) ->
         if local is not None:
             yield from averaging.changes(shared.value.numbers(), local.numbers())
 
-    found = rows.select("shard", "label", "text").mapInArrow(run, averaging.schema(DIM + 1))
+    found = averaging.by_core(rows.select("shard", "label", "text")).mapInArrow(run, averaging.schema(DIM + 1))
     return averaging.averaged(found, model.numbers())
 
 

@@ -646,3 +646,43 @@ def test_toxicity_learns_from_every_labelled_document(spark, monkeypatch):
     assert np.mean([r.predicted == int(r.doc_id % 3 == 0) for r in got]) > 0.98
     again = toxicity.train(docs.repartition(7), labels)
     assert (model.embedding == again.embedding).all() and model.threshold == again.threshold
+
+
+def test_toxicity_moves_each_text_once(spark, monkeypatch, capsys):
+    """One shuffle holds texts, also where the labels are too many to broadcast; repeated ids and rows stay as they are."""
+    plans, store = [], toxicity.stored
+    for module in (toxicity, toxicity.averaging):
+        monkeypatch.setattr(module, "stored", lambda df: plans.append(df) or store(df))
+    monkeypatch.setattr(toxicity, "SHARD", 20)
+    rows = [(i, f"text {i}") for i in range(200)] + [(i, "again") for i in (1, 1, 2)] + [(3, None), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in [*range(0, 400, 3), 1, 2]] + [(3, 0), (6, None), (None, 1)], "doc_id bigint, toxic int")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = toxicity.labelled(docs, labels, "toxic", "doc_id", "text")
+        next(p for p in plans if "later" in p.columns).explain("formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    exchanges = re.findall(r"\) Exchange\nInput \[\d+\]: (.*)", capsys.readouterr().out)
+    assert sum("text#" in x for x in exchanges) == 1
+    known = {i: i % 2 for i in [*range(0, 400, 3), 1, 2] if not common.is_held_out(i)}
+    want = [(t or "", known[i]) for i, t in rows if i in known]
+    assert sorted((r.text, r.label) for r in found.collect()) == sorted(want)
+    assert all(len({p.shard for p in found.collect() if p.mix == r.mix}) == 1 for r in found.limit(5).collect())
+
+
+def test_a_round_reads_shards_by_core(spark, monkeypatch):
+    """Many shards, few tasks: their changes are added up before the shuffle."""
+    monkeypatch.setattr(toxicity, "SHARD", 20)
+    monkeypatch.setattr(toxicity, "ROUNDS", (1, 1))
+    seen, means = [], toxicity.averaging.averaged
+    monkeypatch.setattr(toxicity.averaging, "averaged", lambda found, table: seen.append(found.rdd.getNumPartitions()) or means(found, table))
+    docs = documents(spark, [f"some words {i % 7}" + " rude" * (i % 3 == 0) for i in range(400)])
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(400)], "doc_id bigint, toxic int")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a task for each file
+    try:
+        toxicity.train(docs, labels)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert max(seen) <= spark.sparkContext.defaultParallelism
