@@ -94,16 +94,16 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return texts.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return 1 / (1 + np.exp(-x))
-
-
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    """Logarithms of the softmax of each row; changes ``x``."""
-    x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
+def softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For logits: powers that are the chances of each row times its sum, the sums, and what was taken off the logits."""
+    base, ones = x.max(initial=NEVER), np.ones(x.shape[1], x.dtype)
+    e = np.exp(x - base)
+    sums = e @ ones
+    if sums.min(initial=1) < 1e-20:  # rows far below the largest
+        base = x.max(axis=1)
+        e = np.exp(x - base[:, None])
+        sums = e @ ones
+    return e, sums, base
 
 
 class Streams:
@@ -131,8 +131,8 @@ class Streams:
     def windows(self, size: int):
         """Places of the tokens of each window (steps x streams that still run), step by step."""
         for first in range(0, int(self.sizes[0]) if len(self.sizes) else 0, size):
-            running = [int(np.searchsorted(-self.sizes, -t, side="left")) for t in range(first, min(first + size, int(self.sizes[0])))]
-            yield [self.at[:n] + first + t for t, n in enumerate(running)]
+            steps = np.arange(first, min(first + size, int(self.sizes[0])))
+            yield [self.at[:n] + t for t, n in zip(steps, np.searchsorted(-self.sizes, -steps, side="left"))]
 
 
 class GatedModel:
@@ -184,42 +184,67 @@ class GatedModel:
 
     # The network
 
-    def steps(self, before: list[np.ndarray], state: np.ndarray, keep: bool = False):
-        """States after each step of a window; with ``keep``, also what back-propagation needs."""
-        w, saved = self.weights, []
-        states = []
-        if self.entry is None:
-            self.entry = w["inputs"] @ w["gates"] + w["gate_offset"]
-        for tokens in before:
-            h = state[: len(tokens)]
-            h = np.where((tokens == END)[:, None], np.float32(0), h)
-            x, u = self.entry[tokens], h @ w["state"]
-            zr = sigmoid(x[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
-            z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-            c = 2 * sigmoid(2 * (x[:, 2 * HIDDEN :] + r * u[:, 2 * HIDDEN :])) - 1
-            new = c + z * (h - c)
-            if keep:
-                saved.append((tokens, h, z, r, c, u[:, 2 * HIDDEN :]))
-            states.append(new)
-            state = new
-        return states, state, saved
+    def steps(self, before: list[np.ndarray], state: np.ndarray, inputs: np.ndarray | None = None):
+        """States after each step of a window; the last ones; what back-propagation needs, the states one below the other first.
+
+        ``inputs``: what the tokens add to the gates, else looked up in the table of all tokens."""
+        w, seen = self.weights, np.concatenate(before)
+        if inputs is None:
+            if self.entry is None:
+                self.entry = w["inputs"] @ w["gates"] + w["gate_offset"]
+            inputs = self.entry[seen]
+        alive = (seen != END).astype(inputs.dtype)[:, None]
+        states, held, cells, mixed_in = (np.empty((len(inputs), HIDDEN), inputs.dtype) for _ in range(4))
+        gates = inputs[:, : 2 * HIDDEN].copy()
+        each, b = [], 0
+        with np.errstate(over="ignore"):
+            for tokens in before:
+                a, b = b, b + len(tokens)
+                h = np.multiply(state[: b - a], alive[a:b], out=held[a:b])
+                u = h @ w["state"]
+                zr = gates[a:b]
+                zr += u[:, : 2 * HIDDEN]
+                np.negative(zr, out=zr)
+                np.exp(zr, out=zr)
+                zr += 1
+                np.reciprocal(zr, out=zr)
+                mixed_in[a:b] = u[:, 2 * HIDDEN :]
+                c = np.multiply(zr[:, HIDDEN:], mixed_in[a:b], out=cells[a:b])
+                c += inputs[a:b, 2 * HIDDEN :]
+                np.tanh(c, out=c)
+                state = np.subtract(h, c, out=states[a:b])
+                state *= zr[:, :HIDDEN]
+                state += c
+                each.append(state)
+        return each, state, (states, alive, held, gates, cells, mixed_in)
 
     def _by_class(self, targets: np.ndarray):
-        """Rows of each class: (class, rows in any order)."""
-        classes = targets // MEMBERS
+        """An order of the targets by class, and the part of each class in it: (class, start, end)."""
+        classes = (targets // MEMBERS).astype(np.int16)
         order = np.argsort(classes, kind="stable")
-        cuts = np.flatnonzero(np.diff(classes[order])) + 1
-        for rows in np.split(order, cuts):
-            if len(rows):
-                yield int(classes[rows[0]]), rows
+        cuts = np.searchsorted(classes[order], np.arange(CLASSES + 1))
+        return order, [(k, int(a), int(b)) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+
+    def _word_logits(self, states: np.ndarray, parts) -> np.ndarray:
+        """Logits of the words of its class for each state; states lie by class."""
+        w, out = self.weights, np.empty((len(states), MEMBERS), states.dtype)
+        for k, a, b in parts:
+            np.matmul(states[a:b], w["words"][k].T, out=out[a:b])
+            out[a:b] += w["word_offset"][k]
+        return out
 
     def log_chances(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural logarithm of the chance of each target after its state."""
-        w = self.weights
-        out = log_softmax(states @ w["classes"].T + w["class_offset"])[np.arange(len(targets)), targets // MEMBERS]
-        for k, rows in self._by_class(targets):
-            own = log_softmax(states[rows] @ w["words"][k].T + w["word_offset"][k])
-            out[rows] += own[np.arange(len(rows)), targets[rows] % MEMBERS]
+        w, rows = self.weights, np.arange(len(targets))
+        order, parts = self._by_class(targets)
+        s, y = states[order], targets[order]
+        out = np.empty(len(y), s.dtype)
+        x = s @ w["classes"].T + w["class_offset"]
+        _, sums, base = softmax(x)
+        found = x[rows, y // MEMBERS] - base - np.log(sums)
+        x = self._word_logits(s, parts)
+        _, sums, base = softmax(x)
+        out[order] = found + (x[rows, y % MEMBERS] - base - np.log(sums))
         return out
 
     def score(self, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -227,7 +252,7 @@ class GatedModel:
         laid = Streams(tokens, lengths, STREAMS)
         found = np.zeros(len(tokens), np.float32)
         state = np.zeros((len(laid.sizes), HIDDEN), np.float32)
-        held, places = [], []
+        held, places, size = [], [], 0
 
         def settle():
             if places:
@@ -235,12 +260,13 @@ class GatedModel:
                 found[at] = self.log_chances(np.concatenate(held), laid.tokens[at])
 
         for window in laid.windows(WINDOW):
-            states, state, _ = self.steps([laid.before[p] for p in window], state)
-            held += states
+            _, state, (states, *_) = self.steps([laid.before[p] for p in window], state)
+            held.append(states)
             places += window
-            if sum(map(len, places)) >= 1 << 14:
+            size += len(states)
+            if size >= 1 << 12:
                 settle()
-                held, places = [], []
+                held, places, size = [], [], 0
         settle()
         out = np.zeros(len(lengths))
         if len(lengths):
@@ -249,50 +275,62 @@ class GatedModel:
 
     def gradients(self, before: list[np.ndarray], targets: list[np.ndarray], state: np.ndarray):
         """Loss per token, gradients of all weights, and the state after the window."""
-        w = self.weights
-        states, last, saved = self.steps(before, state, keep=True)
-        s, y = np.concatenate(states), np.concatenate(targets)
-        n = len(y)
-        grads = {k: np.zeros_like(v) for k, v in w.items() if k not in ("inputs",)}
-        classes = log_softmax(s @ w["classes"].T + w["class_offset"])
-        picked = np.arange(n), y // MEMBERS
-        loss = -classes[picked].sum()
-        error = np.exp(classes)
-        error[picked] -= 1
-        error /= n
-        grads["classes"], grads["class_offset"] = error.T @ s, error.sum(axis=0)
+        w, seen = self.weights, np.concatenate(before)
+        by_token = np.argsort(seen.astype(np.int16), kind="stable")
+        first = np.flatnonzero(np.diff(seen[by_token], prepend=-1))
+        hit = seen[by_token[first]]
+        place = np.empty(len(seen), np.int64)
+        place[by_token] = np.repeat(np.arange(len(hit)), np.diff(np.append(first, len(seen))))
+        entry = w["inputs"][hit] @ w["gates"] + w["gate_offset"]
+        _, last, (states, alive, held, gates, cells, mixed_in) = self.steps(before, state, entry[place])
+        y = np.concatenate(targets)
+        n, rows = len(y), np.arange(len(y))
+        order, parts = self._by_class(y)
+        s, y = states[order], y[order]
+        grads, loss = {}, 0.0
+        x = s @ w["classes"].T + w["class_offset"]
+        error, sums, base = softmax(x)
+        loss -= (x[rows, y // MEMBERS] - base - np.log(sums)).sum()
+        error *= (1 / (sums * n))[:, None]
+        error[rows, y // MEMBERS] -= 1 / n
+        ones = np.ones(n, s.dtype)
+        grads["classes"], grads["class_offset"] = error.T @ s, ones @ error
         back = error @ w["classes"]
-        for k, rows in self._by_class(y):
-            own = log_softmax(s[rows] @ w["words"][k].T + w["word_offset"][k])
-            picked = np.arange(len(rows)), y[rows] % MEMBERS
-            loss -= own[picked].sum()
-            error = np.exp(own)
-            error[picked] -= 1
-            error /= n
-            grads["words"][k], grads["word_offset"][k] = error.T @ s[rows], error.sum(axis=0)
-            back[rows] += error @ w["words"][k]
-        ends = np.cumsum([len(x) for x in states])
+        x = self._word_logits(s, parts)
+        error, sums, base = softmax(x)
+        loss -= (x[rows, y % MEMBERS] - base - np.log(sums)).sum()
+        error *= (1 / (sums * n))[:, None]
+        error[rows, y % MEMBERS] -= 1 / n
+        grads["words"], grads["word_offset"] = np.zeros_like(w["words"]), np.zeros_like(w["word_offset"])
+        for k, a, b in parts:
+            np.matmul(error[a:b].T, s[a:b], out=grads["words"][k])
+            np.matmul(ones[a:b], error[a:b], out=grads["word_offset"][k])
+            back[a:b] += error[a:b] @ w["words"][k]
+        gained = np.empty_like(back)
+        gained[order] = back
         later = np.zeros_like(last)
-        tokens_seen, entry_grads = [], []
-        for t in range(len(states) - 1, -1, -1):
-            tokens, h, z, r, c, u = saved[t]
-            d = back[ends[t] - len(tokens) : ends[t]].copy()
+        side, own = np.empty((n, 3 * HIDDEN), back.dtype), np.empty_like(back)
+        to_state, a = w["state"].T.copy(), n
+        for tokens in reversed(before):
+            a, b = a - len(tokens), a
+            d = gained[a:b]
             d[: len(later)] += later  # fewer streams may run in the later step
-            dz, dc = d * (h - c) * z * (1 - z), d * (1 - z) * (1 - c * c)
-            dr, du = dc * u * r * (1 - r), dc * r
-            side = np.concatenate((dz, dr, du), axis=1)
-            grads["state"] += h.T @ side
-            later = d * z + side @ w["state"].T
-            later[tokens == END] = 0
-            tokens_seen.append(tokens)
-            entry_grads.append(np.concatenate((dz, dr, dc), axis=1))
-        tokens, entry = np.concatenate(tokens_seen), np.concatenate(entry_grads)
-        grads["gate_offset"] = entry.sum(axis=0)
-        grads["gates"] = w["inputs"][tokens].T @ entry
-        hit, inverse = np.unique(tokens, return_inverse=True)
-        rows = np.zeros((len(hit), DIM), np.float32)
-        np.add.at(rows, inverse, entry @ w["gates"].T)
-        return loss / n, grads, (hit, rows), last
+            z, r, h, c = gates[a:b, :HIDDEN], gates[a:b, HIDDEN:], held[a:b], cells[a:b]
+            dc = np.multiply(d, 1 - z, out=own[a:b])
+            dc *= 1 - c * c
+            dz = d * z
+            side[a:b, :HIDDEN] = dz * (h - c) * (1 - z)
+            du = np.multiply(dc, r, out=side[a:b, 2 * HIDDEN :])
+            side[a:b, HIDDEN : 2 * HIDDEN] = du * mixed_in[a:b] * (1 - r)
+            later = side[a:b] @ to_state
+            later += dz
+            later *= alive[a:b]
+        grads["state"] = held.T @ side
+        side[:, 2 * HIDDEN :] = own
+        summed = np.add.reduceat(side[by_token], first, axis=0)  # by token
+        grads["gate_offset"] = summed.sum(axis=0)
+        grads["gates"] = w["inputs"][hit].T @ summed
+        return loss / n, grads, (hit, summed @ w["gates"].T), last
 
     def numbers(self) -> np.ndarray:
         """All that training changes; a row of inputs is one row."""
@@ -310,7 +348,7 @@ class GatedModel:
         out.weights, out.squares = ({k: v.copy() for k, v in x.items()} for x in (self.weights, self.squares))
         return out
 
-    def fit(self, tokens: np.ndarray, lengths: np.ndarray, streams: int = 64, rate: float = 0.12) -> "GatedModel":
+    def fit(self, tokens: np.ndarray, lengths: np.ndarray, streams: int = STREAMS, rate: float = 0.12) -> "GatedModel":
         """Truncated back-propagation over the documents: steps of Adagrad, the state carried between windows."""
         if not len(tokens):
             return self
@@ -323,7 +361,9 @@ class GatedModel:
             _, grads, (hit, rows), state = self.gradients(before, targets, state)
             for k, g in grads.items():
                 squares[k] += g * g
-                w[k] -= rate * g / np.sqrt(squares[k])
+                g /= np.sqrt(squares[k])
+                g *= rate
+                w[k] -= g
             squares["inputs"][hit] += rows * rows
             w["inputs"][hit] -= rate * rows / np.sqrt(squares["inputs"][hit])
         self.entry = None
@@ -415,7 +455,7 @@ def fitted(rows: DataFrame, model: GatedModel) -> np.ndarray:
             settle()
             yield from averaging.changes(first, local.numbers())
 
-    return averaging.averaged(rows.select("shard", "text").mapInArrow(run, averaging.schema(DIM)), model.numbers())
+    return averaging.averaged(averaging.by_core(rows.select("shard", "text")).mapInArrow(run, averaging.schema(DIM)), model.numbers())
 
 
 def train(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text") -> tuple[GatedModel, DataFrame]:

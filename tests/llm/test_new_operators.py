@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import subprocess
@@ -332,3 +333,64 @@ def test_shards_average_exactly(spark):
     want = before.copy()
     want[1], want[4, 2] = 2, 0.5  # means over the shards that changed the row
     assert (language_model.averaging.averaged(rows, before) == want).all()
+
+
+TRAINING = """
+import time
+import numpy as np
+from shelfpanel.llm import language_model
+
+draw = np.random.default_rng(6)
+counts = (1e6 / np.arange(1, 5000)).astype(np.int64) + 1
+model = language_model.GatedModel(np.arange(1, 5000, dtype=np.uint64), counts, 1000, int(counts.sum()) + 1000, 5000)
+lengths = np.full(600, 300)
+tokens = np.minimum(draw.zipf(1.3, lengths.sum()), language_model.VOCAB - 2).astype(np.int32) + 1
+tokens[np.cumsum(lengths) - 1] = language_model.END
+powers, state, gates = (draw.normal(size=s).astype(np.float32) for s in ((4096, 224), (4096, 32), (32, 224)))
+
+def least():
+    out = np.empty_like(powers)
+    for _ in range(len(tokens) // 4096):
+        np.exp(powers, out=out)
+        for _ in range(3):
+            np.matmul(state, gates, out=out)
+
+def seconds(run):
+    times = []
+    for _ in range(3):
+        start = time.process_time()
+        run()
+        times.append(time.process_time() - start)
+    return min(times)
+
+print(seconds(lambda: model.fit(tokens, lengths)) / seconds(least))
+"""
+
+
+def test_lm_training_is_as_fast_as_its_arithmetic():
+    """CPU time against that of the exponentials and products that a token needs."""
+    env = os.environ | {"OPENBLAS_NUM_THREADS": "1"}
+    got = subprocess.run([sys.executable, "-c", TRAINING], capture_output=True, text=True, cwd=ROOT, check=True, env=env).stdout
+    assert float(got) < 7  # 10.7 with 64 streams and arrays of their own for each class, 3.8 to 4.4 now
+
+
+def test_lm_softmax_of_rows_far_apart():
+    x = np.array([[0, -1], [-300, -301], [-2e9, -2e9], [50, 49]], np.float32)
+    e, sums, base = language_model.softmax(x)
+    got = x - np.reshape(base, (-1, 1)) - np.log(sums)[:, None]
+    one = np.log(1 / (1 + np.exp(-1)))
+    assert np.allclose(got, [[one, one - 1], [one, one - 1], [np.log(0.5)] * 2, [one, one - 1]], atol=1e-4)
+
+
+def test_lm_round_reads_shards_by_core(spark, monkeypatch):
+    seen, means = [], language_model.averaging.averaged
+    monkeypatch.setattr(language_model, "SHARD", 10)
+    monkeypatch.setattr(language_model, "LEAST", 1)
+    monkeypatch.setattr(language_model.averaging, "averaged", lambda found, table: seen.append(found.rdd.getNumPartitions()) or means(found, table))
+    docs = spark.createDataFrame([(i, f"words {i % 9} of it", "en", "s") for i in range(200)], DOCS)
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a task for each file
+    try:
+        language_model.train(docs, F.lit(True))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert max(seen) <= spark.sparkContext.defaultParallelism
