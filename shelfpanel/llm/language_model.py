@@ -40,6 +40,7 @@ DIM = 24
 HIDDEN = 32
 WINDOW = 16
 STREAMS = 256
+STEPS = 200
 SHARD = 8192
 SLICES = 4
 SEGMENT = 1024
@@ -348,11 +349,14 @@ class GatedModel:
         out.weights, out.squares = ({k: v.copy() for k, v in x.items()} for x in (self.weights, self.squares))
         return out
 
-    def fit(self, tokens: np.ndarray, lengths: np.ndarray, streams: int = STREAMS, rate: float = 0.12) -> "GatedModel":
-        """Truncated back-propagation over the documents: steps of Adagrad, the state carried between windows."""
+    def fit(self, tokens: np.ndarray, lengths: np.ndarray, streams: int | None = None, rate: float = 0.12) -> "GatedModel":
+        """Truncated back-propagation over the documents: steps of Adagrad, the state carried between windows.
+
+        Without ``streams``, 64 of them, and up to ``STREAMS`` where that leaves ``STEPS`` steps."""
         if not len(tokens):
             return self
         squares, w = self.squares, self.weights
+        streams = streams or min(max(len(tokens) // (WINDOW * STEPS), 64), STREAMS)
         laid = Streams(tokens, segments(lengths), streams)
         state = np.zeros((len(laid.sizes), HIDDEN), np.float32)
         for window in laid.windows(WINDOW):
