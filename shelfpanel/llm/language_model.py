@@ -48,6 +48,8 @@ LEAST = 3000
 #: Tokens that a training task holds before it trains on them.
 TOKENS = 1 << 21
 END, UNKNOWN = 0, 1
+#: Tokens that are scored at once, and rows of logits that a processor's cache holds.
+SETTLED, BLOCK = 1 << 14, 1 << 10
 #: Distinct words that a counting task holds before it hands them on.
 HELD = 1 << 19
 NEVER = -1e9
@@ -98,7 +100,12 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For logits: powers that are the chances of each row times its sum, the sums, and what was taken off the logits."""
     base, ones = x.max(initial=NEVER), np.ones(x.shape[1], x.dtype)
-    e = np.exp(x - base)
+    if base < 60:  # no power is too large
+        base = x.dtype.type(0)
+        e = np.exp(x)
+    else:
+        e = x - base
+        np.exp(e, out=e)
     sums = e @ ones
     if sums.min(initial=1) < 1e-20:  # rows far below the largest
         base = x.max(axis=1)
@@ -108,7 +115,9 @@ def softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Streams:
-    """Documents laid end to end in streams of nearly equal length, longest stream first."""
+    """Documents laid end to end in streams of nearly equal length, longest stream first.
+
+    ``tokens``, and ``before`` with the one that precedes each, lie step by step: first tokens of all streams, then second ones."""
 
     def __init__(self, tokens: np.ndarray, lengths: np.ndarray, most: int):
         starts = np.cumsum(lengths) - lengths
@@ -121,19 +130,25 @@ class Streams:
         sizes = {i: load for load, i in loads}
         order = sorted(sizes, key=lambda i: -sizes[i])
         self.sizes = np.array([sizes[i] for i in order], np.int64)
-        self.at = np.cumsum(self.sizes) - self.sizes
         self.docs = np.array([d for i in order for d in held[i]], np.int64)
         self.lengths = lengths[self.docs]
-        places = np.repeat(starts[self.docs] - (np.cumsum(self.lengths) - self.lengths), self.lengths)
-        self.tokens = tokens[places + np.arange(len(tokens))]
-        self.before = np.concatenate(([END], self.tokens[:-1])).astype(self.tokens.dtype)
-        self.before[np.cumsum(self.lengths) - self.lengths] = END  # a document, or a segment of one, follows an end
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        mine = np.concatenate([tokens[a : a + n] for a, n in zip(starts[self.docs].tolist(), self.lengths.tolist())]) if len(tokens) else tokens
+        before = np.concatenate(([END], mine[:-1])).astype(mine.dtype)
+        before[self.starts] = END  # a document, or a segment of one, follows an end
+        # streams that run in each step, and where the step begins
+        running = np.searchsorted(-self.sizes, -np.arange(int(self.sizes[0]) if len(self.sizes) else 0), side="left")
+        self.cuts = np.concatenate(([0], np.cumsum(running))).astype(np.int32)
+        self.places = np.concatenate([self.cuts[:n] + np.int32(i) for i, n in enumerate(self.sizes)]) if len(mine) else self.docs
+        self.tokens, self.before = np.empty_like(mine), np.empty_like(mine)
+        self.tokens[self.places], self.before[self.places] = mine, before
 
     def windows(self, size: int):
-        """Places of the tokens of each window (steps x streams that still run), step by step."""
-        for first in range(0, int(self.sizes[0]) if len(self.sizes) else 0, size):
-            steps = np.arange(first, min(first + size, int(self.sizes[0])))
-            yield [self.at[:n] + t for t, n in zip(steps, np.searchsorted(-self.sizes, -steps, side="left"))]
+        """The steps of each window, as slices of the tokens."""
+        cuts = self.cuts.tolist()
+        for first in range(0, len(cuts) - 1, size):
+            own = cuts[first : first + size + 1]
+            yield [slice(a, b) for a, b in zip(own, own[1:])]
 
 
 class GatedModel:
@@ -170,7 +185,8 @@ class GatedModel:
             "word_offset": word_offset,
         }
         self.weights = {k: v.astype(np.float32) for k, v in self.weights.items()}
-        self.entry: np.ndarray | None = None
+        self.entry: tuple[np.ndarray, ...] | None = None
+        self.starts: np.ndarray | None = None
         self.squares = {k: np.full(v.shape, 1e-4, np.float32) for k, v in self.weights.items()}  # what training needs
 
     # Tokens
@@ -179,45 +195,91 @@ class GatedModel:
         """Token of each word, and its count where the word is a frequent one, else -1."""
         if not len(self.keys):
             return np.full(len(hashes), UNKNOWN, np.int32), np.full(len(hashes), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        at = self.places(hashes)
         same = self.keys[at] == hashes
         return np.where(same, self.token[at], np.int32(UNKNOWN)), np.where(same, self.counts[at], -1)
 
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of the first key that is not less, or the last place: some steps on from the first key with the same first bits."""
+        last = len(self.keys) - 1
+        bits = np.uint64(64 - min(last.bit_length() + 2, 20))
+        if self.starts is None:
+            firsts = np.arange(1 << (64 - int(bits)), dtype=np.uint64) << bits
+            self.starts = np.minimum(np.searchsorted(self.keys, firsts), last).astype(np.int32)
+        at = self.starts[hashes >> bits]
+        less = np.flatnonzero(self.keys[at] < hashes)
+        for _ in range(8):
+            at[less] += 1
+            less = less[at[less] <= last]
+            less = less[self.keys[at[less]] < hashes[less]]
+        at[less] = np.searchsorted(self.keys, hashes[less])
+        return np.minimum(at, last)
+
     # The network
 
-    def steps(self, before: list[np.ndarray], state: np.ndarray, inputs: np.ndarray | None = None):
+    def _products(self):
+        """What the states are multiplied with: the three gates, and classes and words with their offsets as last column.
+
+        Gates lie one below the other (update, reset, content), so that each is whole in memory; those of the first two are negative."""
+        w = self.weights
+        state = w["state"].reshape(HIDDEN, 3, HIDDEN).transpose(1, 0, 2).copy()
+        state[:2] *= -1
+        classes = np.concatenate((w["classes"], w["class_offset"][:, None]), axis=1)
+        words = np.concatenate((w["words"], w["word_offset"][:, :, None]), axis=2)
+        return state, classes, words
+
+    def _entries(self, inputs: np.ndarray) -> np.ndarray:
+        """What each of the rows of ``inputs`` adds to the three gates, those of the first two negative."""
+        w = self.weights
+        out = np.matmul(inputs, w["gates"].reshape(DIM, 3, HIDDEN).transpose(1, 0, 2)) + w["gate_offset"].reshape(3, 1, HIDDEN)
+        out[:2] *= -1
+        return out
+
+    def _ready(self):
+        """Entries of all tokens, and the products; kept until weights change."""
+        if self.entry is None:
+            self.entry = self._entries(self.weights["inputs"]), *self._products()
+        return self.entry
+
+    def steps(self, before: list[np.ndarray], state: np.ndarray, ready=None):
         """States after each step of a window; the last ones; what back-propagation needs, the states one below the other first.
 
-        ``inputs``: what the tokens add to the gates, else looked up in the table of all tokens."""
-        w, seen = self.weights, np.concatenate(before)
-        if inputs is None:
-            if self.entry is None:
-                self.entry = w["inputs"] @ w["gates"] + w["gate_offset"]
-            inputs = self.entry[seen]
-        alive = (seen != END).astype(inputs.dtype)[:, None]
-        states, held, cells, mixed_in = (np.empty((len(inputs), HIDDEN), inputs.dtype) for _ in range(4))
-        gates = inputs[:, : 2 * HIDDEN].copy()
-        each, b = [], 0
+        ``ready``: entries, the entry of each token, and the products of the states; without it those of all tokens serve, and
+        nothing is kept for back-propagation."""
+        seen, keep = np.concatenate(before), ready is not None
+        entry, places, to_gates = ready or (self._ready()[0], seen, self._ready()[1])
+        n, most = len(seen), len(before[0])
+        states = np.empty((n, HIDDEN), entry.dtype)
+        held, cells = (np.empty((n if keep else most, HIDDEN), entry.dtype) for _ in range(2))
+        gates = np.empty((4, len(held), HIDDEN), entry.dtype)  # of the content what the state adds, update, reset, of the content the rest
+        added = np.empty((2, most, HIDDEN), entry.dtype)
+        ends = np.flatnonzero(seen == END)
+        cuts = np.cumsum([0, *map(len, before)]).tolist()
+        marks = ends.searchsorted(cuts).tolist()
+        dead = []
         with np.errstate(over="ignore"):
-            for tokens in before:
-                a, b = b, b + len(tokens)
-                h = np.multiply(state[: b - a], alive[a:b], out=held[a:b])
-                u = h @ w["state"]
-                zr = gates[a:b]
-                zr += u[:, : 2 * HIDDEN]
-                np.negative(zr, out=zr)
+            for a, b, first, last in zip(cuts, cuts[1:], marks, marks[1:]):
+                own = slice(a, b) if keep else slice(0, b - a)
+                h, c, (m, z, r, x) = held[own], cells[own], gates[:, own]
+                h[:] = state[: b - a]
+                dead.append(ends[first:last] - a)
+                if first < last:
+                    h[dead[-1]] = 0
+                for table, out in zip(entry, (z, r, x)):
+                    table.take(places[a:b], axis=0, out=out, mode="clip")
+                zr = gates[1:3, own]
+                zr += np.matmul(h, to_gates[:2], out=added[:, : b - a])
                 np.exp(zr, out=zr)
                 zr += 1
                 np.reciprocal(zr, out=zr)
-                mixed_in[a:b] = u[:, 2 * HIDDEN :]
-                c = np.multiply(zr[:, HIDDEN:], mixed_in[a:b], out=cells[a:b])
-                c += inputs[a:b, 2 * HIDDEN :]
+                np.matmul(h, to_gates[2], out=m)
+                np.multiply(r, m, out=c)
+                c += x
                 np.tanh(c, out=c)
                 state = np.subtract(h, c, out=states[a:b])
-                state *= zr[:, :HIDDEN]
+                state *= z
                 state += c
-                each.append(state)
-        return each, state, (states, alive, held, gates, cells, mixed_in)
+        return [states[a:b] for a, b in zip(cuts, cuts[1:])], state, (states, dead, held, gates, cells)
 
     def _by_class(self, targets: np.ndarray):
         """An order of the targets by class, and the part of each class in it: (class, start, end)."""
@@ -226,26 +288,37 @@ class GatedModel:
         cuts = np.searchsorted(classes[order], np.arange(CLASSES + 1))
         return order, [(k, int(a), int(b)) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
 
-    def _word_logits(self, states: np.ndarray, parts) -> np.ndarray:
-        """Logits of the words of its class for each state; states lie by class."""
-        w, out = self.weights, np.empty((len(states), MEMBERS), states.dtype)
-        for k, a, b in parts:
-            np.matmul(states[a:b], w["words"][k].T, out=out[a:b])
-            out[a:b] += w["word_offset"][k]
+    def _sorted_states(self, states: np.ndarray, order: np.ndarray) -> np.ndarray:
+        """The states in the given order, with a last column of ones for the offsets."""
+        out = np.empty((len(states), HIDDEN + 1), states.dtype)
+        out[:, :HIDDEN] = np.take(states, order, axis=0)
+        out[:, HIDDEN] = 1
         return out
 
     def log_chances(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural logarithm of the chance of each target after its state."""
-        w, rows = self.weights, np.arange(len(targets))
+        _, _, classes, words = self._ready()
         order, parts = self._by_class(targets)
-        s, y = states[order], targets[order]
+        s, y = self._sorted_states(states, order), targets[order]
+        found, rows = np.empty(len(y), s.dtype), np.arange(min(len(y), BLOCK)) * CLASSES
+        for a in range(0, len(y), BLOCK):
+            x = s[a : a + BLOCK] @ classes.T
+            _, sums, base = softmax(x)
+            found[a : a + BLOCK] = x.ravel()[rows[: len(x)] + y[a : a + BLOCK] // MEMBERS] - base - np.log(sums)
+        rows, held = np.arange(len(y)) * MEMBERS, []
+        for k, first, end in parts:
+            held.append((k, first, end))
+            if end - held[0][1] < BLOCK and k != parts[-1][0]:
+                continue
+            start = held[0][1]
+            x = np.empty((end - start, MEMBERS), s.dtype)
+            for k, a, b in held:
+                np.matmul(s[a:b], words[k].T, out=x[a - start : b - start])
+            held = []
+            _, sums, base = softmax(x)
+            found[start:end] += x.ravel()[rows[: len(x)] + y[start:end] % MEMBERS] - base - np.log(sums)
         out = np.empty(len(y), s.dtype)
-        x = s @ w["classes"].T + w["class_offset"]
-        _, sums, base = softmax(x)
-        found = x[rows, y // MEMBERS] - base - np.log(sums)
-        x = self._word_logits(s, parts)
-        _, sums, base = softmax(x)
-        out[order] = found + (x[rows, y % MEMBERS] - base - np.log(sums))
+        out[order] = found
         return out
 
     def score(self, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -253,84 +326,105 @@ class GatedModel:
         laid = Streams(tokens, lengths, STREAMS)
         found = np.zeros(len(tokens), np.float32)
         state = np.zeros((len(laid.sizes), HIDDEN), np.float32)
-        held, places, size = [], [], 0
+        held, done, size = [], 0, 0
 
         def settle():
-            if places:
-                at = np.concatenate(places)
-                found[at] = self.log_chances(np.concatenate(held), laid.tokens[at])
+            found[done : done + size] = self.log_chances(np.concatenate(held), laid.tokens[done : done + size])
 
         for window in laid.windows(WINDOW):
             _, state, (states, *_) = self.steps([laid.before[p] for p in window], state)
             held.append(states)
-            places += window
             size += len(states)
-            if size >= 1 << 12:
+            if size >= SETTLED:
                 settle()
-                held, places, size = [], [], 0
-        settle()
+                held, done, size = [], done + size, 0
+        if held:
+            settle()
         out = np.zeros(len(lengths))
         if len(lengths):
-            out[laid.docs] = np.add.reduceat(found.astype(np.float64), np.cumsum(laid.lengths) - laid.lengths)
+            out[laid.docs] = np.add.reduceat(found[laid.places].astype(np.float64), laid.starts)
         return out
 
     def gradients(self, before: list[np.ndarray], targets: list[np.ndarray], state: np.ndarray):
         """Loss per token, gradients of all weights, and the state after the window."""
         w, seen = self.weights, np.concatenate(before)
-        by_token = np.argsort(seen.astype(np.int16), kind="stable")
-        first = np.flatnonzero(np.diff(seen[by_token], prepend=-1))
-        hit = seen[by_token[first]]
-        place = np.empty(len(seen), np.int64)
-        place[by_token] = np.repeat(np.arange(len(hit)), np.diff(np.append(first, len(seen))))
-        entry = w["inputs"][hit] @ w["gates"] + w["gate_offset"]
-        _, last, (states, alive, held, gates, cells, mixed_in) = self.steps(before, state, entry[place])
+        times = np.bincount(seen, minlength=VOCAB)
+        hit = np.flatnonzero(times)
+        place = np.empty(VOCAB, np.int64)
+        place[hit] = np.arange(len(hit))
+        place, own_inputs = place[seen], w["inputs"][hit]
+        to_gates, classes, words = self._products()
+        _, last, (states, dead, held, gates, cells) = self.steps(before, state, (self._entries(own_inputs), place, to_gates))
         y = np.concatenate(targets)
         n, rows = len(y), np.arange(len(y))
         order, parts = self._by_class(y)
-        s, y = states[order], y[order]
-        grads, loss = {}, 0.0
-        x = s @ w["classes"].T + w["class_offset"]
+        s, y = self._sorted_states(states, order), y[order]
+        x = s @ classes.T
         error, sums, base = softmax(x)
-        loss -= (x[rows, y // MEMBERS] - base - np.log(sums)).sum()
+        at = rows * CLASSES + y // MEMBERS
+        loss = -(x.ravel()[at] - base - np.log(sums)).sum()
         error *= (1 / (sums * n))[:, None]
-        error[rows, y // MEMBERS] -= 1 / n
-        ones = np.ones(n, s.dtype)
-        grads["classes"], grads["class_offset"] = error.T @ s, ones @ error
+        error.ravel()[at] -= 1 / n
+        of_classes = error.T @ s
         back = error @ w["classes"]
-        x = self._word_logits(s, parts)
+        x = np.empty((n, MEMBERS), s.dtype)
+        for k, a, b in parts:
+            np.matmul(s[a:b], words[k].T, out=x[a:b])
         error, sums, base = softmax(x)
-        loss -= (x[rows, y % MEMBERS] - base - np.log(sums)).sum()
+        at = rows * MEMBERS + y % MEMBERS
+        loss -= (x.ravel()[at] - base - np.log(sums)).sum()
         error *= (1 / (sums * n))[:, None]
-        error[rows, y % MEMBERS] -= 1 / n
-        grads["words"], grads["word_offset"] = np.zeros_like(w["words"]), np.zeros_like(w["word_offset"])
+        error.ravel()[at] -= 1 / n
+        of_words, more = np.zeros_like(words), np.empty_like(back)
         for k, a, b in parts:
-            np.matmul(error[a:b].T, s[a:b], out=grads["words"][k])
-            np.matmul(ones[a:b], error[a:b], out=grads["word_offset"][k])
-            back[a:b] += error[a:b] @ w["words"][k]
-        gained = np.empty_like(back)
-        gained[order] = back
+            own = error[a:b]
+            np.matmul(own.T, s[a:b], out=of_words[k])
+            np.matmul(own, w["words"][k], out=more[a:b])
+        back += more
+        back_at = np.empty(n, np.int64)
+        back_at[order] = rows
+        gained = np.take(back, back_at, axis=0)
         later = np.zeros_like(last)
-        side, own = np.empty((n, 3 * HIDDEN), back.dtype), np.empty_like(back)
-        to_state, a = w["state"].T.copy(), n
-        for tokens in reversed(before):
+        side = gates  # in its place: content times reset, update, reset, content
+        spare = np.empty((4, len(before[0]), HIDDEN), back.dtype)
+        to_state = w["state"].reshape(HIDDEN, 3, HIDDEN).transpose(1, 2, 0)[[2, 0, 1]]
+        a = n
+        for tokens, ended in zip(reversed(before), reversed(dead)):
             a, b = a - len(tokens), a
             d = gained[a:b]
             d[: len(later)] += later  # fewer streams may run in the later step
-            z, r, h, c = gates[a:b, :HIDDEN], gates[a:b, HIDDEN:], held[a:b], cells[a:b]
-            dc = np.multiply(d, 1 - z, out=own[a:b])
-            dc *= 1 - c * c
-            dz = d * z
-            side[a:b, :HIDDEN] = dz * (h - c) * (1 - z)
-            du = np.multiply(dc, r, out=side[a:b, 2 * HIDDEN :])
-            side[a:b, HIDDEN : 2 * HIDDEN] = du * mixed_in[a:b] * (1 - r)
-            later = side[a:b] @ to_state
-            later += dz
-            later *= alive[a:b]
-        grads["state"] = held.T @ side
-        side[:, 2 * HIDDEN :] = own
-        summed = np.add.reduceat(side[by_token], first, axis=0)  # by token
-        grads["gate_offset"] = summed.sum(axis=0)
-        grads["gates"] = w["inputs"][hit].T @ summed
+            h, c, (m, z, r, dc) = held[a:b], cells[a:b], side[:, a:b]
+            rest, kept = spare[1, : b - a], spare[3, : b - a]
+            np.multiply(d, z, out=kept)
+            np.subtract(d, kept, out=dc)
+            np.subtract(h, c, out=rest)
+            z *= rest
+            z *= dc
+            c *= c
+            np.subtract(1, c, out=c)
+            dc *= c
+            np.subtract(1, r, out=rest)
+            rest *= m
+            np.multiply(dc, r, out=m)
+            np.multiply(m, rest, out=r)
+            later, *others = np.matmul(side[:3, a:b], to_state, out=spare[:3, : b - a])
+            for other in (*others, kept):
+                later += other
+            if len(ended):
+                later[ended] = 0
+        flat = lambda x: x.transpose(1, 0, 2).reshape(-1, 3 * HIDDEN)
+        # summed by token; two columns as one complex number, as each group and column is a call
+        pairs = np.take(side[1:], np.argsort(seen.astype(np.int16), kind="stable"), axis=1).view(np.result_type(side, 1j))
+        summed = flat(np.add.reduceat(pairs, np.cumsum(times[hit]) - times[hit], axis=1).view(side.dtype))
+        grads = {
+            "classes": of_classes[:, :HIDDEN],
+            "class_offset": of_classes[:, HIDDEN],
+            "words": of_words[:, :, :HIDDEN],
+            "word_offset": of_words[:, :, HIDDEN],
+            "state": flat(np.matmul(held.T, side[:3])[[1, 2, 0]]),
+            "gates": own_inputs.T @ summed,
+            "gate_offset": summed.sum(axis=0),
+        }
         return loss / n, grads, (hit, summed @ w["gates"].T), last
 
     def numbers(self) -> np.ndarray:
@@ -359,17 +453,24 @@ class GatedModel:
         streams = streams or min(max(len(tokens) // (WINDOW * STEPS), 64), STREAMS)
         laid = Streams(tokens, segments(lengths), streams)
         state = np.zeros((len(laid.sizes), HIDDEN), np.float32)
+        spare = {k: np.empty_like(v) for k, v in w.items()}
         for window in laid.windows(WINDOW):
             self.entry = None
             before, targets = [laid.before[p] for p in window], [laid.tokens[p] for p in window]
             _, grads, (hit, rows), state = self.gradients(before, targets, state)
             for k, g in grads.items():
-                squares[k] += g * g
-                g /= np.sqrt(squares[k])
-                g *= rate
-                w[k] -= g
-            squares["inputs"][hit] += rows * rows
-            w["inputs"][hit] -= rate * rows / np.sqrt(squares["inputs"][hit])
+                change = np.multiply(g, g, out=spare[k])
+                squares[k] += change
+                np.sqrt(squares[k], out=change)
+                np.divide(g, change, out=change)
+                change *= rate
+                w[k] -= change
+            own = np.take(squares["inputs"], hit, axis=0)
+            own += rows * rows
+            squares["inputs"][hit] = own
+            np.sqrt(own, out=own)
+            rows *= rate
+            w["inputs"][hit] -= np.divide(rows, own, out=rows)
         self.entry = None
         return self
 
@@ -382,6 +483,28 @@ def segments(lengths: np.ndarray) -> np.ndarray:
     return out
 
 
+def joined(words: list[np.ndarray], owners: list[np.ndarray], n: int) -> np.ndarray:
+    """Tokens of ``n`` texts, each with its end, from those of their words in order and the text of each."""
+    if not words:
+        return np.full(n, END, np.int32)
+    words, owner = np.concatenate(words), np.concatenate(owners)
+    tokens = np.full(len(words) + n, END, np.int32)
+    owner += np.arange(len(words), dtype=np.int32)
+    tokens[owner] = words
+    return tokens
+
+
+def training_tokens(model: GatedModel, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of all texts with their ends, and lengths."""
+    lengths, words, owner_of = np.zeros(len(texts), np.int64), [], []
+    for owners, counts, hashes, *_ in word_chunks(texts, NOT_BLANK):
+        at = model.places(hashes) if len(model.keys) else None
+        words.append(np.full(len(hashes), UNKNOWN, np.int32) if at is None else np.where(model.keys[at] == hashes, model.token[at], np.int32(UNKNOWN)))
+        owner_of.append(np.repeat(owners.astype(np.int32), counts))
+        np.add.at(lengths, owners, counts)
+    return joined(words, owner_of, len(texts)), lengths + 1
+
+
 def tokens_of(model: GatedModel, texts: list[bytes]):
     """Tokens of all texts with their ends, lengths, and for each text the sums that need the counts: known words, sum
     of ``log10(c + 1)`` of frequent words, the same of those that are unknown to the network, unknown words; then hashes
@@ -393,7 +516,7 @@ def tokens_of(model: GatedModel, texts: list[bytes]):
         tokens, seen = model.numbered(hashes)
         owner = np.repeat(owners, counts)
         np.add.at(lengths, owners, counts)
-        log = np.where(seen >= 0, np.log10(np.maximum(seen, 0) + 1.0), 0.0)
+        log = np.log10(np.maximum(seen, 0) + 1.0)
         out = tokens == UNKNOWN
         known += np.bincount(owner, seen > 0, n).astype(np.int64)
         logs += np.bincount(owner, log, n)
@@ -403,10 +526,7 @@ def tokens_of(model: GatedModel, texts: list[bytes]):
         owner_of.append(owner.astype(np.int32))
         rare.append(hashes[seen < 0])
         rare_owner.append(owner[seen < 0])
-    words = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-    owner = np.concatenate(owner_of) if owner_of else np.zeros(0, np.int32)
-    tokens = np.full(len(words) + n, END, np.int32)
-    tokens[np.arange(len(words)) + owner] = words
+    tokens = joined(parts, owner_of, n)
     rare = np.concatenate(rare) if rare else np.zeros(0, np.uint64)
     rare_owner = np.concatenate(rare_owner) if rare_owner else np.zeros(0, np.int64)
     return tokens, lengths + 1, (known, logs, unknown_logs, unknown), rare, rare_owner
@@ -449,7 +569,7 @@ def fitted(rows: DataFrame, model: GatedModel) -> np.ndarray:
                     settle()
                     yield from averaging.changes(first, local.numbers())
                 now, local, size = shard, shared.value.copied(), 0
-            tokens, lengths, *_ = tokens_of(local, text_bytes(part.column("text")))
+            tokens, lengths = training_tokens(local, text_bytes(part.column("text")))
             held.append((tokens, lengths))
             size += len(tokens)
             if size > TOKENS:
@@ -497,7 +617,7 @@ def score(docs: DataFrame, model: GatedModel, counts: DataFrame, id_col: str = "
     def run(batches):
         model = shared.value
         for batch in batches:
-            for part in batches_of(batch, 4 << 20):
+            for part in batches_of(batch, 12 << 20):
                 texts = text_bytes(part.column("text"))
                 tokens, lengths, (known, logs, unknown_logs, unknown), rare, owner = tokens_of(model, texts)
                 chances = model.score(tokens, lengths) / np.log(10)
