@@ -394,3 +394,35 @@ def test_lm_round_reads_shards_by_core(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert max(seen) <= spark.sparkContext.defaultParallelism
+
+
+LOOKUP = """
+import time
+import numpy as np
+from shelfpanel.llm import language_model
+
+draw = np.random.default_rng(8)
+keys = np.unique(draw.integers(0, 2**64 - 1, 1 << 18, dtype=np.uint64))
+model = language_model.GatedModel(keys, np.full(len(keys), 2, np.int64), 5, 2 * len(keys) + 5, len(keys) + 1)
+asked = draw.permutation(np.concatenate((keys, draw.integers(0, 2**64 - 1, 1 << 18, dtype=np.uint64), keys[:1], keys[-1:], np.array([0, 2**64 - 1], np.uint64))))
+want = np.isin(asked, keys)
+assert ((model.numbered(asked)[1] == 2) == want).all()
+few = language_model.GatedModel(np.arange(1, 400, dtype=np.uint64), np.arange(400, 1, -1), 5, 90000, 400)  # all have the same first bits
+assert (few.numbered(np.array([0, 1, 77, 399, 400, 2**63], np.uint64))[1] == [-1, 400, 324, 2, -1, -1]).all()
+
+def seconds(run):
+    times = []
+    for _ in range(3):
+        start = time.process_time()
+        run()
+        times.append(time.process_time() - start)
+    return min(times)
+
+print(seconds(lambda: model.numbered(asked)) / seconds(lambda: np.searchsorted(model.keys, asked)))
+"""
+
+
+def test_lm_words_are_found_without_a_binary_search():
+    """CPU time against that of a binary search, which alone took most of the time before."""
+    got = subprocess.run([sys.executable, "-c", LOOKUP], capture_output=True, text=True, cwd=ROOT, check=True).stdout
+    assert float(got) < 0.8
