@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from shelfpanel.llm import averaging
 from shelfpanel.llm.common import (
-    BASE, LETTERS, LOWER_BYTES, batches_of, held_out, mixed, release_memory, slot, slot_is_taken, stored, taken_slots, text_bytes, word_chunks,
+    BASE, LETTERS, LOWER_BYTES, batches_of, held_out, mixed, release_memory, released, slot, slot_is_taken, stored, taken_slots, text_bytes,
+    word_chunks,
 )
 
 SAMPLE = 6000
@@ -46,6 +47,8 @@ ROUNDS = (4, 8)
 LEAST = 48000
 SHARD = 8192
 TEXTS = 32
+#: Bytes of texts that are counted or scored at once; arrays over their words take some 100 times that.
+PART = 1 << 18
 #: Logits in a histogram have cells of 1 / CELLS.
 CELLS = 256
 
@@ -201,8 +204,10 @@ class ToxicModel:
 
     def numbers(self) -> np.ndarray:
         """All that training changes: a row for each bucket, then the other weights."""
-        rows = np.concatenate((self.embedding, self.moved[:, None]), axis=1)
-        return np.concatenate((rows, averaging.flat(self.params() + self.squares, DIM + 1)))
+        rest, n = averaging.flat(self.params() + self.squares, DIM + 1), len(self.embedding)
+        out = np.empty((n + len(rest), DIM + 1), np.float32)
+        out[:n, :DIM], out[:n, DIM], out[n:] = self.embedding, self.moved, rest
+        return out
 
     def take(self, table: np.ndarray) -> None:
         rows, rest = table[: len(self.embedding)], table[len(self.embedding) :]
@@ -385,8 +390,8 @@ def vocabulary(rows: DataFrame) -> np.ndarray:
 
     def run(batches):
         seen = np.zeros(BUCKETS, np.int32)
-        for batch in batches:
-            for part in batches_of(batch, 2 << 20):
+        for batch in released(batches):
+            for part in batches_of(batch, PART):
                 buckets, numbers, counts = word_numbers(text_bytes(part.column("text")))
                 for end, count in zip(np.cumsum(counts), counts):
                     seen[np.unique(buckets[np.unique(numbers[end - count : end])])] += 1
@@ -410,10 +415,11 @@ def fitted(rows: DataFrame, model: ToxicModel, weight: np.ndarray, step: int) ->
 
     def run(batches):
         now, local, draw = None, None, None
-        for shard, part in averaging.runs_of(batches, 2 << 20):
+        for shard, part in released(averaging.runs_of(batches, 2 << 20)):
             if shard != now:
                 if local is not None:
                     yield from averaging.changes(shared.value.numbers(), local.numbers())
+                    local = None  # one copy at a time
                 now, local, draw = shard, copy.deepcopy(shared.value), np.random.default_rng([step, shard])
             labels = part.column("label").to_numpy().astype(np.int64)
             local.step_through(text_bytes(part.column("text")), labels, weight[labels], rate, draw)
@@ -429,8 +435,8 @@ def logit_counts(rows: DataFrame, model: ToxicModel) -> tuple[np.ndarray, ...]:
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in batches:
-            for part in batches_of(batch, 2 << 20):
+        for batch in released(batches):
+            for part in batches_of(batch, PART):
                 buckets, counts = word_buckets(text_bytes(part.column("text")))
                 cells = np.rint(np.clip(shared.value.logits(buckets, counts), -64, 64) * CELLS).astype(np.int32)
                 groups = language_groups(buckets, counts).astype(np.int32)
@@ -468,16 +474,21 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     return model
 
 
+def scored(batches, model: ToxicModel, text_col: str):
+    """Slices of Arrow batches, each with the scores of its texts."""
+    for batch in released(batches):
+        for part in batches_of(batch, PART):
+            yield part, model.scores(text_bytes(part.column(text_col)))
+
+
 def score(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, ``score`` and ``predicted`` (1 from a score of 0.5)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
 
     def run(batches):
-        for batch in batches:
-            for part in batches_of(batch, 2 << 20):
-                values = shared.value.scores(text_bytes(part.column("text")))
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(values, pa.float64())], ["id", "score"])
+        for part, values in scored(batches, shared.value, "text"):
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(values, pa.float64())], ["id", "score"])
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, score double").select(
@@ -490,9 +501,7 @@ def drop_toxic(docs: DataFrame, model: ToxicModel, text_col: str = "text") -> Da
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in batches:
-            for part in batches_of(batch, 2 << 20):
-                values = shared.value.scores(text_bytes(part.column(text_col)))
-                yield part.filter(pa.array(values < 0.5, pa.bool_()))
+        for part, values in scored(batches, shared.value, text_col):
+            yield part.filter(pa.array(values < 0.5, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

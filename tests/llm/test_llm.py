@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -686,3 +688,26 @@ def test_a_round_reads_shards_by_core(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert max(seen) <= spark.sparkContext.defaultParallelism
+
+
+def test_toxicity_scores_in_small_parts(spark, monkeypatch):
+    """However large a batch of texts is, few of them are scored at once; the model's table is laid out once."""
+    model = toxicity.ToxicModel().begin(np.arange(1, 100_000))
+    run, peaks = [], []
+    docs = documents(spark, random_texts(4, 3))
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: run.append(f) or self)
+    toxicity.drop_toxic(docs, model)
+    texts = random_texts(5, 40_000, words=("some", "words", "of", "many", "texts"))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    model.scores([b"tables are made once"])
+    for work in (lambda: sum(part.num_rows for part in run[0](iter([batch]))), model.numbers):
+        tracemalloc.start()
+        try:
+            got = work()
+            peaks.append(tracemalloc.get_traced_memory()[1])
+        finally:
+            tracemalloc.stop()
+        if len(peaks) == 1:
+            assert got == (model.scores([t.encode() for t in texts]) < 0.5).sum()
+    assert batch.nbytes > 3 << 20 and peaks[0] < 60 << 20  # what a part needs, and some bytes for each text
+    assert got.dtype == np.float32 and peaks[1] < 1.5 * got.nbytes
