@@ -41,14 +41,14 @@ WIDTHS = (1, 2, 3)
 FILTERS = 8
 GAP = max(WIDTHS) - 1
 BLOCK = 1 << 17
+#: Places whose answers are held at once when only their maximum is wanted.
+PIECE = 1 << 14
 VOCAB = 1 << 18
 #: Rounds over all documents: so many that ``LEAST`` texts are read, at least and at most as given.
 ROUNDS = (4, 8)
 LEAST = 48000
 SHARD = 8192
 TEXTS = 32
-#: Bytes of texts that are counted or scored at once; arrays over their words take some 100 times that.
-PART = 1 << 18
 #: Logits in a histogram have cells of 1 / CELLS.
 CELLS = 256
 
@@ -122,6 +122,14 @@ def padded(rows: np.ndarray) -> np.ndarray:
     return np.concatenate([rows, np.zeros((GAP, rows.shape[1]), rows.dtype)])
 
 
+def piece_bounds(size: int):
+    """Where pieces of ``size`` places start and stop; blocks keep their bounds, and what is left of one goes with its last piece."""
+    for at in range(0, size, BLOCK):
+        stop = min(at + BLOCK, size)
+        cuts = [*range(at, max(stop - PIECE, at) + 1, PIECE), stop]
+        yield from zip(cuts, cuts[1:])
+
+
 class ToxicModel:
     """Weights of the network, thresholds, and the scoring of batches."""
 
@@ -166,18 +174,20 @@ class ToxicModel:
             for j in range(1, len(f)):
                 z += x[j : n + j] @ f[j]
             parts.append(z)
-        return np.concatenate(parts, axis=1) + self.bias
+        z = np.concatenate(parts, axis=1)
+        z += self.bias
+        return z
 
     def pooled(self, rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Largest answer of each filter in each text, at least 0. Long inputs are read in overlapping blocks."""
+        """Largest answer of each filter in each text, at least 0. Long inputs are read in overlapping pieces."""
         out = np.zeros((len(starts), len(self.bias)), np.float32)
-        outside = gaps(starts, len(rows))
-        rows = padded(rows)
-        for at in range(0, len(rows) - GAP, BLOCK):
-            z = self.answers(rows[at : min(at + BLOCK, len(rows) - GAP) + GAP])
-            z[outside[at : at + len(z)]] = -np.inf
+        outside, size = gaps(starts, len(rows)), len(rows)
+        for at, stop in piece_bounds(size):
+            own = rows[at : stop + GAP] if stop + GAP <= size else padded(rows[at:size])[: stop + GAP - at]
+            z = self.answers(own)
+            z[outside[at:stop]] = -np.inf
             first = np.searchsorted(starts, at, side="right") - 1
-            inside = starts[first + 1 : np.searchsorted(starts, at + len(z))] - at
+            inside = starts[first + 1 : np.searchsorted(starts, stop)] - at
             cuts = np.concatenate(([0], inside)).astype(np.int64)
             most = np.maximum.reduceat(z, cuts, axis=0)
             texts = np.arange(first, first + len(cuts))
@@ -391,7 +401,7 @@ def vocabulary(rows: DataFrame) -> np.ndarray:
     def run(batches):
         seen = np.zeros(BUCKETS, np.int32)
         for batch in released(batches):
-            for part in batches_of(batch, PART):
+            for part in batches_of(batch, 2 << 20):
                 buckets, numbers, counts = word_numbers(text_bytes(part.column("text")))
                 for end, count in zip(np.cumsum(counts), counts):
                     seen[np.unique(buckets[np.unique(numbers[end - count : end])])] += 1
@@ -436,7 +446,7 @@ def logit_counts(rows: DataFrame, model: ToxicModel) -> tuple[np.ndarray, ...]:
 
     def run(batches):
         for batch in released(batches):
-            for part in batches_of(batch, PART):
+            for part in batches_of(batch, 2 << 20):
                 buckets, counts = word_buckets(text_bytes(part.column("text")))
                 cells = np.rint(np.clip(shared.value.logits(buckets, counts), -64, 64) * CELLS).astype(np.int32)
                 groups = language_groups(buckets, counts).astype(np.int32)
@@ -477,7 +487,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
 def scored(batches, model: ToxicModel, text_col: str):
     """Slices of Arrow batches, each with the scores of its texts."""
     for batch in released(batches):
-        for part in batches_of(batch, PART):
+        for part in batches_of(batch, 2 << 20):
             yield part, model.scores(text_bytes(part.column(text_col)))
 
 
